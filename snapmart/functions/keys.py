@@ -28,7 +28,7 @@ def normalized_entity_name(name: Column | str) -> Column:
     trailing separators are dropped, so ``"Taber, M.D."`` becomes ``taber_m_d``.
     """
     replaced = F.regexp_replace(as_col(name), r"[^\p{L}\p{N}]+", "_")
-    return F.lower(F.trim(replaced, "_"))
+    return F.lower(F.trim(replaced, F.lit("_")))
 
 
 def entity_key(name: Column | str) -> Column:

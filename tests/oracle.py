@@ -87,16 +87,23 @@ def main(argv: list[str]) -> int:
     spark = build_session(master="local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0
+    import time
+
     for name in names:
-        df = entry.queries()[name](spark, sf_dir)
-        sql = entry.oracle_sql().get(name)
-        if sql is None:
-            print(f"{name}: rows-only ({df.count()} rows)")
-            continue
-        problems = compare(df, sql, sf_dir)
-        status = "OK" if not problems else "MISMATCH"
-        failed += bool(problems)
-        print(f"{name}: {status}")
+        t0 = time.time()
+        try:
+            df = entry.queries()[name](spark, sf_dir)
+            sql = entry.oracle_sql().get(name)
+            if sql is None:
+                print(f"{name}: rows-only ({df.count()} rows)", flush=True)
+                continue
+            problems = compare(df, sql, sf_dir)
+        except Exception as exc:  # noqa: BLE001
+            problems = [f"error: {str(exc).splitlines()[0][:300]}"]
+        problems.append(f"({time.time() - t0:.1f}s)")
+        status = "OK" if len(problems) == 1 else "MISMATCH"
+        failed += status != "OK"
+        print(f"{name}: {status}", flush=True)
         for p in problems:
             print("   ", p)
     return 1 if failed else 0
