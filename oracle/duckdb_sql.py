@@ -551,6 +551,17 @@ FROM top_metric""", BY_METRIC_CTE, _top_by_metric(8)),
             for t in ("region nation customer supplier part orders lineitem events documents "
                       "embeddings pages benchmark labels conversations").split()
         ),
+        "bronze_lineage": "SELECT * FROM orders",
+        "lake_run": with_activity(
+            f"""SELECT dataset, entity, year, metric, value, unit, yoy_change_pct,
+       five_year_change_pct, source_name, source_url,
+       CAST(source_last_updated AS DATE) AS source_last_updated, licence,
+       CAST(snapshot_retrieved_at AS DATE) AS snapshot_retrieved_at,
+       dataset AS source_file, {LAKE_KEY_SQL.format(x='entity')} AS lake_key
+FROM activity WHERE value >= 0"""),
+        "incremental_ingest": """SELECT event_id, ts, user_id, event_type,
+       CASE WHEN event_type = 'click' THEN value + 1.0 ELSE value END AS value, props
+FROM events""",
         "humanize_volume": f"""WITH g AS (
     SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS year,
            CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
