@@ -1,0 +1,30 @@
+from __future__ import annotations
+
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from snapmart.session import build_session, ensure_checkpoint_dir
+
+    session = build_session(
+        app_name="snapmart-tests", master="local[*]", shuffle_partitions=8,
+        extra_conf={"spark.driver.memory": "4g"},
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(session)
+    yield session
+    session.stop()
+
+
+@pytest.fixture()
+def workdir():
+    return tempfile.mkdtemp(prefix="snapmart-test-")
