@@ -29,14 +29,19 @@ def standardize(
     Strict casts (year, value, dates) raise on bad text; the growth rates are
     lenient (bad text becomes null).
     """
-    df = bronze.withColumn(name_col, strip_whitespace(name_col))
-    df = df.withColumn(key_col, entity_key(name_col))
-    df = df.withColumn("year", strict_cast("year", "int", "year"))
-    df = df.withColumn("value", strict_cast("value", "double", "value"))
-    for c in ("yoy_change_pct", "five_year_change_pct"):
-        df = df.withColumn(c, lenient_cast(c, "double"))
-    for c in date_columns:
-        df = df.withColumn(c, strict_iso_date_text(c, c))
+    typed = {
+        name_col: strip_whitespace(name_col),
+        "year": strict_cast("year", "int", "year"),
+        "value": strict_cast("value", "double", "value"),
+        "yoy_change_pct": lenient_cast("yoy_change_pct", "double"),
+        "five_year_change_pct": lenient_cast("five_year_change_pct", "double"),
+    }
+    typed.update({c: strict_iso_date_text(c, c) for c in date_columns})
+    # one projection (not a withColumn chain): a single analysis pass
+    df = bronze.select(
+        *[typed[c].alias(c) if c in typed else F.col(c) for c in bronze.columns],
+        entity_key(strip_whitespace(name_col)).alias(key_col),
+    )
     keys = list(dedupe_on or (name_col, "year", "metric"))
     return keep_last(df, keys, list(order_by))
 

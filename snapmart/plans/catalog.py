@@ -27,6 +27,7 @@ from snapmart.plans.activity import read_table
 from snapmart.session import scratch_path
 from snapmart.sources import files
 from snapmart.sources.lake import VersionedTable
+from snapmart.sources.sinks import stage_table
 from snapmart.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +41,9 @@ TABLES = (
 # -- medallion layers of the activity snapshot ------------------------------
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.activity_silver(pipeline.activity_bronze(spark, sf_dir))
+    """Silver, written once as a Parquet layer; gold branches scan it."""
+    return stage_table(
+        pipeline.activity_silver(pipeline.activity_bronze(spark, sf_dir)), "silver")
 
 
 def _mart(spark: SparkSession, sf_dir: str, strategy: str = "join") -> DataFrame:
@@ -355,7 +358,7 @@ def q_metric_extract(spark, sf_dir):
 
 def q_snapshot_metrics(spark, sf_dir):
     bronze = pipeline.activity_bronze(spark, sf_dir)
-    silver = pipeline.activity_silver(bronze)
+    silver = stage_table(pipeline.activity_silver(bronze), "silver")
     fact = pipeline.build_fact(silver, SPEC)
     mart = build_mart(silver, SPEC)
     report = pipeline.activity_quality(bronze)

@@ -20,7 +20,7 @@ from snapmart.operators.standardize import lake_silver, standardize
 from snapmart.plans.activity import SNAPSHOT_COLUMNS, activity_long
 from snapmart.sources.files import stamp_lineage
 from snapmart.sources.lake import VersionedTable
-from snapmart.sources.sinks import write_csv
+from snapmart.sources.sinks import stage_table, write_csv
 
 ENTITY_KEY = ("entity", "year", "metric")
 
@@ -80,6 +80,7 @@ def gated_pipeline(
     sf_dir: str,
     report_path: str | None = None,
     strategy: str = "join",
+    silver_path: str | None = None,
 ) -> GoldTables:
     """Bronze, report, gate, silver, gold.
 
@@ -91,7 +92,8 @@ def gated_pipeline(
     if report_path:
         write_csv(report, report_path)
     q.enforce_gate(report, report_path or "the data-quality report")
-    return build_gold(activity_silver(bronze), strategy=strategy)
+    silver = stage_table(activity_silver(bronze), "silver", silver_path)
+    return build_gold(silver, strategy=strategy)
 
 
 def lake_run(spark: SparkSession, sf_dir: str, root: str) -> dict[str, object]:

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from snapmart.session import scratch_path
+
 
 def write_csv(df: DataFrame, path: str, order_by: Sequence[Column] = ()) -> None:
     """Header CSV, full overwrite (K1, K8)."""
@@ -52,3 +54,18 @@ def materialize_table(df: DataFrame, name: str, path: str | None = None) -> None
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
+
+
+def stage_table(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet (default: a fresh folder under the shared
+    checkpoint location) and return a scan of it.
+
+    Used at layer boundaries (bronze/silver/gold) that several downstream
+    branches read: the upstream plan runs once instead of once per branch, the
+    lineage is cut (an executor loss re-reads files, it does not recompute the
+    source joins), and readers get Parquet column pruning and filter pushdown.
+    """
+    spark = df.sparkSession
+    target = path or scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
