@@ -357,7 +357,7 @@ def q_metric_extract(spark, sf_dir):
 
 
 def q_snapshot_metrics(spark, sf_dir):
-    bronze = pipeline.activity_bronze(spark, sf_dir)
+    bronze = stage_table(pipeline.activity_bronze(spark, sf_dir), "bronze")
     silver = stage_table(pipeline.activity_silver(bronze), "silver")
     fact = pipeline.build_fact(silver, SPEC)
     mart = build_mart(silver, SPEC)

@@ -81,13 +81,16 @@ def gated_pipeline(
     report_path: str | None = None,
     strategy: str = "join",
     silver_path: str | None = None,
+    bronze_path: str | None = None,
 ) -> GoldTables:
     """Bronze, report, gate, silver, gold.
 
     The report is written (when a path is given) *before* the gate raises, so
     a failed run leaves the evidence it points to.
     """
-    bronze = activity_bronze(spark, sf_dir)
+    # bronze is a written layer: the report and silver both scan it, so the
+    # source joins run once
+    bronze = stage_table(activity_bronze(spark, sf_dir), "bronze", bronze_path)
     report = activity_quality(bronze)
     if report_path:
         write_csv(report, report_path)
