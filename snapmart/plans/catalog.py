@@ -42,8 +42,7 @@ TABLES = (
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver, written once as a Parquet layer; gold branches scan it."""
-    return stage_table(
-        pipeline.activity_silver(pipeline.activity_bronze(spark, sf_dir)), "silver")
+    return pipeline.stage_silver(pipeline.activity_silver(pipeline.activity_bronze(spark, sf_dir)))
 
 
 def _mart(spark: SparkSession, sf_dir: str, strategy: str = "join") -> DataFrame:
@@ -358,7 +357,7 @@ def q_metric_extract(spark, sf_dir):
 
 def q_snapshot_metrics(spark, sf_dir):
     bronze = stage_table(pipeline.activity_bronze(spark, sf_dir), "bronze")
-    silver = stage_table(pipeline.activity_silver(bronze), "silver")
+    silver = pipeline.stage_silver(pipeline.activity_silver(bronze))
     fact = pipeline.build_fact(silver, SPEC)
     mart = build_mart(silver, SPEC)
     report = pipeline.activity_quality(bronze)

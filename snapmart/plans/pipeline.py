@@ -59,6 +59,13 @@ def activity_silver(bronze: DataFrame) -> DataFrame:
     return standardize(bronze, name_col="entity", key_col="entity_key")
 
 
+def stage_silver(silver: DataFrame, path: str | None = None) -> DataFrame:
+    """Write silver partitioned by metric, year-sorted inside each file: the
+    mart's reference-year filter prunes folders and skips row groups, and a
+    per-metric extract reads one folder."""
+    return stage_table(silver, "silver", path, partition_by=["metric"], sort_within=["year"])
+
+
 @dataclass
 class GoldTables:
     dimension: DataFrame
@@ -95,7 +102,7 @@ def gated_pipeline(
     if report_path:
         write_csv(report, report_path)
     q.enforce_gate(report, report_path or "the data-quality report")
-    silver = stage_table(activity_silver(bronze), "silver", silver_path)
+    silver = stage_silver(activity_silver(bronze), silver_path)
     return build_gold(silver, strategy=strategy)
 
 

@@ -56,16 +56,32 @@ def materialize_table(df: DataFrame, name: str, path: str | None = None) -> None
     writer.saveAsTable(name)
 
 
-def stage_table(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+def stage_table(
+    df: DataFrame,
+    label: str,
+    path: str | None = None,
+    partition_by: Sequence[str] = (),
+    sort_within: Sequence[str] = (),
+) -> DataFrame:
     """Write ``df`` once as Parquet (default: a fresh folder under the shared
-    checkpoint location) and return a scan of it.
+    checkpoint location) and return a scan of it with the same schema.
 
     Used at layer boundaries (bronze/silver/gold) that several downstream
     branches read: the upstream plan runs once instead of once per branch, the
     lineage is cut (an executor loss re-reads files, it does not recompute the
     source joins), and readers get Parquet column pruning and filter pushdown.
+    ``partition_by`` turns filters on those columns into folder pruning;
+    ``sort_within`` orders rows inside each file so row-group statistics can
+    skip on that column too (the partitioned writer sorts anyway, so this adds
+    no shuffle).
     """
     spark = df.sparkSession
     target = path or scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    out = df
+    if partition_by or sort_within:
+        out = df.sortWithinPartitions(*partition_by, *sort_within)
+    writer = out.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(target)
+    return spark.read.schema(df.schema).parquet(target).select(*df.columns)
