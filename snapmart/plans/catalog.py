@@ -22,7 +22,7 @@ from snapmart.operators.dedupe import keep_any, keep_first, keep_last
 from snapmart.operators.marts import ACTIVITY_MART, build_dimension, build_mart, reference_rows
 from snapmart.operators.ranking import dense_rank_by
 from snapmart.operators.upsert import upsert
-from snapmart.plans import activity, pipeline, serving
+from snapmart.plans import activity, outputs, pipeline, serving
 from snapmart.plans.activity import read_table
 from snapmart.session import scratch_path
 from snapmart.sources import files
@@ -427,6 +427,18 @@ def q_incremental_ingest(spark, sf_dir):
     return target.read()
 
 
+def q_run_manifest(spark, sf_dir):
+    """C7 + K1, K2, K7-K10: a gated run writing every serving output; the
+    manifest of what was written is returned."""
+    root = scratch_path(spark, "run")
+    bronze = stage_table(pipeline.activity_bronze(spark, sf_dir), "bronze", f"{root}/bronze")
+    report = pipeline.activity_quality(bronze)
+    q.enforce_gate(report)
+    silver = pipeline.stage_silver(pipeline.activity_silver(bronze), f"{root}/silver")
+    gold = pipeline.build_gold(silver, SPEC)
+    return outputs.write_outputs(spark, gold, report, root, SPEC)
+
+
 QUERIES: dict[str, Query] = {
     "activity_long": q_activity_long,
     "activity_quality": q_activity_quality,
@@ -467,5 +479,6 @@ QUERIES: dict[str, Query] = {
     "bronze_lineage": q_bronze_lineage,
     "lake_run": q_lake_run,
     "incremental_ingest": q_incremental_ingest,
+    "run_manifest": q_run_manifest,
 }
 FLAGSHIP = "mart_entity_summary"
