@@ -115,11 +115,12 @@ def lake_run(spark: SparkSession, sf_dir: str, root: str) -> dict[str, object]:
     """
     bronze = activity_bronze(spark, sf_dir).withColumn("lake_key", lake_key("entity"))
     keys = ["lake_key", "year", "metric"]
-    bronze_table = VersionedTable(spark, f"{root}/bronze")
+    # partitioned by metric: a later snapshot of one metric rewrites one folder
+    bronze_table = VersionedTable(spark, f"{root}/bronze", partition_by=["metric"])
     bronze_table.upsert(bronze, keys)
     stored = bronze_table.read()
     silver = lake_silver(stored, keys)
-    silver_table = VersionedTable(spark, f"{root}/silver")
+    silver_table = VersionedTable(spark, f"{root}/silver", partition_by=["metric"])
     silver_table.upsert(silver, keys)
     export = f"{root}/silver_export"
     silver_table.read().write.mode("overwrite").parquet(export)

@@ -2,47 +2,67 @@
 
 Layout under ``root``::
 
-    v=00000001/part-*.parquet    one complete copy per version
-    v=00000002/...
-    _commits/part-*.json         one record per committed version (append only)
-
-A version's files are written first; its commit record is appended only after
-that write succeeded, so readers never see a half-written version and a failed
-run leaves the previous version current. A new version never overwrites the
-folder the plan reads from (the merge reads version n and writes n+1).
-Everything goes through the DataFrame reader/writer, so the root can be any
-file system the cluster can write to.
+    snapmart_version=00000001/[p=../]part-*.parquet   data of version 1
+    snapmart_version=00000002/[p=../]part-*.parquet   only what version 2 rewrote
+    _commits/part-*.json               one record per version (append only):
+                                       version, time, schema, partition folders
+
+A version is the list of folders in its commit record. With ``partition_by``,
+an upsert rewrites only the partitions its source touches and lists the other
+partitions' folders of the previous version unchanged, so an incremental batch
+costs what it touches, not the size of the table (the copy-on-write of whole
+partitions that MERGE also does). Without partitions every version is a full
+copy.
+
+A version's files are written before its commit record is appended, so readers
+never see a half-written version and a failed run leaves the previous version
+current. Nothing is overwritten in place; everything goes through the
+DataFrame reader/writer, so ``root`` can be any file system the cluster writes.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from urllib.parse import unquote
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from snapmart.operators.upsert import upsert
+from snapmart.operators.upsert import assert_unique_keys, upsert
 
 _COMMITS = "_commits"
+_V = "snapmart_version"
+_COMMIT_SCHEMA = "version long, committed_at timestamp, schema string, folders array<string>"
+
+
+def _bare(path: str) -> str:
+    return re.sub(r"^[A-Za-z][\w+.-]*:", "", path).lstrip("/")
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.partition_by = list(partition_by)
 
-    def _version_path(self, version: int) -> str:
-        return f"{self.root}/v={version:08d}"
+    # -- commit log -----------------------------------------------------------
 
-    def versions(self) -> list[int]:
+    def _commits(self) -> DataFrame | None:
         try:
-            commits = self.spark.read.schema("version long, committed_at timestamp").json(
-                f"{self.root}/{_COMMITS}"
-            )
-            return sorted(r.version for r in commits.select("version").collect())
+            return self.spark.read.schema(_COMMIT_SCHEMA).json(f"{self.root}/{_COMMITS}")
         except AnalysisException:
+            return None
+
+    def versions(self) -> list[int]:
+        commits = self._commits()
+        if commits is None:
             return []
+        return sorted(r.version for r in commits.select("version").collect())
 
     def current_version(self) -> int | None:
         found = self.versions()
@@ -52,33 +72,129 @@ class VersionedTable:
         """True once a version is committed."""
         return self.current_version() is not None
 
+    def _record(self, version: int):
+        commits = self._commits()
+        rows = commits.filter(F.col("version") == version).collect() if commits else []
+        if not rows:
+            raise FileNotFoundError(f"no committed version {version} under {self.root}")
+        return rows[0]
+
+    # -- read / write ---------------------------------------------------------
+
     def read(self, version: int | None = None) -> DataFrame:
         """The current (or a given) version."""
         version = version if version is not None else self.current_version()
         if version is None:
             raise FileNotFoundError(f"no committed version under {self.root}")
-        return self.spark.read.parquet(self._version_path(version))
-
-    def write(self, df: DataFrame) -> int:
-        """Commit ``df`` as the next version (K4; overwrite semantics)."""
-        version = (self.current_version() or 0) + 1
-        df.write.mode("overwrite").parquet(self._version_path(version))
+        record = self._record(version)
+        schema = T.StructType.fromJson(json.loads(record.schema))
+        scan_schema = T.StructType([*schema.fields, T.StructField(_V, T.StringType())])
+        df = (
+            self.spark.read.schema(scan_schema)
+            .option("basePath", self.root)
+            .parquet(*record.folders)
+        )
+        return df.select(*schema.names)
+
+    def _folders_of(self, version_dir: str) -> list[str]:
+        """Leaf folders holding the data files of one write (file index only)."""
+        files = (
+            self.spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(version_dir)
+            .inputFiles()
+        )
+        prefix = _bare(version_dir).rstrip("/") + "/"
+        folders = set()
+        for f in files:
+            rel = _bare(unquote(f))[len(prefix):]  # file index paths are URI-encoded
+            parent = rel.rsplit("/", 1)[0] if "/" in rel else ""
+            folders.add(f"{version_dir}/{parent}" if parent else version_dir)
+        return sorted(folders)
+
+    def _commit(self, version: int, schema: T.StructType, folders: list[str]) -> None:
         record = self.spark.range(1).select(
             F.lit(version).cast("long").alias("version"),
             F.current_timestamp().alias("committed_at"),
+            F.lit(schema.json()).alias("schema"),
+            F.array(*[F.lit(f) for f in folders]).cast("array<string>").alias("folders"),
         )
         record.coalesce(1).write.mode("append").json(f"{self.root}/{_COMMITS}")
+
+    def _write_data(self, df: DataFrame, version: int) -> list[str]:
+        target = f"{self.root}/{_V}={version:08d}"
+        writer = df.write.mode("overwrite")
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.parquet(target)
+        try:
+            return self._folders_of(target)
+        except AnalysisException:  # an empty write leaves no data files
+            return []
+
+    def write(self, df: DataFrame) -> int:
+        """Commit ``df`` as the next version, replacing the whole table (K4)."""
+        version = (self.current_version() or 0) + 1
+        folders = self._write_data(df, version)
+        if not folders:  # keep an empty version readable
+            empty = f"{self.root}/{_V}={version:08d}"
+            df.limit(0).write.mode("overwrite").parquet(empty)
+            folders = [empty]
+        self._commit(version, df.schema, folders)
         return version
 
     def upsert(self, source: DataFrame, keys: Sequence[str]) -> int:
         """Merge ``source`` on ``keys`` into a new version.
 
         The first load writes the source as version 1 after the same duplicate
-        key check a merge applies.
+        key check a merge applies. With ``partition_by`` (which must be part of
+        the keys, so a key never moves between partitions) only the touched
+        partitions are read, merged and rewritten.
         """
+        if not set(self.partition_by) <= set(keys):
+            raise ValueError("partition columns must be part of the merge keys")
         if not self.exists():
-            from snapmart.operators.upsert import assert_unique_keys
-
             assert_unique_keys(source, keys)
             return self.write(source)
-        return self.write(upsert(self.read(), source, keys))
+        if not self.partition_by:
+            return self.write(upsert(self.read(), source, keys))
+
+        previous = self._record(self.current_version())
+        # distinct partition values of the batch: one row per touched folder
+        touched = [tuple(r) for r in source.select(*self.partition_by).distinct().collect()]
+        current = self.read().filter(_partition_filter(self.partition_by, touched))
+        merged = upsert(current, source, keys)  # the scan above is partition-pruned
+        version = previous.version + 1
+        new_folders = self._write_data(merged, version)
+        # every touched partition is rewritten (it holds at least the source
+        # rows); all other folders of the previous version are carried over
+        rewritten = {_partition_of(f) for f in new_folders}
+        kept = [f for f in previous.folders if _partition_of(f) not in rewritten]
+        schema = T.StructType.fromJson(json.loads(previous.schema))
+        if merged.schema.names != schema.names:
+            schema = merged.schema  # evolved: older files read the new columns as null
+        self._commit(version, schema, sorted(kept + new_folders))
+        return version
+
+
+def _partition_of(folder: str) -> tuple[tuple[str, str], ...]:
+    """The ``name=value`` segments below the version folder (as written by Spark)."""
+    tail = _bare(folder).split(f"/{_V}=", 1)[-1]
+    return tuple(tuple(seg.split("=", 1)) for seg in tail.split("/")[1:] if "=" in seg)
+
+
+def _partition_filter(columns: list[str], values: list[tuple]):
+    """Literal predicate selecting the touched partitions (prunes folders)."""
+    if len(columns) == 1:
+        present = [v[0] for v in values if v[0] is not None]
+        cond = F.col(columns[0]).isin(present) if present else F.lit(False)
+        if any(v[0] is None for v in values):
+            cond = cond | F.col(columns[0]).isNull()
+        return cond
+    return reduce(
+        lambda a, b: a | b,
+        [reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, vals)])
+         for vals in values],
+        F.lit(False),
+    )

@@ -114,3 +114,35 @@ def test_metric_extract_sink_is_one_partitioned_write(spark, workdir):
         "metric=gas", "metric=oil"]
     back = spark.read.option("header", True).csv(f"{workdir}/extracts")
     assert back.filter(F.col("metric") == "oil").count() == 1
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, workdir):
+    table = VersionedTable(spark, f"{workdir}/lake", partition_by=["p"])
+    schema = "p string, k int, v string"
+    table.upsert(spark.createDataFrame(
+        [("a", 1, "x"), ("a", 2, "y"), ("b", 3, "z"), ("c d/e", 4, "w")], schema), ["p", "k"])
+    table.upsert(spark.createDataFrame([("a", 2, "Y"), ("a", 5, "n")], schema), ["p", "k"])
+    assert _rows(table.read()) == [("a", 1, "x"), ("a", 2, "Y"), ("a", 5, "n"), ("b", 3, "z"),
+                                   ("c d/e", 4, "w")]
+    folders = table._record(2).folders
+    # untouched partitions still point at version 1's files; "a" was rewritten
+    assert sum("version=00000001" in f for f in folders) == 2
+    assert sum("version=00000002" in f for f in folders) == 1
+    assert _rows(table.read(1)) == [("a", 1, "x"), ("a", 2, "y"), ("b", 3, "z"), ("c d/e", 4, "w")]
+    # new partition and schema evolution
+    table.upsert(spark.createDataFrame([("e", 9, "q", 1.5)], schema + ", extra double"),
+                 ["p", "k"])
+    got = {r.k: r for r in table.read().collect()}
+    assert got[9].extra == 1.5 and got[1].extra is None and len(got) == 6
+    with pytest.raises(ValueError, match="partition columns"):
+        table.upsert(spark.createDataFrame([("a", 1, "x")], schema), ["k"])
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_discovered_paths_with_spaces_are_readable(spark, workdir):
+    _write(f"{workdir}/in dir/my file.csv", [HEADER, _row("A")])
+    paths = files.discover_files(spark, workdir)
+    assert files.read_raw_csv(spark, paths).count() == 1
