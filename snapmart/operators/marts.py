@@ -15,9 +15,8 @@ Two equivalent strategies build the wide rows:
   key has at most one row per metric and reference year (true after
   de-duplication on the key), and picks one whole row otherwise.
 
-Scaling needs global extrema; they come from a one-row aggregate that is
-cross-joined back with an explicit broadcast (one row, so its size is known),
-never from an unpartitioned window.
+Scaling needs global extrema; they come from scalar subqueries (merged by the
+optimizer into one aggregation of one row), never from an unpartitioned window.
 """
 
 from __future__ import annotations
@@ -242,19 +241,16 @@ def add_score(wide: DataFrame, spec: MartSpec) -> DataFrame:
     logs = {m.metric: f"__log_{i}" for i, m in enumerate(spec.metrics)}
     logged = wide.select("*", *[log_activity(m.value_column).alias(logs[m.metric])
                                 for m in spec.metrics])
-    extrema = logged.agg(
-        *[F.min(c).alias(f"{c}_lo") for c in logs.values()],
-        *[F.max(c).alias(f"{c}_hi") for c in logs.values()],
-    )
-    scored = logged.crossJoin(F.broadcast(extrema))  # one row by construction
     total = None
     for m in spec.metrics:
         c = logs[m.metric]
-        term = F.lit(m.weight) * min_max_scaled(c, f"{c}_lo", f"{c}_hi")
+        # global extrema as scalar subqueries; the optimizer merges them into
+        # one aggregation whose single row is shared by every task
+        lo = logged.select(F.min(c)).scalar()
+        hi = logged.select(F.max(c)).scalar()
+        term = F.lit(m.weight) * min_max_scaled(c, lo, hi)
         total = term if total is None else total + term
-    return scored.withColumn(spec.score_col, round_half_even(total, 2)).select(
-        *wide.columns, spec.score_col
-    )
+    return logged.select(*wide.columns, round_half_even(total, 2).alias(spec.score_col))
 
 
 def build_mart(silver: DataFrame, spec: MartSpec, strategy: str = "join") -> DataFrame:

@@ -116,5 +116,9 @@ def run_manifest(
         F.array(*[F.lit(v) for v in values]).cast("array<string>").alias(name)
         for name, values in listings.items()
     ]
-    return counts.crossJoin(F.broadcast(checks)).select(*lists, "row_counts", "quality_checks",
-                                                        "quality_failures")
+    return counts.select(
+        *lists,
+        "row_counts",
+        checks.select("quality_checks").scalar().alias("quality_checks"),
+        checks.select("quality_failures").scalar().alias("quality_failures"),
+    )

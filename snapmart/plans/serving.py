@@ -134,8 +134,8 @@ def snapshot_metrics(
     decimal_scale: int | None = 2,
 ) -> DataFrame:
     """The one-row metrics document (C6, A2-A5): record counts, entity count,
-    totals, check totals and the leading names. Three aggregations, each one
-    row, cross-joined (one-row sides are broadcast by construction)."""
+    totals, check totals and the leading names. Three one-row aggregations;
+    the mart and report values join the fact row as scalar subqueries."""
     f = fact.agg(
         F.count(F.lit(1)).alias("source_records"),
         *[F.count_if(F.col("metric") == m.metric).alias(f"{m.prefix}_records")
@@ -157,7 +157,11 @@ def snapshot_metrics(
         F.count(F.lit(1)).alias("quality_checks"),
         F.count_if(F.col("status") == FAIL).alias("quality_failures"),
     )
-    return f.crossJoin(F.broadcast(g)).crossJoin(F.broadcast(r))
+    return f.select(
+        "*",
+        *[g.select(c).scalar().alias(c) for c in g.columns],
+        *[r.select(c).scalar().alias(c) for c in r.columns],
+    )
 
 
 def serving_top(spark: SparkSession, mart: DataFrame, spec: MartSpec, view: str, n: int = 10):
