@@ -13,18 +13,23 @@ from snapmart.operators.dedupe import keep_last
 from snapmart.operators.quality import strip_whitespace
 
 DEFAULT_ORDER = ("ingested_at_utc", "source_file")
+FILE_ORDER = ("ingested_at_utc", "source_file", "source_block", "source_row")
 
 
 def standardize(
     bronze: DataFrame,
     name_col: str = "municipality",
     key_col: str = "municipality_key",
-    order_by: Sequence[str] = DEFAULT_ORDER,
+    order_by: Sequence[str] | None = None,
     dedupe_on: Sequence[str] | None = None,
     date_columns: Sequence[str] = ("source_last_updated", "snapshot_retrieved_at"),
 ) -> DataFrame:
     """Trim the name, derive the entity key, cast strictly, keep the last row per
-    (name, year, metric) under ``order_by`` with a full tie-break.
+    (dataset, name, year, metric) under ``order_by`` with a full tie-break.
+
+    Default order: file position when the bronze came from
+    :func:`~snapmart.sources.files.read_raw_csv` (the last line of a file
+    wins), else ingestion time and source label.
 
     Strict casts (year, value, dates) raise on bad text; the growth rates are
     lenient (bad text becomes null).
@@ -42,8 +47,12 @@ def standardize(
         *[typed[c].alias(c) if c in typed else F.col(c) for c in bronze.columns],
         entity_key(strip_whitespace(name_col)).alias(key_col),
     )
-    keys = list(dedupe_on or (name_col, "year", "metric"))
-    return keep_last(df, keys, list(order_by))
+    if dedupe_on is None:
+        dedupe_on = (["dataset"] if "dataset" in bronze.columns else []) + [name_col, "year",
+                                                                            "metric"]
+    if order_by is None:
+        order_by = FILE_ORDER if "source_row" in bronze.columns else DEFAULT_ORDER
+    return keep_last(df, list(dedupe_on), list(order_by))
 
 
 def lake_silver(bronze: DataFrame, keys: Sequence[str], order_by: Sequence[str] = DEFAULT_ORDER,

@@ -144,3 +144,14 @@ def test_join_strategy_fans_out_on_duplicate_keys(spark):
                                      "five_year_change_pct double")
     assert build_mart(df, ACTIVITY_MART, "join").count() == 2
     assert build_mart(df, ACTIVITY_MART, "aggregate").count() == 1
+
+
+def test_silver_keeps_last_line_of_the_file(spark, workdir):
+    rows = [("Dup Town", 2025, "5", "1.0", "1.0"), ("Dup Town", 2025, "9", "1.0", "1.0"),
+            ("Dup Town", 2025, "7", "1.0", "1.0"), ("Other", 2025, "1", "2.0", "2.0")]
+    _csv(f"{workdir}/oil.csv", "oil_production", "m3", rows)
+    bronze = files.load_bronze(spark, [
+        files.SnapshotSource("oil", (f"{workdir}/oil.csv",), "oil_production")])
+    silver = {r.municipality: r for r in standardize(bronze).collect()}
+    assert silver["Dup Town"].value == 7.0  # last line, not the largest value
+    assert len(silver) == 2
