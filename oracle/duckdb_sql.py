@@ -544,8 +544,8 @@ FROM top_metric""", BY_METRIC_CTE, _top_by_metric(8)),
     {_top1('billed_2000')} AS top_billed_entity,
     {_top1('returned_qty_2000')} AS top_returned_qty_entity,
     {_top1('order_count_1999')} AS top_order_count_entity,
-    18 AS quality_checks,
-    0 AS quality_failures""", FACT_CTE),
+    CAST(18 AS BIGINT) AS quality_checks,
+    CAST(0 AS BIGINT) AS quality_failures""", FACT_CTE),
         "table_row_counts": "\nUNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
             for t in ("region nation customer supplier part orders lineitem events documents "
@@ -566,7 +566,8 @@ FROM activity WHERE value >= 0"""),
        MAP {'dim_entity': (SELECT count(*) FROM dim),
             'fct_activity': (SELECT count(*) FROM fact),
             'mart_entity_summary': (SELECT count(*) FROM mart)} AS row_counts,
-       18 AS quality_checks, 0 AS quality_failures""", FACT_CTE),
+       CAST(18 AS BIGINT) AS quality_checks, CAST(0 AS BIGINT) AS quality_failures""",
+            FACT_CTE),
         "incremental_ingest": """SELECT event_id, ts, user_id, event_type,
        CASE WHEN event_type = 'click' THEN value + 1.0 ELSE value END AS value, props
 FROM events""",

@@ -106,13 +106,15 @@ def top_k(
     caller's duty), with their 1-based position. ``k`` is the feature here."""
     if partition_by:
         window = Window.partitionBy(*partition_by).orderBy(*order_by)
-        return df.withColumn(position_col, F.row_number().over(window)).filter(
-            F.col(position_col) <= k
-        )
+        ranked = df.withColumn(position_col, F.row_number().over(window))
+        # filter on the window value first so Catalyst plans WindowGroupLimit
+        return ranked.filter(F.col(position_col) <= k).withColumn(
+            position_col, F.col(position_col).cast("long"))
     limited = df.orderBy(*order_by).limit(k)  # TakeOrderedAndProject
     # The window only ever sees the k surviving rows.
     return limited.withColumn(
-        position_col, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order_by))
+        position_col,
+        F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order_by)).cast("long"),
     )
 
 
