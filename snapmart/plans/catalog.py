@@ -422,11 +422,14 @@ def q_incremental_ingest(spark, sf_dir):
     merge_key = ["event_type", "event_id"]
     landing, ckpt = f"{root}/landing", f"{root}/checkpoint"
     events.write.mode("append").parquet(landing)
-    ingest_available(spark, landing, events.schema, target, merge_key, ckpt)
+    gate = [q.not_null(["event_id", "event_type", "ts"])]
+    ingest_available(spark, landing, events.schema, target, merge_key, ckpt, rules=gate,
+                     report_path=f"{root}/reports")
     revalued = events.filter(F.col("event_type") == "click").withColumn(
         "value", F.col("value") + F.lit(1.0))
     revalued.write.mode("append").parquet(landing)
-    ingest_available(spark, landing, events.schema, target, merge_key, ckpt)
+    ingest_available(spark, landing, events.schema, target, merge_key, ckpt, rules=gate,
+                     report_path=f"{root}/reports")
     return target.read()
 
 

@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,7 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by)
+        self.last_rows_written: int | None = None  # observed while writing (A10)
 
     # -- commit log -----------------------------------------------------------
 
@@ -124,10 +125,14 @@ class VersionedTable:
 
     def _write_data(self, df: DataFrame, version: int) -> list[str]:
         target = f"{self.root}/{_V}={version:08d}"
+        # count the rows as they are written instead of scanning again
+        observation = Observation(f"write_{version}")
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
         writer = df.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(target)
+        self.last_rows_written = observation.get["rows"]
         try:
             return self._folders_of(target)
         except AnalysisException:  # an empty write leaves no data files

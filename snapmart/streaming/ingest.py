@@ -7,6 +7,9 @@ that arrived since the last run and stops. The stream checkpoint (its file
 log) is the file-level watermark: a restart on the same checkpoint skips every
 file already committed.
 
+Each batch can be gated by quality rules before it is merged (the same
+one-pass report and blocking gate as the batch pipeline).
+
 ``foreachBatch`` may replay a batch after a failure; that is harmless because
 the upsert is idempotent for non-null keys, so null keys are rejected up front.
 Within one batch several files may carry the same key: the row from the most
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.operators.dedupe import keep_last
+from snapmart.operators.quality import Rule, enforce_gate, quality_report
 from snapmart.sources.lake import VersionedTable
 
 _FILE_TIME, _FILE_NAME = "__file_time", "__file_name"
@@ -36,6 +40,8 @@ def _batch_writer(
     target: VersionedTable,
     keys: Sequence[str],
     transform: Callable[[DataFrame], DataFrame] | None,
+    rules: Sequence[Rule] | None,
+    report_path: str | None,
 ):
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
@@ -44,6 +50,16 @@ def _batch_writer(
             any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
             if rows.filter(any_null).limit(1).count():
                 raise NullKeyError(f"batch {epoch_id} has rows with a null key {list(keys)}")
+            if rules:
+                # the batch's report is kept (one folder per epoch) before the
+                # gate may stop the stream; a failed batch is not committed, so
+                # a restart retries it after the files are fixed
+                report = quality_report({"batch": rows}, list(rules)).withColumn(
+                    "epoch", F.lit(epoch_id))
+                location = f"{report_path}/epoch={epoch_id}" if report_path else None
+                if location:
+                    report.write.mode("overwrite").parquet(location)
+                enforce_gate(report, location or f"the report of batch {epoch_id}")
             latest = keep_last(rows, list(keys), [_FILE_TIME, _FILE_NAME]).drop(
                 _FILE_TIME, _FILE_NAME
             )
@@ -65,8 +81,14 @@ def ingest_available(
     options: dict[str, str] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     max_files_per_trigger: int | None = None,
+    rules: Sequence[Rule] | None = None,
+    report_path: str | None = None,
 ) -> None:
-    """Process every file in ``landing`` not yet seen by this checkpoint, then stop."""
+    """Process every file in ``landing`` not yet seen by this checkpoint, then stop.
+
+    ``rules`` gate every micro-batch (one-pass report, blocking on ERROR) before
+    it is merged; ``report_path`` keeps each batch's report.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
@@ -78,7 +100,8 @@ def ingest_available(
         F.col("_metadata.file_name").alias(_FILE_NAME),
     )
     query = (
-        stream.writeStream.foreachBatch(_batch_writer(target, keys, transform))
+        stream.writeStream.foreachBatch(
+            _batch_writer(target, keys, transform, rules, report_path))
         .option("checkpointLocation", checkpoint_location)
         .trigger(availableNow=True)
         .start()

@@ -51,3 +51,29 @@ def test_null_keys_are_rejected(spark, workdir):
     with pytest.raises(Exception, match="null key"):
         ingest_available(spark, landing, schema, table, ["k"], ckpt)
     assert not table.exists()
+
+
+def test_quality_gate_blocks_a_bad_batch(spark, workdir):
+    import os
+
+    from snapmart.operators import quality as q
+
+    landing, ckpt = f"{workdir}/landing", f"{workdir}/ckpt"
+    table = VersionedTable(spark, f"{workdir}/table")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    rules = [q.not_null(["k", "v"])]
+    spark.createDataFrame([(1, "a")], SCHEMA).write.mode("append").parquet(landing)
+    ingest_available(spark, landing, schema, table, ["k"], ckpt, rules=rules,
+                     report_path=f"{workdir}/reports")
+    spark.createDataFrame([(2, None)], SCHEMA).write.mode("append").parquet(landing)
+    with pytest.raises(Exception, match="Blocking data-quality checks failed"):
+        ingest_available(spark, landing, schema, table, ["k"], ckpt, rules=rules,
+                         report_path=f"{workdir}/reports")
+    assert _rows(table.read()) == [(1, "a")]
+    assert len([d for d in os.listdir(f"{workdir}/reports") if d.startswith("epoch=")]) == 2
+
+
+def test_rows_written_are_observed(spark, workdir):
+    table = VersionedTable(spark, f"{workdir}/t")
+    table.write(spark.range(7).selectExpr("cast(id as int) k"))
+    assert table.last_rows_written == 7
