@@ -56,23 +56,27 @@ def write_outputs(
     report: DataFrame,
     root: str,
     spec: MartSpec = ACTIVITY_MART,
+    names: tuple[str, str, str] = GOLD_NAMES,
 ) -> DataFrame:
-    """Write every serving output of a run and return its one-row manifest."""
+    """Write every serving output of a run and return its one-row manifest.
+
+    ``names`` are the (dimension, fact, mart) table names."""
     root = root.rstrip("/")
     staged = {
         name: stage_table(df, name, f"{root}/gold/parquet/{name}")
-        for name, df in zip(GOLD_NAMES, (gold.dimension, gold.fact, gold.mart))
+        for name, df in zip(names, (gold.dimension, gold.fact, gold.mart))
     }
-    dim, fact, mart = (staged[n] for n in GOLD_NAMES)
-    write_csv(dim, f"{root}/gold/csv/dim_entity", [F.col(spec.name_col).asc_nulls_last()])
-    write_csv(fact, f"{root}/gold/csv/fct_activity",
+    dim_name, fact_name, mart_name = names
+    dim, fact, mart = (staged[n] for n in names)
+    write_csv(dim, f"{root}/gold/csv/{dim_name}", [F.col(spec.name_col).asc_nulls_last()])
+    write_csv(fact, f"{root}/gold/csv/{fact_name}",
               [F.col("metric").asc_nulls_last(), F.col("value").desc_nulls_last()])
-    write_csv(mart, f"{root}/gold/csv/mart_entity_summary", mart_order(spec))
+    write_csv(mart, f"{root}/gold/csv/{mart_name}", mart_order(spec))
 
     report = stage_table(report, "report", f"{root}/results/data_quality_report.parquet")
     write_csv(report, f"{root}/results/data_quality_report")
     write_csv(report, f"{root}/extracts/data_quality_report")
-    write_csv(mart, f"{root}/extracts/mart_entity_summary", mart_order(spec))
+    write_csv(mart, f"{root}/extracts/{mart_name}", mart_order(spec))
     write_metric_extracts(fact, f"{root}/extracts/fact_by_metric")
     tops = serving.top_by_metric(mart, spec, 10)
     tops.write.mode("overwrite").option("header", True).partitionBy("metric").csv(

@@ -155,3 +155,35 @@ def test_silver_keeps_last_line_of_the_file(spark, workdir):
     silver = {r.municipality: r for r in standardize(bronze).collect()}
     assert silver["Dup Town"].value == 7.0  # last line, not the largest value
     assert len(silver) == 2
+
+
+def test_snapshot_pipeline_end_to_end(spark, workdir):
+    from snapmart.operators.quality import QualityGateError
+    from snapmart.plans.pipeline import ENERGY_GOLD_NAMES, run_snapshot_pipeline
+
+    _csv(f"{workdir}/src/oil.csv", "oil_production", "m3", OIL)
+    _csv(f"{workdir}/src/gas.csv", "natural_gas_production", "m3", GAS)
+    _csv(f"{workdir}/src/wells.csv", "well_count", "count", WELLS)
+    sources = [
+        files.SnapshotSource("oil", (f"{workdir}/src/oil.csv",), "oil_production"),
+        files.SnapshotSource("gas", (f"{workdir}/src/gas.csv",), "natural_gas_production"),
+        files.SnapshotSource("wells", (f"{workdir}/src/wells.csv",), "well_count"),
+    ]
+    manifest = run_snapshot_pipeline(spark, sources, f"{workdir}/out").first()
+    assert manifest.gold_tables == sorted(ENERGY_GOLD_NAMES)
+    assert manifest.row_counts == {"dim_municipality": 4, "fct_energy_activity": 9,
+                                   "mart_municipality_energy_summary": 4}
+    assert (manifest.quality_checks, manifest.quality_failures) == (18, 0)
+    mart = spark.read.parquet(f"{workdir}/out/warehouse/gold/parquet/"
+                              "mart_municipality_energy_summary")
+    opp = mart.filter("municipality = 'Opportunity No. 17'").first()
+    assert opp.oil_m3_2025 == 3_100_000 and opp.activity_class == "Declining"
+    assert os.listdir(f"{workdir}/out/warehouse/extracts/fact_by_metric")
+
+    bad = [("Bad Place", 2025, "-5", "1.0", "1.0")]
+    _csv(f"{workdir}/src2/oil.csv", "oil_production", "m3", bad)
+    with pytest.raises(QualityGateError):
+        run_snapshot_pipeline(spark, [files.SnapshotSource(
+            "oil", (f"{workdir}/src2/oil.csv",), "oil_production")], f"{workdir}/out2")
+    assert any(f.endswith(".csv") for f in os.listdir(
+        f"{workdir}/out2/results/data_quality_report"))
