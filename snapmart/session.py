@@ -53,28 +53,41 @@ def build_session(
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - some versions raise for unset keys
+        return None
+
+
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (no driver JVM here)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect raises when it is accessed
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, applying ``spark.checkpoint.dir`` if needed.
 
-    Raises on a non-local master without a configured shared folder.
+    A folder of our own (a local temp folder) is chosen only when nothing is
+    configured and the master is local; otherwise a missing setting raises.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: the server owns the checkpoint folder
+        configured = _conf(spark, "spark.checkpoint.dir")
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset conf raises in some versions
-            configured = None
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or _conf(
+        spark, "spark.checkpoint.dir")
     if configured:
         sc.setCheckpointDir(configured)
-    elif _is_local(spark):
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="snapmart-ckpt-"))
     else:
         raise RuntimeError(
