@@ -384,7 +384,7 @@ FROM stg""",
         "fact_activity": with_activity("SELECT * FROM fact", SILVER_CTE, FACT_CTE),
         "mart_entity_summary": MART_SQL,
         "mart_entity_summary_agg": MART_SQL,
-        "gated_pipeline": MART_SQL,
+        "gated_run": MART_SQL,
         "lineitem_measures": """SELECT l_orderkey, l_linenumber, l_partkey,
        CASE WHEN l_quantity > 0 THEN l_extendedprice / l_quantity END AS unit_price,
        CASE WHEN 1 + (l_tax * 100) / 100.0 = 0 THEN l_extendedprice

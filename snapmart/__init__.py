@@ -10,7 +10,7 @@ Layout
 ``sources``    file scans, header contracts, lineage, sinks, versioned table store
 ``operators``  dedupe, quality report, upsert, aggregates, rankings, top-k, marts
 ``plans``      the activity snapshot derived from the driver tables, and the
-               gated end-to-end pipelines built from the operators
+               gated end-to-end runs built from the operators
 ``streaming``  incremental ingest of newly arrived files (Structured Streaming)
 """
 

@@ -1 +1 @@
-"""Query plans: the activity snapshot and the composed pipelines."""
+"""Query plans: the activity snapshot and the composed medallion runs."""

@@ -22,7 +22,7 @@ from snapmart.operators.dedupe import keep_any, keep_first, keep_last
 from snapmart.operators.marts import ACTIVITY_MART, build_dimension, build_mart, reference_rows
 from snapmart.operators.ranking import dense_rank_by
 from snapmart.operators.upsert import upsert
-from snapmart.plans import activity, outputs, pipeline, serving
+from snapmart.plans import activity, medallion, outputs, serving
 from snapmart.plans.activity import read_table
 from snapmart.session import scratch_path
 from snapmart.sources import files
@@ -42,7 +42,7 @@ TABLES = (
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver, written once as a Parquet layer; gold branches scan it."""
-    return pipeline.stage_silver(pipeline.activity_silver(pipeline.activity_bronze(spark, sf_dir)))
+    return medallion.stage_silver(medallion.activity_silver(medallion.activity_bronze(spark, sf_dir)))
 
 
 def _mart(spark: SparkSession, sf_dir: str, strategy: str = "join") -> DataFrame:
@@ -50,7 +50,7 @@ def _mart(spark: SparkSession, sf_dir: str, strategy: str = "join") -> DataFrame
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.build_fact(_silver(spark, sf_dir), SPEC)
+    return medallion.build_fact(_silver(spark, sf_dir), SPEC)
 
 
 def q_activity_long(spark, sf_dir):
@@ -58,7 +58,7 @@ def q_activity_long(spark, sf_dir):
 
 
 def q_activity_quality(spark, sf_dir):
-    return pipeline.activity_quality(pipeline.activity_bronze(spark, sf_dir))
+    return medallion.activity_quality(medallion.activity_bronze(spark, sf_dir))
 
 
 def q_silver_activity(spark, sf_dir):
@@ -109,8 +109,8 @@ def q_mart_entity_summary_agg(spark, sf_dir):
     return _mart(spark, sf_dir, "aggregate")
 
 
-def q_gated_pipeline(spark, sf_dir):
-    gold = pipeline.gated_pipeline(spark, sf_dir)
+def q_gated_run(spark, sf_dir):
+    gold = medallion.gated_run(spark, sf_dir)
     return gold.mart
 
 
@@ -356,11 +356,11 @@ def q_metric_extract(spark, sf_dir):
 
 
 def q_snapshot_metrics(spark, sf_dir):
-    bronze = stage_table(pipeline.activity_bronze(spark, sf_dir), "bronze")
-    silver = pipeline.stage_silver(pipeline.activity_silver(bronze))
-    fact = pipeline.build_fact(silver, SPEC)
+    bronze = stage_table(medallion.activity_bronze(spark, sf_dir), "bronze")
+    silver = medallion.stage_silver(medallion.activity_silver(bronze))
+    fact = medallion.build_fact(silver, SPEC)
     mart = build_mart(silver, SPEC)
-    report = pipeline.activity_quality(bronze)
+    report = medallion.activity_quality(bronze)
     return serving.snapshot_metrics(fact, mart, report, SPEC)
 
 
@@ -406,7 +406,7 @@ def q_bronze_lineage(spark, sf_dir):
 def q_lake_run(spark, sf_dir):
     """Bronze upsert keyed by the lake key, filter-then-dedupe silver,
     silver upsert, Parquet export; the export is returned."""
-    result = pipeline.lake_run(spark, sf_dir, scratch_path(spark, "lake"))
+    result = medallion.lake_run(spark, sf_dir, scratch_path(spark, "lake"))
     export = spark.read.parquet(result["export"])
     return export.drop("ingested_at_utc", "record_hash")
 
@@ -437,11 +437,11 @@ def q_run_manifest(spark, sf_dir):
     """C7 + K1, K2, K7-K10: a gated run writing every serving output; the
     manifest of what was written is returned."""
     root = scratch_path(spark, "run")
-    bronze = stage_table(pipeline.activity_bronze(spark, sf_dir), "bronze", f"{root}/bronze")
-    report = pipeline.activity_quality(bronze)
+    bronze = stage_table(medallion.activity_bronze(spark, sf_dir), "bronze", f"{root}/bronze")
+    report = medallion.activity_quality(bronze)
     q.enforce_gate(report)
-    silver = pipeline.stage_silver(pipeline.activity_silver(bronze), f"{root}/silver")
-    gold = pipeline.build_gold(silver, SPEC)
+    silver = medallion.stage_silver(medallion.activity_silver(bronze), f"{root}/silver")
+    gold = medallion.build_gold(silver, SPEC)
     return outputs.write_outputs(spark, gold, report, root, SPEC)
 
 
@@ -456,7 +456,7 @@ QUERIES: dict[str, Query] = {
     "fact_activity": q_fact_activity,
     "mart_entity_summary": q_mart_entity_summary,
     "mart_entity_summary_agg": q_mart_entity_summary_agg,
-    "gated_pipeline": q_gated_pipeline,
+    "gated_run": q_gated_run,
     "lineitem_measures": q_lineitem_measures,
     "entity_keys": q_entity_keys,
     "normalize_identifier": q_normalize_identifier,

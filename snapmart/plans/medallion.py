@@ -1,4 +1,4 @@
-"""Composed pipelines over the activity snapshot.
+"""Composed medallion runs over the activity snapshot.
 
 ``bronze -> quality report (+ gate) -> silver -> gold`` with the same steps the
 published snapshot pipeline takes, each a lazy DataFrame transformation; the
@@ -82,7 +82,7 @@ def build_gold(silver: DataFrame, spec: MartSpec = ACTIVITY_MART, strategy: str
     )
 
 
-def gated_pipeline(
+def gated_run(
     spark: SparkSession,
     sf_dir: str,
     report_path: str | None = None,
@@ -139,7 +139,7 @@ def lake_run(spark: SparkSession, sf_dir: str, root: str) -> dict[str, object]:
 ENERGY_GOLD_NAMES = ("dim_municipality", "fct_energy_activity", "mart_municipality_energy_summary")
 
 
-def run_snapshot_pipeline(
+def run_snapshot(
     spark: SparkSession,
     sources: list,
     root: str,

@@ -9,7 +9,7 @@ Layout under ``root``::
     results/data_quality_report/  K8   (the report in two places)
     results/top_by_metric/metric=<m>/     top-10 lists (O5)
     results/summary_metrics/      K9   one-row JSON document
-    results/pipeline_run_manifest/  K10 one-row JSON document
+    results/run_manifest/  K10 one-row JSON document
 
 Gold tables are written once as Parquet; every other output reads those files,
 so the upstream plan never runs twice.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from snapmart.operators.marts import ACTIVITY_MART, MartSpec, mart_order
 from snapmart.plans import serving
-from snapmart.plans.pipeline import GoldTables
+from snapmart.plans.medallion import GoldTables
 from snapmart.sources.files import discover_files
 from snapmart.sources.sinks import (
     stage_table,
@@ -95,7 +95,7 @@ def write_outputs(
         staged,
         report,
     )
-    write_json_document(manifest, f"{root}/results/pipeline_run_manifest")
+    write_json_document(manifest, f"{root}/results/run_manifest")
     return manifest
 
 

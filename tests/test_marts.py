@@ -157,9 +157,9 @@ def test_silver_keeps_last_line_of_the_file(spark, workdir):
     assert len(silver) == 2
 
 
-def test_snapshot_pipeline_end_to_end(spark, workdir):
+def test_snapshot_run_end_to_end(spark, workdir):
     from snapmart.operators.quality import QualityGateError
-    from snapmart.plans.pipeline import ENERGY_GOLD_NAMES, run_snapshot_pipeline
+    from snapmart.plans.medallion import ENERGY_GOLD_NAMES, run_snapshot
 
     _csv(f"{workdir}/src/oil.csv", "oil_production", "m3", OIL)
     _csv(f"{workdir}/src/gas.csv", "natural_gas_production", "m3", GAS)
@@ -169,7 +169,7 @@ def test_snapshot_pipeline_end_to_end(spark, workdir):
         files.SnapshotSource("gas", (f"{workdir}/src/gas.csv",), "natural_gas_production"),
         files.SnapshotSource("wells", (f"{workdir}/src/wells.csv",), "well_count"),
     ]
-    manifest = run_snapshot_pipeline(spark, sources, f"{workdir}/out").first()
+    manifest = run_snapshot(spark, sources, f"{workdir}/out").first()
     assert manifest.gold_tables == sorted(ENERGY_GOLD_NAMES)
     assert manifest.row_counts == {"dim_municipality": 4, "fct_energy_activity": 9,
                                    "mart_municipality_energy_summary": 4}
@@ -183,7 +183,7 @@ def test_snapshot_pipeline_end_to_end(spark, workdir):
     bad = [("Bad Place", 2025, "-5", "1.0", "1.0")]
     _csv(f"{workdir}/src2/oil.csv", "oil_production", "m3", bad)
     with pytest.raises(QualityGateError):
-        run_snapshot_pipeline(spark, [files.SnapshotSource(
+        run_snapshot(spark, [files.SnapshotSource(
             "oil", (f"{workdir}/src2/oil.csv",), "oil_production")], f"{workdir}/out2")
     assert any(f.endswith(".csv") for f in os.listdir(
         f"{workdir}/out2/results/data_quality_report"))
