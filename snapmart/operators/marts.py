@@ -15,8 +15,8 @@ Two equivalent strategies build the wide rows:
   key has at most one row per metric and reference year (true after
   de-duplication on the key), and picks one whole row otherwise.
 
-Scaling needs global extrema; they come from scalar subqueries (merged by the
-optimizer into one aggregation of one row), never from an unpartitioned window.
+Scaling needs global extrema; they come from one aggregation whose single row
+is applied as literals (computed once), never from an unpartitioned window.
 """
 
 from __future__ import annotations
@@ -241,13 +241,17 @@ def add_score(wide: DataFrame, spec: MartSpec) -> DataFrame:
     logs = {m.metric: f"__log_{i}" for i, m in enumerate(spec.metrics)}
     logged = wide.select("*", *[log_activity(m.value_column).alias(logs[m.metric])
                                 for m in spec.metrics])
+    # All extrema in ONE aggregation. Its single row (2 numbers per metric) is
+    # fetched and applied as literals, as MinMaxScaler does with its summary
+    # statistics: one extra job, a bounded driver result, no join back.
+    extrema = logged.agg(
+        *[F.min(c).alias(f"lo_{c}") for c in logs.values()],
+        *[F.max(c).alias(f"hi_{c}") for c in logs.values()],
+    ).first()
     total = None
     for m in spec.metrics:
         c = logs[m.metric]
-        # global extrema as scalar subqueries; the optimizer merges them into
-        # one aggregation whose single row is shared by every task
-        lo = logged.select(F.min(c)).scalar()
-        hi = logged.select(F.max(c)).scalar()
+        lo, hi = F.lit(extrema[f"lo_{c}"]), F.lit(extrema[f"hi_{c}"])
         term = F.lit(m.weight) * min_max_scaled(c, lo, hi)
         total = term if total is None else total + term
     return logged.select(*wide.columns, round_half_even(total, 2).alias(spec.score_col))

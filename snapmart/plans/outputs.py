@@ -120,9 +120,6 @@ def run_manifest(
         F.array(*[F.lit(v) for v in values]).cast("array<string>").alias(name)
         for name, values in listings.items()
     ]
-    return counts.select(
-        *lists,
-        "row_counts",
-        checks.select("quality_checks").scalar().alias("quality_checks"),
-        checks.select("quality_failures").scalar().alias("quality_failures"),
-    )
+    listed = counts.select(*lists, "row_counts")
+    return serving.one_row(listed, checks).select(
+        *listings, "row_counts", "quality_checks", "quality_failures")

@@ -135,7 +135,7 @@ def snapshot_metrics(
 ) -> DataFrame:
     """The one-row metrics document (C6, A2-A5): record counts, entity count,
     totals, check totals and the leading names. Three one-row aggregations;
-    the mart and report values join the fact row as scalar subqueries."""
+    they are combined by :func:`one_row` (no join)."""
     f = fact.agg(
         F.count(F.lit(1)).alias("source_records"),
         *[F.count_if(F.col("metric") == m.metric).alias(f"{m.prefix}_records")
@@ -157,11 +157,21 @@ def snapshot_metrics(
         F.count(F.lit(1)).alias("quality_checks"),
         F.count_if(F.col("status") == FAIL).alias("quality_failures"),
     )
-    return f.select(
-        "*",
-        *[g.select(c).scalar().alias(c) for c in g.columns],
-        *[r.select(c).scalar().alias(c) for c in r.columns],
-    )
+    return one_row(f, g, r)
+
+
+def one_row(*rows: DataFrame) -> DataFrame:
+    """Combine one-row aggregates with distinct columns into one row.
+
+    The rows are unioned (each carrying nulls for the others' columns) and
+    collapsed by one more aggregation over those few rows: no join, no
+    cross product, and each input aggregate runs once.
+    """
+    stacked = rows[0]
+    for r in rows[1:]:
+        stacked = stacked.unionByName(r, allowMissingColumns=True)
+    columns = [c for r in rows for c in r.columns]
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns])
 
 
 def serving_top(spark: SparkSession, mart: DataFrame, spec: MartSpec, view: str, n: int = 10):
