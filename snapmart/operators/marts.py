@@ -257,8 +257,15 @@ def add_score(wide: DataFrame, spec: MartSpec) -> DataFrame:
     return logged.select(*wide.columns, round_half_even(total, 2).alias(spec.score_col))
 
 
-def build_mart(silver: DataFrame, spec: MartSpec, strategy: str = "join") -> DataFrame:
-    """The wide scored mart, one row per entity (C4); unsorted (sort at sinks)."""
+def build_mart(
+    silver: DataFrame, spec: MartSpec, strategy: str = "join", stage: bool = True
+) -> DataFrame:
+    """The wide scored mart, one row per entity (C4); unsorted (sort at sinks).
+
+    With ``stage`` the unscored wide rows are written once (entity-sized, far
+    smaller than silver) so that the extrema aggregate and the scoring both
+    scan them instead of running the dimension and metric joins twice.
+    """
     rows = reference_rows(silver, spec)
     if strategy == "join":
         wide = wide_by_join(rows, spec)
@@ -266,7 +273,12 @@ def build_mart(silver: DataFrame, spec: MartSpec, strategy: str = "join") -> Dat
         wide = wide_by_aggregate(rows, spec)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    return add_score(add_measures(wide, spec), spec).select(*spec.output_columns())
+    wide = add_measures(wide, spec)
+    if stage:
+        from snapmart.sources.sinks import stage_table
+
+        wide = stage_table(wide, "mart_wide")
+    return add_score(wide, spec).select(*spec.output_columns())
 
 
 def mart_order(spec: MartSpec) -> list[Column]:
