@@ -380,6 +380,24 @@ FROM stg GROUP BY metric, year""",
 FROM stg""",
             SILVER_CTE, FACT_CTE, STG_CTE,
         ),
+        "model_tests": with_activity(
+            _report([
+                _check("stg", "stg", "not_null_entity_key",
+                       "count(*) FILTER (WHERE entity_key IS NULL)"),
+                _check("stg", "stg", "not_null_metric", "count(*) FILTER (WHERE metric IS NULL)"),
+                _check("stg", "stg", "accepted_values_metric",
+                       "count(*) FILTER (WHERE metric IS NOT NULL AND metric NOT IN "
+                       "('billed', 'returned_qty', 'order_count'))"),
+                _check("stg", "stg", "not_null_value", "count(*) FILTER (WHERE value IS NULL)"),
+                _check("metric_summary", "(SELECT metric FROM stg GROUP BY metric, year)",
+                       "not_null_metric", "count(*) FILTER (WHERE metric IS NULL)"),
+                _check("rankings",
+                       "(SELECT dense_rank() OVER (PARTITION BY metric ORDER BY value DESC) AS r "
+                       "FROM stg)", "not_null_snapshot_rank",
+                       "count(*) FILTER (WHERE r IS NULL)"),
+            ]),
+            SILVER_CTE, FACT_CTE, STG_CTE,
+        ),
         "dim_entity": with_activity("SELECT * FROM dim", SILVER_CTE, REF_CTE, DIM_CTE),
         "fact_activity": with_activity("SELECT * FROM fact", SILVER_CTE, FACT_CTE),
         "mart_entity_summary": MART_SQL,

@@ -17,12 +17,10 @@ from snapmart.functions import casts, keys
 from snapmart.functions.formatting import humanize_volume
 from snapmart.functions.numeric import guarded_ratio, momentum_class, prior_estimate, row_mean
 from snapmart.operators import quality as q
-from snapmart.operators.aggregates import metric_summary
 from snapmart.operators.dedupe import keep_any, keep_first, keep_last
 from snapmart.operators.marts import ACTIVITY_MART, build_dimension, build_mart, reference_rows
-from snapmart.operators.ranking import dense_rank_by
 from snapmart.operators.upsert import upsert
-from snapmart.plans import activity, medallion, outputs, serving
+from snapmart.plans import activity, medallion, models, outputs, serving
 from snapmart.plans.activity import read_table
 from snapmart.session import scratch_path
 from snapmart.sources import files
@@ -69,28 +67,22 @@ def q_silver_activity(spark, sf_dir):
 
 def q_stg_activity(spark, sf_dir):
     """SQL staging model over the fact."""
-    fact = _fact(spark, sf_dir)
-    return fact.select(
-        "entity_key",
-        F.trim("entity").alias("entity"),
-        F.col("year").cast("int").alias("year"),
-        "metric",
-        F.col("value").cast("double").alias("value"),
-        "unit",
-        F.col("yoy_change_pct").cast("double").alias("yoy_change_pct"),
-        F.col("five_year_change_pct").cast("double").alias("five_year_change_pct"),
-    )
+    return models.staging(_fact(spark, sf_dir), SPEC)
 
 
 def q_metric_summary(spark, sf_dir):
-    return metric_summary(q_stg_activity(spark, sf_dir), decimal_scale=2)
+    return models.summary(q_stg_activity(spark, sf_dir), SPEC, decimal_scale=2)
 
 
 def q_entity_rankings(spark, sf_dir):
-    stg = q_stg_activity(spark, sf_dir).select(
-        "entity_key", "entity", "metric", "year", "value", "yoy_change_pct"
-    )
-    return dense_rank_by(stg, ["metric"], "value", rank_col="snapshot_rank")
+    return models.rankings(q_stg_activity(spark, sf_dir), SPEC)
+
+
+def q_model_tests(spark, sf_dir):
+    """Q9, Q10 on the three serving models, as declared by the published project."""
+    stg = q_stg_activity(spark, sf_dir)
+    return models.model_tests(stg, models.summary(stg, SPEC, decimal_scale=2),
+                              models.rankings(stg, SPEC), SPEC)
 
 
 def q_dim_entity(spark, sf_dir):
@@ -452,6 +444,7 @@ QUERIES: dict[str, Query] = {
     "stg_activity": q_stg_activity,
     "metric_summary": q_metric_summary,
     "entity_rankings": q_entity_rankings,
+    "model_tests": q_model_tests,
     "dim_entity": q_dim_entity,
     "fact_activity": q_fact_activity,
     "mart_entity_summary": q_mart_entity_summary,
