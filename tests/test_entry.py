@@ -25,3 +25,16 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, name):
     df = entry_module.queries()[name](spark, SF_SMALL)
     assert compare(df, ORACLE[name], SF_SMALL) == []
+
+
+def test_activity_mart_matches_independent_dry_run(spark):
+    """Figures of an independent DuckDB dry run at sf0.01."""
+    from pyspark.sql import functions as F
+
+    mart = entry_module.queries()["mart_entity_summary"](spark, "/root/testdata/sf0.01").cache()
+    assert mart.count() == 1255
+    classes = {r[0]: r[1] for r in mart.groupBy("activity_class").count().collect()}
+    assert classes == {"Declining": 342, "Stable": 27, "Expanding": 374, "Not comparable": 512}
+    present = [mart.filter(F.col(c).isNotNull()).count()
+               for c in ("billed_year", "returned_qty_year", "order_count_year")]
+    assert present == [610, 1023, 605]
