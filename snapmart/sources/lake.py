@@ -60,34 +60,46 @@ class VersionedTable:
             return None
 
     def versions(self) -> list[int]:
+        """All committed version numbers (history; not needed for reads/writes)."""
         commits = self._commits()
         if commits is None:
             return []
         return sorted(r.version for r in commits.select("version").collect())
 
+    def _latest(self):
+        """The newest commit record only (one row reaches the driver)."""
+        commits = self._commits()
+        if commits is None:
+            return None
+        rows = commits.orderBy(F.col("version").desc()).limit(1).collect()
+        return rows[0] if rows else None
+
     def current_version(self) -> int | None:
-        found = self.versions()
-        return found[-1] if found else None
+        latest = self._latest()
+        return latest.version if latest is not None else None
 
     def exists(self) -> bool:
         """True once a version is committed."""
-        return self.current_version() is not None
+        return self._latest() is not None
 
-    def _record(self, version: int):
-        commits = self._commits()
-        rows = commits.filter(F.col("version") == version).collect() if commits else []
-        if not rows:
-            raise FileNotFoundError(f"no committed version {version} under {self.root}")
-        return rows[0]
+    def _record(self, version: int | None = None):
+        if version is None:
+            record = self._latest()
+        else:
+            commits = self._commits()
+            rows = commits.filter(F.col("version") == version).collect() if commits else []
+            record = rows[0] if rows else None
+        if record is None:
+            raise FileNotFoundError(f"no committed version {version or ''} under {self.root}")
+        return record
 
     # -- read / write ---------------------------------------------------------
 
     def read(self, version: int | None = None) -> DataFrame:
         """The current (or a given) version."""
-        version = version if version is not None else self.current_version()
-        if version is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        record = self._record(version)
+        return self._scan(self._record(version))
+
+    def _scan(self, record) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(record.schema))
         scan_schema = T.StructType([*schema.fields, T.StructField(_V, T.StringType())])
         df = (
@@ -159,16 +171,17 @@ class VersionedTable:
         """
         if not set(self.partition_by) <= set(keys):
             raise ValueError("partition columns must be part of the merge keys")
-        if not self.exists():
+        previous = self._latest()
+        if previous is None:
             assert_unique_keys(source, keys)
             return self.write(source)
         if not self.partition_by:
-            return self.write(upsert(self.read(), source, keys))
+            return self.write(upsert(self._scan(previous), source, keys))
 
-        previous = self._record(self.current_version())
         # distinct partition values of the batch: one row per touched folder
         touched = [tuple(r) for r in source.select(*self.partition_by).distinct().collect()]
-        current = self.read().filter(_partition_filter(self.partition_by, touched))
+        current = self._scan(previous).filter(
+            _partition_filter(self.partition_by, touched))
         merged = upsert(current, source, keys)  # the scan above is partition-pruned
         version = previous.version + 1
         new_folders = self._write_data(merged, version)
