@@ -67,3 +67,16 @@ def test_top_k_plans_group_limit(spark):
     plan = top_k(df, 5, [F.col("v").desc()], ["g"])._jdf.queryExecution().executedPlan()
     text = plan.toString()
     assert "WindowGroupLimit" in text or "AdaptiveSparkPlan" in text
+
+
+def test_dense_rank_and_mart_on_empty_input(spark):
+    from snapmart.operators.marts import ACTIVITY_MART, build_mart
+
+    empty = spark.createDataFrame([], "metric string, value double")
+    assert dense_rank_by(empty, ["metric"], "value").count() == 0
+    rows = spark.createDataFrame(
+        [], "entity_key string, entity string, year int, metric string, value double, "
+            "yoy_change_pct double, five_year_change_pct double")
+    mart = build_mart(rows, ACTIVITY_MART)
+    assert mart.count() == 0
+    assert mart.columns == ACTIVITY_MART.output_columns()
