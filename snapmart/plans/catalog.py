@@ -40,7 +40,8 @@ TABLES = (
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver, written once as a Parquet layer; gold branches scan it."""
-    return medallion.stage_silver(medallion.activity_silver(medallion.activity_bronze(spark, sf_dir)))
+    bronze = medallion.activity_bronze(spark, sf_dir)
+    return medallion.stage_silver(medallion.activity_silver(bronze))
 
 
 def _mart(spark: SparkSession, sf_dir: str, strategy: str = "join") -> DataFrame:
