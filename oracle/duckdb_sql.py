@@ -524,6 +524,27 @@ FROM (
         FROM mart WHERE combined_yoy_pct IS NOT NULL
     )
 ) WHERE position <= 3"""),
+        "findings_extract": with_mart(
+            f"""SELECT 'top_' || metric AS section, position, entity, {humanize('value')} AS label
+FROM top_metric
+UNION ALL
+SELECT list, position, entity, {humanize('value')} || '%'
+FROM (
+    SELECT *, row_number() OVER (PARTITION BY list ORDER BY v DESC NULLS LAST, {LIST_ORDER})
+              AS position
+    FROM (
+        SELECT 'growth' AS list, entity_key, entity, activity_score,
+               combined_yoy_pct AS value, combined_yoy_pct AS v
+        FROM mart WHERE combined_yoy_pct IS NOT NULL
+        UNION ALL
+        SELECT 'decline', entity_key, entity, activity_score, combined_yoy_pct, -combined_yoy_pct
+        FROM mart WHERE combined_yoy_pct IS NOT NULL
+    )
+) WHERE position <= 3
+UNION ALL
+SELECT 'total_' || metric, CAST(1 AS BIGINT), CAST(NULL AS VARCHAR), {humanize('total')}
+FROM (SELECT metric, CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) AS total
+      FROM by_metric GROUP BY metric)""", BY_METRIC_CTE, _top_by_metric(3)),
         "momentum_ranking": with_mart(
             "SELECT entity_key, entity, combined_yoy_pct, activity_class FROM mart "
             "WHERE combined_yoy_pct IS NOT NULL"),

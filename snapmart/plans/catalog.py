@@ -328,6 +328,10 @@ def q_momentum_extremes(spark, sf_dir):
     return serving.momentum_extremes(_mart(spark, sf_dir), SPEC, 3)
 
 
+def q_findings_extract(spark, sf_dir):
+    return serving.findings(_mart(spark, sf_dir), SPEC, 3)
+
+
 def q_momentum_ranking(spark, sf_dir):
     return serving.momentum_ranking(_mart(spark, sf_dir), SPEC)
 
@@ -468,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "topk_by_metric": q_topk_by_metric,
     "top1_labels": q_top1_labels,
     "momentum_extremes": q_momentum_extremes,
+    "findings_extract": q_findings_extract,
     "momentum_ranking": q_momentum_ranking,
     "mart_head": q_mart_head,
     "dashboard_bars": q_dashboard_bars,

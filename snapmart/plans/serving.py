@@ -90,6 +90,32 @@ def momentum_extremes(mart: DataFrame, spec: MartSpec, k: int = 3) -> DataFrame:
     )
 
 
+def findings(mart: DataFrame, spec: MartSpec, k: int = 3, decimal_scale: int | None = 2):
+    """The findings extract (C12): leading entities per metric, strongest
+    growth and largest declines, and snapshot totals, each as a display label.
+
+    One row per line: (section, position, entity, label); totals have no entity.
+    """
+    tops = top_by_metric(mart, spec, k).select(
+        F.concat(F.lit("top_"), F.col("metric")).alias("section"),
+        "position",
+        F.col(spec.name_col).alias("entity"),
+        humanize_volume("value").alias("label"),
+    )
+    moves = momentum_extremes(mart, spec, k).select(
+        F.col("list").alias("section"), "position", F.col(spec.name_col).alias("entity"), "label"
+    )
+    totals = _by_metric(mart, spec).groupBy("metric").agg(
+        exact_sum("value", decimal_scale).alias("total")
+    ).select(
+        F.concat(F.lit("total_"), F.col("metric")).alias("section"),
+        F.lit(1).cast("long").alias("position"),
+        F.lit(None).cast("string").alias("entity"),
+        humanize_volume("total").alias("label"),
+    )
+    return tops.unionByName(moves).unionByName(totals)
+
+
 def momentum_ranking(mart: DataFrame, spec: MartSpec) -> DataFrame:
     """All entities with a combined rate, in ascending order at the sink."""
     return mart.dropna(subset=[spec.combined_col]).select(
