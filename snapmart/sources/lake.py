@@ -4,8 +4,10 @@ Layout under ``root``::
 
     snapmart_version=00000001/[p=../]part-*.parquet   data of version 1
     snapmart_version=00000002/[p=../]part-*.parquet   only what version 2 rewrote
-    _commits/part-*.json               one record per version (append only):
-                                       version, time, schema, partition folders
+    _commits/segment=<n>/part-*.json   one record per version (append only):
+                                       version, time, schema, partition folders;
+                                       versions n*100 .. n*100+99 per segment
+    _checkpoints/part-*.json           the version at which each segment began
 
 A version is the list of folders in its commit record. With ``partition_by``,
 an upsert rewrites only the partitions its source touches and lists the other
@@ -14,6 +16,11 @@ costs what it touches, not the size of the table (the copy-on-write of whole
 partitions that MERGE also does). Without partitions every version is a full
 copy.
 
+Finding the current version reads the small ``_checkpoints`` log and then only
+the newest commit segments (segments fill in order, so the scan stops at the
+first missing one); a table with a million commits is read like one with a
+hundred.
+
 A version's files are written before its commit record is appended, so readers
 never see a half-written version and a failed run leaves the previous version
 current. Nothing is overwritten in place; everything goes through the
@@ -36,6 +43,8 @@ from pyspark.sql import types as T
 from snapmart.operators.upsert import assert_unique_keys, upsert
 
 _COMMITS = "_commits"
+_CHECKPOINTS = "_checkpoints"
+_SEGMENT = 100  # commit records per segment folder
 _V = "snapmart_version"
 _COMMIT_SCHEMA = "version long, committed_at timestamp, schema string, folders array<string>"
 
@@ -53,12 +62,19 @@ class VersionedTable:
 
     # -- commit log -----------------------------------------------------------
 
-    def _commits(self) -> DataFrame | None:
+    def _segment_path(self, segment: int) -> str:
+        return f"{self.root}/{_COMMITS}/segment={segment:08d}"
+
+    def _read_json(self, path: str, schema: str) -> DataFrame | None:
         try:
-            return self.spark.read.schema(_COMMIT_SCHEMA).json(f"{self.root}/{_COMMITS}")
-        except AnalysisException:
+            return self.spark.read.schema(schema).json(path)
+        except AnalysisException:  # not written yet
             return None
 
+    def _commits(self) -> DataFrame | None:
+        """Every commit record (history)."""
+        return self._read_json(f"{self.root}/{_COMMITS}/segment=*", _COMMIT_SCHEMA)
+
     def versions(self) -> list[int]:
         """All committed version numbers (history; not needed for reads/writes)."""
         commits = self._commits()
@@ -66,13 +82,30 @@ class VersionedTable:
             return []
         return sorted(r.version for r in commits.select("version").collect())
 
+    def _checkpointed(self) -> int | None:
+        """The newest version recorded in the checkpoint log (one row)."""
+        marks = self._read_json(f"{self.root}/{_CHECKPOINTS}", "version long")
+        return marks.agg(F.max("version")).first()[0] if marks is not None else None
+
     def _latest(self):
-        """The newest commit record only (one row reaches the driver)."""
-        commits = self._commits()
-        if commits is None:
+        """The newest commit record: only the segments from the last
+        checkpoint on are read, and only one row reaches the driver."""
+        mark = self._checkpointed()
+        segment = (mark or 0) // _SEGMENT
+        newest = None
+        while True:
+            part = self._read_json(self._segment_path(segment), _COMMIT_SCHEMA)
+            if part is None:
+                break
+            newest = part if newest is None else newest.unionByName(part)
+            segment += 1
+        if newest is None:
             return None
-        rows = commits.orderBy(F.col("version").desc()).limit(1).collect()
-        return rows[0] if rows else None
+        rows = newest.orderBy(F.col("version").desc()).limit(1).collect()
+        record = rows[0] if rows else None
+        if record is not None:
+            record = _Record(record, mark)
+        return record
 
     def current_version(self) -> int | None:
         latest = self._latest()
@@ -86,8 +119,8 @@ class VersionedTable:
         if version is None:
             record = self._latest()
         else:
-            commits = self._commits()
-            rows = commits.filter(F.col("version") == version).collect() if commits else []
+            part = self._read_json(self._segment_path(version // _SEGMENT), _COMMIT_SCHEMA)
+            rows = part.filter(F.col("version") == version).collect() if part else []
             record = rows[0] if rows else None
         if record is None:
             raise FileNotFoundError(f"no committed version {version or ''} under {self.root}")
@@ -126,14 +159,20 @@ class VersionedTable:
             folders.add(f"{version_dir}/{parent}" if parent else version_dir)
         return sorted(folders)
 
-    def _commit(self, version: int, schema: T.StructType, folders: list[str]) -> None:
+    def _commit(self, version: int, schema: T.StructType, folders: list[str],
+                 mark: int | None = None) -> None:
         record = self.spark.range(1).select(
             F.lit(version).cast("long").alias("version"),
             F.current_timestamp().alias("committed_at"),
             F.lit(schema.json()).alias("schema"),
             F.array(*[F.lit(f) for f in folders]).cast("array<string>").alias("folders"),
         )
-        record.coalesce(1).write.mode("append").json(f"{self.root}/{_COMMITS}")
+        record.coalesce(1).write.mode("append").json(self._segment_path(version // _SEGMENT))
+        if version // _SEGMENT > (mark or 0) // _SEGMENT:
+            # first commit of a new segment (or a missed mark): note it, so
+            # readers can skip every older segment
+            self.spark.range(1).select(F.lit(version).cast("long").alias("version")) \
+                .coalesce(1).write.mode("append").json(f"{self.root}/{_CHECKPOINTS}")
 
     def _write_data(self, df: DataFrame, version: int) -> list[str]:
         target = f"{self.root}/{_V}={version:08d}"
@@ -152,13 +191,14 @@ class VersionedTable:
 
     def write(self, df: DataFrame) -> int:
         """Commit ``df`` as the next version, replacing the whole table (K4)."""
-        version = (self.current_version() or 0) + 1
+        latest = self._latest()
+        version = (latest.version if latest is not None else 0) + 1
         folders = self._write_data(df, version)
         if not folders:  # keep an empty version readable
             empty = f"{self.root}/{_V}={version:08d}"
             df.limit(0).write.mode("overwrite").parquet(empty)
             folders = [empty]
-        self._commit(version, df.schema, folders)
+        self._commit(version, df.schema, folders, latest.mark if latest is not None else None)
         return version
 
     def upsert(self, source: DataFrame, keys: Sequence[str]) -> int:
@@ -192,10 +232,20 @@ class VersionedTable:
         schema = T.StructType.fromJson(json.loads(previous.schema))
         if merged.schema.names != schema.names:
             schema = merged.schema  # evolved: older files read the new columns as null
-        self._commit(version, schema, sorted(kept + new_folders))
+        self._commit(version, schema, sorted(kept + new_folders), previous.mark)
         return version
 
 
+class _Record:
+    """A commit record plus the checkpoint mark seen when it was read."""
+
+    def __init__(self, row, mark: int | None):
+        self.version = row.version
+        self.schema = row.schema
+        self.folders = row.folders
+        self.mark = mark
+
+
 def _partition_of(folder: str) -> tuple[tuple[str, str], ...]:
     """The ``name=value`` segments below the version folder (as written by Spark)."""
     tail = _bare(folder).split(f"/{_V}=", 1)[-1]

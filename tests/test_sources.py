@@ -146,3 +146,20 @@ def test_discovered_paths_with_spaces_are_readable(spark, workdir):
     _write(f"{workdir}/in dir/my file.csv", [HEADER, _row("A")])
     paths = files.discover_files(spark, workdir)
     assert files.read_raw_csv(spark, paths).count() == 1
+
+
+def test_commit_log_segments(spark, workdir, monkeypatch):
+    import snapmart.sources.lake as lake
+
+    monkeypatch.setattr(lake, "_SEGMENT", 2)
+    table = VersionedTable(spark, f"{workdir}/seg")
+    for i in range(7):
+        table.write(spark.createDataFrame([(i, f"v{i}")], "k int, v string"))
+    assert table.versions() == list(range(1, 8))
+    assert table.current_version() == 7
+    assert _rows(table.read()) == [(6, "v6")]
+    assert _rows(table.read(3)) == [(2, "v2")]
+    marks = sorted(r.version for r in spark.read.json(f"{workdir}/seg/_checkpoints").collect())
+    assert marks == [2, 4, 6]
+    segments = sorted(os.listdir(f"{workdir}/seg/_commits"))
+    assert segments == [f"segment={n:08d}" for n in range(4)]
