@@ -15,8 +15,9 @@ source rows are inserted again on every run. Callers that need idempotency
 (the incremental ingest) reject null keys first. Several source rows for one
 key are rejected (a MERGE would fail on them too).
 
-At scale both sides shuffle on the keys once (sort-merge join); if the target
-is stored bucketed or partitioned by the keys, only the source moves.
+At scale both sides shuffle on the keys once (sort-merge join). Partitioning
+the stored target by a key bucket (:func:`key_bucket`) or a natural partition
+column bounds what a batch reads and rewrites to the partitions it touches.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SRC, _TGT = "__from_source", "__from_target"
@@ -82,3 +83,13 @@ def upsert(
             out.append(F.col(f"t_{c}").alias(c))
     out += [F.col(f"s_{c}").alias(c) for c in s_cols if c not in t_cols]
     return joined.select(*out)
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    """Stable bucket of the merge key: ``pmod(xxhash64(keys), buckets)``.
+
+    Partitioning a :class:`~snapmart.sources.lake.VersionedTable` by this
+    column (and adding it to the merge keys) lets a small batch rewrite only
+    the buckets its keys fall into when no natural partition column exists.
+    """
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")

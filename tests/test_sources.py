@@ -163,3 +163,17 @@ def test_commit_log_segments(spark, workdir, monkeypatch):
     assert marks == [2, 4, 6]
     segments = sorted(os.listdir(f"{workdir}/seg/_commits"))
     assert segments == [f"segment={n:08d}" for n in range(4)]
+
+
+def test_key_bucket_partitioned_upsert_touches_few_buckets(spark, workdir):
+    from snapmart.operators.upsert import key_bucket
+
+    table = VersionedTable(spark, f"{workdir}/bucketed", partition_by=["bucket"])
+    base = spark.range(200).selectExpr("cast(id as int) k", "'x' v")
+    table.upsert(base.withColumn("bucket", key_bucket(["k"], 16)), ["bucket", "k"])
+    batch = spark.createDataFrame([(3, "y"), (500, "z")], "k int, v string")
+    table.upsert(batch.withColumn("bucket", key_bucket(["k"], 16)), ["bucket", "k"])
+    folders = table._latest().folders
+    assert sum("version=00000002" in f for f in folders) <= 2
+    got = {r.k: r.v for r in table.read().collect()}
+    assert len(got) == 201 and got[3] == "y" and got[500] == "z" and got[4] == "x"
