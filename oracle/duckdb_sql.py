@@ -599,12 +599,12 @@ FROM top_metric""", BY_METRIC_CTE, _top_by_metric(8)),
        dataset AS source_file, {LAKE_KEY_SQL.format(x='entity')} AS lake_key
 FROM activity WHERE value >= 0"""),
         "run_manifest": with_mart(
-            """SELECT ['dim_entity', 'fct_activity', 'mart_entity_summary'] AS gold_tables,
-       ['data_quality_report', 'fact_by_metric', 'mart_entity_summary'] AS extract_tables,
-       ['data_quality_report', 'summary_metrics', 'top_by_metric'] AS result_files,
-       MAP {'dim_entity': (SELECT count(*) FROM dim),
-            'fct_activity': (SELECT count(*) FROM fact),
-            'mart_entity_summary': (SELECT count(*) FROM mart)} AS row_counts,
+            """SELECT 'dim_entity,fct_activity,mart_entity_summary' AS gold_tables,
+       'data_quality_report,fact_by_metric,mart_entity_summary' AS extract_tables,
+       'data_quality_report,summary_metrics,top_by_metric' AS result_files,
+       (SELECT count(*) FROM dim) AS dim_entity_rows,
+       (SELECT count(*) FROM fact) AS fct_activity_rows,
+       (SELECT count(*) FROM mart) AS mart_entity_summary_rows,
        CAST(18 AS BIGINT) AS quality_checks, CAST(0 AS BIGINT) AS quality_failures""",
             FACT_CTE),
         "incremental_ingest": """SELECT event_id, ts, user_id, event_type,

@@ -439,7 +439,15 @@ def q_run_manifest(spark, sf_dir):
     q.enforce_gate(report)
     silver = medallion.stage_silver(medallion.activity_silver(bronze), f"{root}/silver")
     gold = medallion.build_gold(silver, SPEC)
-    return outputs.write_outputs(spark, gold, report, root, SPEC)
+    manifest = outputs.write_outputs(spark, gold, report, root, SPEC)
+    # flat columns (text lists, one count per table) for engine-neutral comparison
+    return manifest.select(
+        *[F.array_join(c, ",").alias(c) for c in ("gold_tables", "extract_tables",
+                                                 "result_files")],
+        *[F.col("row_counts")[t].alias(f"{t}_rows") for t in outputs.GOLD_NAMES],
+        "quality_checks",
+        "quality_failures",
+    )
 
 
 QUERIES: dict[str, Query] = {
