@@ -169,9 +169,12 @@ def _report_for(
 ) -> DataFrame:
     counts = _one_pass_counts(df, rules)
     if names is not None:
-        # keep empty datasets: a tiny literal list of names, left-joined
-        base = spark.createDataFrame([(n,) for n in names], "dataset string")
-        counts = base.join(F.broadcast(counts), "dataset", "left")
+        # keep empty datasets: add a zero row per dataset name and sum (no join)
+        zero = spark.createDataFrame([(n,) for n in names], "dataset string").select(
+            "dataset", *[F.lit(0).cast("long").alias(c) for c in counts.columns if c != "dataset"])
+        counts = counts.select("dataset", *[F.col(c).cast("long") for c in zero.columns[1:]])
+        counts = counts.unionByName(zero).groupBy("dataset").agg(
+            *[F.sum(c).alias(c) for c in zero.columns[1:]])
     entries = [
         F.struct(
             F.lit(i).alias("ord"),
