@@ -53,16 +53,19 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_activity_long(spark, sf_dir):
+    """The activity snapshot (U1, U2): orders, lineitem and customer, whole tables."""
     return activity.activity_long(spark, sf_dir)
 
 
 def q_activity_quality(spark, sf_dir):
+    """The six snapshot checks per dataset on bronze, one pass (Q1-Q7)."""
     return medallion.activity_quality(medallion.activity_bronze(spark, sf_dir))
 
 
 def q_silver_activity(spark, sf_dir):
     # the ingest clock varies per run and the fingerprint covers re-rendered
     # doubles here (engines print doubles differently), so neither is compared
+    """Silver: trimmed names, entity keys, strict casts, keep-last per key."""
     return _silver(spark, sf_dir).drop("ingested_at_utc", "record_hash")
 
 
@@ -72,10 +75,12 @@ def q_stg_activity(spark, sf_dir):
 
 
 def q_metric_summary(spark, sf_dir):
+    """Per (metric, year) counts, distinct entities, exact totals and mean rates."""
     return models.summary(q_stg_activity(spark, sf_dir), SPEC, decimal_scale=2)
 
 
 def q_entity_rankings(spark, sf_dir):
+    """Dense rank of the value per metric, distributed."""
     return models.rankings(q_stg_activity(spark, sf_dir), SPEC)
 
 
@@ -87,22 +92,27 @@ def q_model_tests(spark, sf_dir):
 
 
 def q_dim_entity(spark, sf_dir):
+    """Dimension: first name per key in metric priority order."""
     return build_dimension(reference_rows(_silver(spark, sf_dir), SPEC), SPEC)
 
 
 def q_fact_activity(spark, sf_dir):
+    """Long fact over all silver rows."""
     return _fact(spark, sf_dir)
 
 
 def q_mart_entity_summary(spark, sf_dir):
+    """The scored wide mart, join strategy."""
     return _mart(spark, sf_dir, "join")
 
 
 def q_mart_entity_summary_agg(spark, sf_dir):
+    """The scored wide mart, single-shuffle aggregate strategy (C4)."""
     return _mart(spark, sf_dir, "aggregate")
 
 
 def q_gated_run(spark, sf_dir):
+    """Bronze, report, gate, silver, gold; the mart is returned."""
     gold = medallion.gated_run(spark, sf_dir)
     return gold.mart
 
@@ -143,6 +153,7 @@ def q_entity_keys(spark, sf_dir):
 
 
 def q_normalize_identifier(spark, sf_dir):
+    """Identifier normaliser over part brands and customer names."""
     part = read_table(spark, sf_dir, "part").select(
         F.lit("part").alias("source"), F.col("p_partkey").alias("id"),
         keys.normalize_identifier("p_brand").alias("identifier"))
@@ -153,6 +164,7 @@ def q_normalize_identifier(spark, sf_dir):
 
 
 def q_record_hash(spark, sf_dir):
+    """Row fingerprints over nation and part text columns."""
     nation = read_table(spark, sf_dir, "nation")
     part = read_table(spark, sf_dir, "part")
     return nation.select(
@@ -193,14 +205,17 @@ _LI_KEYS = ["l_orderkey", "l_linenumber"]
 
 
 def q_dedup_keep_last(spark, sf_dir):
+    """Keep the latest lineitem row per (order, line) with a full tie-break."""
     return keep_last(read_table(spark, sf_dir, "lineitem"), _LI_KEYS, ["l_shipdate"])
 
 
 def q_dedup_keep_first(spark, sf_dir):
+    """Keep the earliest lineitem row per (order, line)."""
     return keep_first(read_table(spark, sf_dir, "lineitem"), _LI_KEYS, ["l_shipdate"])
 
 
 def q_dedup_keep_any(spark, sf_dir):
+    """Deterministic dropDuplicates on (order, line)."""
     return keep_any(read_table(spark, sf_dir, "lineitem"), _LI_KEYS)
 
 
@@ -246,11 +261,13 @@ def _dq_rules(inputs):
 
 
 def q_dq_report(spark, sf_dir):
+    """Quality rules over lineitem, pages, orders and customer."""
     inputs = _dq_inputs(spark, sf_dir)
     return q.quality_report(inputs, _dq_rules(inputs))
 
 
 def q_dq_gate_status(spark, sf_dir):
+    """Checks, failures and blocking failures of the report."""
     return q.gate_status(q_dq_report(spark, sf_dir))
 
 
@@ -317,42 +334,52 @@ def q_merge_schema_evolution(spark, sf_dir):
 # -- serving ----------------------------------------------------------------------
 
 def q_topk_by_metric(spark, sf_dir):
+    """Top-10 entities per metric."""
     return serving.top_by_metric(_mart(spark, sf_dir), SPEC, 10)
 
 
 def q_top1_labels(spark, sf_dir):
+    """The leading entity per metric, one row."""
     return serving.top_labels(_mart(spark, sf_dir), SPEC)
 
 
 def q_momentum_extremes(spark, sf_dir):
+    """Top-3 growth and decline of the combined rate, nulls dropped."""
     return serving.momentum_extremes(_mart(spark, sf_dir), SPEC, 3)
 
 
 def q_findings_extract(spark, sf_dir):
+    """Findings extract: top lists, momentum, totals as labels."""
     return serving.findings(_mart(spark, sf_dir), SPEC, 3)
 
 
 def q_momentum_ranking(spark, sf_dir):
+    """Entities with a combined rate."""
     return serving.momentum_ranking(_mart(spark, sf_dir), SPEC)
 
 
 def q_mart_head(spark, sf_dir):
+    """First 20 mart rows with table formats."""
     return serving.mart_head(_mart(spark, sf_dir), SPEC, 20)
 
 
 def q_dashboard_bars(spark, sf_dir):
+    """Top-8 bars per metric with relative widths and labels."""
     return serving.dashboard_bars(_mart(spark, sf_dir), SPEC, 8)
 
 
 def q_serving_topn(spark, sf_dir):
+    """The documented serving SQL over the published view."""
     return serving.serving_top(spark, _mart(spark, sf_dir), SPEC, "mart_entity_summary", 10)
 
 
 def q_metric_extract(spark, sf_dir):
+    """One metric's extract from the fact, partition-pruned."""
     return _fact(spark, sf_dir).filter(F.col("metric") == "billed")
 
 
 def q_snapshot_metrics(spark, sf_dir):
+    """The one-row metrics document."""
     bronze = stage_table(medallion.activity_bronze(spark, sf_dir), "bronze")
     silver = medallion.stage_silver(medallion.activity_silver(bronze))
     fact = medallion.build_fact(silver, SPEC)
@@ -362,6 +389,7 @@ def q_snapshot_metrics(spark, sf_dir):
 
 
 def q_table_row_counts(spark, sf_dir):
+    """Rows per driver table."""
     return serving.table_row_counts(spark, {t: read_table(spark, sf_dir, t) for t in TABLES})
 
 
