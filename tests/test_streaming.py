@@ -77,3 +77,12 @@ def test_rows_written_are_observed(spark, workdir):
     table = VersionedTable(spark, f"{workdir}/t")
     table.write(spark.range(7).selectExpr("cast(id as int) k"))
     assert table.last_rows_written == 7
+
+
+def test_lake_run_counts_are_observed(spark, workdir):
+    from snapmart.plans.medallion import lake_run
+
+    result = lake_run(spark, "/root/testdata/sf0.001", f"{workdir}/lake")
+    assert result["bronze_rows"] == result["bronze"].read().count() > 0
+    assert result["silver_rows"] == result["silver"].read().count() > 0
+    assert result["silver"].read().schema["source_last_updated"].dataType.typeName() == "date"
