@@ -43,3 +43,15 @@ def test_check_single_value(spark):
     with pytest.raises(files.MetricDomainError):
         files.check_single_value(spark.createDataFrame([(None,)], "metric string"),
                                  "metric", "x", "nulls.csv")
+
+
+def test_one_row_combines_without_joins(spark):
+    from snapmart.plans.serving import one_row
+
+    a = spark.createDataFrame([(3, None)], "n long, label string")
+    b = spark.createDataFrame([(1.5,)], "total double")
+    row = one_row(a, b)
+    assert row.columns == ["n", "label", "total"]
+    assert tuple(row.first()) == (3, None, 1.5)
+    plan = row._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "CartesianProduct" not in plan
