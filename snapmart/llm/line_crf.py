@@ -177,7 +177,7 @@ def _fit_once(x: np.ndarray, y: np.ndarray, lines_of: np.ndarray, weights: np.nd
     return theta[:-4], theta[-4:].reshape(2, 2)
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 2, steps: int = 120, decay: float = 1e-4) -> Field | None:
+def fit(texts: list[str], labels: list[int], rounds: int = 2, steps: int = 250, decay: float = 1e-5) -> Field | None:
     """The field fitted on whole documents with labels 0 and 1; None unless both occur."""
     if len(set(labels)) < 2:
         return None
