@@ -18,6 +18,7 @@ import functools
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -243,8 +244,6 @@ def score(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col
 
 def keep_good(docs: DataFrame, field: Field | None, text_col: str = "text", least: float = GOOD) -> DataFrame:
     """The rows of ``docs`` whose score is at least ``least``; columns as given."""
-    import pandas as pd
-
     def scored(texts: pd.Series) -> pd.Series:
         out: list[float] = []
         listed = [t or "" for t in texts]
