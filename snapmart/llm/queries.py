@@ -41,13 +41,17 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def _count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the patterns' spans, and all spans."""
     found = secret_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("secret_spans", lambda s: s["kind"].isin([p.kind for p in secret_scan.PATTERNS]))
     return found.select("doc_id", "secret_spans", base.alias("base")).select(
         "doc_id",
-        *[F.size(F.filter("base", lambda s, k=p.kind: s["kind"] == k)).cast("long").alias(f"n_{p.kind}") for p in secret_scan.PATTERNS],
+        *[_count(F.col("base"), p.kind).alias(f"n_{p.kind}") for p in secret_scan.PATTERNS],
         F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("secret_spans")).alias("spans"))
 
 

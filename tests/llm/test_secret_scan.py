@@ -100,8 +100,10 @@ def test_redact(spark):
 
 
 def test_query(spark):
-    texts = dict(spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect())
-    rows = op3_secret_scan(spark, SF_SMALL).collect()
+    sf_dir = "/root/testdata/sf0.01"
+    texts = dict(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    rows = op3_secret_scan(spark, sf_dir).collect()
+    assert sum(r["n_assign"] + r["n_access"] + r["n_hex"] for r in rows) > 0
     assert len(rows) == len(texts)
     for r in rows:
         base = secret_base(texts[r["doc_id"]])
