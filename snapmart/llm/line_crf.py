@@ -178,11 +178,10 @@ def _fit_once(x: np.ndarray, y: np.ndarray, lines_of: np.ndarray, weights: np.nd
     return theta[:-4], theta[-4:].reshape(2, 2)
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 2, steps: int = 250, decay: float = 1e-5) -> Field | None:
-    """The field fitted on whole documents with labels 0 and 1; None unless both occur."""
+def fit(own: np.ndarray, lines_of: np.ndarray, labels: list[int], rounds: int = 2, steps: int = 250, decay: float = 1e-5) -> Field | None:
+    """The field fitted on the line features of documents with labels 0 and 1; None unless both occur."""
     if len(set(labels)) < 2:
         return None
-    own, _, lines_of = line_features(texts)
     mean, scale = own.mean(axis=0), own.std(axis=0) + 1e-3
     x = Field(mean, scale, np.empty(0), np.empty(0)).inputs(own, lines_of)
     given = np.repeat(np.array(labels, dtype=np.int64), lines_of)
@@ -219,16 +218,24 @@ def learnable(id_col: str) -> Column:
     return id_crc(F.col(id_col)) % 4 != 2
 
 
+def _features_kernel(texts: list[str]) -> dict[str, list]:
+    own, _, lines_of = line_features(texts)
+    return {"lines": lines_of.tolist(), "own": [part.ravel() for part in np.split(own, np.cumsum(lines_of)[:-1])]}
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = SAMPLE_DOCS) -> Field | None:
     """The field, fitted on at most ``per_class`` documents of either label.
 
-    Only documents of up to SAMPLE_CHARS characters are drawn. None where the
-    sample lacks a class, for instance with an empty table of labels.
+    Only documents of up to SAMPLE_CHARS characters are drawn. Their texts stay
+    with the executors; the driver gets the features of their lines. None where
+    the sample lacks a class, for instance with an empty table of labels.
     """
     short = docs.where(F.coalesce(F.length(text_col), F.lit(0)) <= SAMPLE_CHARS)
-    drawn = labelled_sample(short, labels, label_col, per_class, learnable(id_col), id_col, text_col)
-    rows = drawn.dropDuplicates([id_col]).orderBy(id_col).limit(2 * per_class).collect()
-    return fit([r["text"] for r in rows], [r["label"] for r in rows])
+    drawn = labelled_sample(short, labels, label_col, per_class, learnable(id_col), id_col, text_col).dropDuplicates([id_col])
+    rows = map_texts(drawn.select(F.col(id_col).alias("id"), "label", "text"), _features_kernel, "lines long, own array<float>").collect()
+    rows.sort(key=lambda r: r["id"])
+    own = np.concatenate([np.array(r["own"], dtype=float) for r in rows] or [np.empty(0)]).reshape(-1, _OWN)
+    return fit(own, np.array([r["lines"] for r in rows], dtype=np.int64), [r["label"] for r in rows])
 
 
 def score(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
