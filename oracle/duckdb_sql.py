@@ -239,7 +239,7 @@ def _top1(value_col: str) -> str:
 
 
 def _exact_avg(c: str) -> str:
-    return (f"CASE WHEN count({c}) > 0 THEN CAST(sum(CAST({c} AS DECIMAL(38,2))) AS DOUBLE) "
+    return (f"CASE WHEN count({c}) > 0 THEN CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) "
             f"/ count({c}) END")
 
 
@@ -368,7 +368,7 @@ def oracle_sql() -> dict[str, str]:
         "metric_summary": with_activity(
             f"""SELECT metric, year, count(*) AS source_records,
        count(DISTINCT entity_key) AS entities,
-       CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) AS snapshot_total,
+       CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS snapshot_total,
        {_exact_avg('yoy_change_pct')} AS average_yoy_change_pct,
        {_exact_avg('five_year_change_pct')} AS average_five_year_change_pct
 FROM stg GROUP BY metric, year""",
@@ -543,7 +543,7 @@ FROM (
 ) WHERE position <= 3
 UNION ALL
 SELECT 'total_' || metric, CAST(1 AS BIGINT), CAST(NULL AS VARCHAR), {humanize('total')}
-FROM (SELECT metric, CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) AS total
+FROM (SELECT metric, CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS total
       FROM by_metric GROUP BY metric)""", BY_METRIC_CTE, _top_by_metric(3)),
         "momentum_ranking": with_mart(
             "SELECT entity_key, entity, combined_yoy_pct, activity_class FROM mart "
@@ -575,10 +575,10 @@ FROM top_metric""", BY_METRIC_CTE, _top_by_metric(8)),
     (SELECT count(*) FILTER (WHERE metric = 'returned_qty') FROM fact) AS returned_qty_records,
     (SELECT count(*) FILTER (WHERE metric = 'order_count') FROM fact) AS order_count_records,
     (SELECT count(DISTINCT entity_key) FROM mart) AS entities,
-    (SELECT CAST(sum(CAST(billed_2000 AS DECIMAL(38,2))) AS DOUBLE) FROM mart) AS snapshot_billed,
-    (SELECT CAST(sum(CAST(returned_qty_2000 AS DECIMAL(38,2))) AS DOUBLE) FROM mart)
+    (SELECT CAST(sum(CAST(billed_2000 AS DECIMAL(38,6))) AS DOUBLE) FROM mart) AS snapshot_billed,
+    (SELECT CAST(sum(CAST(returned_qty_2000 AS DECIMAL(38,6))) AS DOUBLE) FROM mart)
         AS snapshot_returned_qty,
-    (SELECT CAST(sum(CAST(order_count_1999 AS DECIMAL(38,2))) AS DOUBLE) FROM mart)
+    (SELECT CAST(sum(CAST(order_count_1999 AS DECIMAL(38,6))) AS DOUBLE) FROM mart)
         AS snapshot_order_count,
     {_top1('billed_2000')} AS top_billed_entity,
     {_top1('returned_qty_2000')} AS top_returned_qty_entity,

@@ -61,15 +61,13 @@ def upsert(
     if check_duplicates:
         assert_unique_keys(source, keys)
     t_cols, s_cols = target.columns, source.columns
-    t_types = dict(target.dtypes)
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in t_cols], F.lit(True).alias(_TGT))
-    s = source.select(
-        *[
-            (F.col(c).cast(t_types[c]) if c in t_types else F.col(c)).alias(f"s_{c}")
-            for c in s_cols
-        ],
-        F.lit(True).alias(_SRC),
-    )
+    # a column of both sides takes the wider of its types (a union finds it, or raises)
+    shared = [c for c in t_cols if c in s_cols]
+    wide = dict(target.select(*shared).limit(0).unionByName(source.select(*shared).limit(0)).dtypes)
+    t = target.select(*[F.col(c).cast(wide.get(c, t)).alias(f"t_{c}") for c, t in target.dtypes],
+                      F.lit(True).alias(_TGT))
+    s = source.select(*[F.col(c).cast(wide.get(c, t)).alias(f"s_{c}") for c, t in source.dtypes],
+                      F.lit(True).alias(_SRC))
     cond = reduce(lambda a, b: a & b, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys])
     joined = t.join(s, cond, "full_outer")
     from_source = F.coalesce(F.col(_SRC), F.lit(False))
@@ -88,8 +86,6 @@ def upsert(
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:
     """Stable bucket of the merge key: ``pmod(xxhash64(keys), buckets)``.
 
-    Partitioning a :class:`~snapmart.sources.lake.VersionedTable` by this
-    column (and adding it to the merge keys) lets a small batch rewrite only
-    the buckets its keys fall into when no natural partition column exists.
+    A partition column for tables whose keys have no natural one.
     """
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")

@@ -30,6 +30,8 @@ from snapmart.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 SPEC = ACTIVITY_MART
+# Totals are summed exactly in this many decimals, more than any given value has.
+TOTAL_SCALE = 6
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -76,7 +78,7 @@ def q_stg_activity(spark, sf_dir):
 
 def q_metric_summary(spark, sf_dir):
     """Per (metric, year) counts, distinct entities, exact totals and mean rates."""
-    return models.summary(q_stg_activity(spark, sf_dir), SPEC, decimal_scale=2)
+    return models.summary(q_stg_activity(spark, sf_dir), SPEC, decimal_scale=TOTAL_SCALE)
 
 
 def q_entity_rankings(spark, sf_dir):
@@ -87,7 +89,7 @@ def q_entity_rankings(spark, sf_dir):
 def q_model_tests(spark, sf_dir):
     """Q9, Q10 on the three serving models, as declared by the published project."""
     stg = q_stg_activity(spark, sf_dir)
-    return models.model_tests(stg, models.summary(stg, SPEC, decimal_scale=2),
+    return models.model_tests(stg, models.summary(stg, SPEC, decimal_scale=TOTAL_SCALE),
                               models.rankings(stg, SPEC), SPEC)
 
 
@@ -189,7 +191,7 @@ def q_casts_strict_lenient(spark, sf_dir):
     )
     orders = read_table(spark, sf_dir, "orders").select(
         F.lit("orders").alias("source"), F.col("o_orderkey").alias("id"),
-        casts.strict_cast(F.col("o_custkey").cast("string"), "int", "o_custkey").alias(
+        casts.strict_cast(F.col("o_custkey").cast("string"), "long", "o_custkey").alias(
             "as_int_strict"),
         casts.lenient_cast("o_orderpriority", "int").alias("as_int_lenient"),
         casts.strict_iso_date_text(F.col("o_orderdate").cast("date").cast("string")).alias(
@@ -350,7 +352,7 @@ def q_momentum_extremes(spark, sf_dir):
 
 def q_findings_extract(spark, sf_dir):
     """Findings extract: top lists, momentum, totals as labels."""
-    return serving.findings(_mart(spark, sf_dir), SPEC, 3)
+    return serving.findings(_mart(spark, sf_dir), SPEC, 3, decimal_scale=TOTAL_SCALE)
 
 
 def q_momentum_ranking(spark, sf_dir):
@@ -385,7 +387,7 @@ def q_snapshot_metrics(spark, sf_dir):
     fact = medallion.build_fact(silver, SPEC)
     mart = build_mart(silver, SPEC)
     report = medallion.activity_quality(bronze)
-    return serving.snapshot_metrics(fact, mart, report, SPEC)
+    return serving.snapshot_metrics(fact, mart, report, SPEC, decimal_scale=TOTAL_SCALE)
 
 
 def q_table_row_counts(spark, sf_dir):

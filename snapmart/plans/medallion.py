@@ -113,10 +113,13 @@ def lake_run(spark: SparkSession, sf_dir: str, root: str) -> dict[str, object]:
     Row counts are observed while the versions are written (A10), so the
     source plan is not run again to count it.
     """
-    bronze = activity_bronze(spark, sf_dir).withColumn("lake_key", lake_key("entity"))
+    bronze = stage_table(activity_bronze(spark, sf_dir).withColumn("lake_key", lake_key("entity")), "lake-bronze", f"{root}/landed")
     keys = ["lake_key", "year", "metric"]
-    # partitioned by metric: a later snapshot of one metric rewrites one folder
     bronze_table = VersionedTable(spark, f"{root}/bronze", partition_by=["metric"])
+    # two loads: an earlier snapshot with half the years and other values, then
+    # the full one, which changes those rows and adds the rest
+    earlier = bronze.filter("year % 2 = 0").withColumn("value", F.col("value") + 1)
+    bronze_table.upsert(earlier, keys)
     bronze_table.upsert(bronze, keys)
     bronze_rows = bronze_table.last_rows_written
     stored = bronze_table.read()

@@ -90,7 +90,7 @@ def momentum_extremes(mart: DataFrame, spec: MartSpec, k: int = 3) -> DataFrame:
     )
 
 
-def findings(mart: DataFrame, spec: MartSpec, k: int = 3, decimal_scale: int | None = 2):
+def findings(mart: DataFrame, spec: MartSpec, k: int = 3, decimal_scale: int | None = None):
     """The findings extract (C12): leading entities per metric, strongest
     growth and largest declines, and snapshot totals, each as a display label.
 
@@ -157,7 +157,7 @@ def dashboard_bars(mart: DataFrame, spec: MartSpec, k: int = 8) -> DataFrame:
 
 def snapshot_metrics(
     fact: DataFrame, mart: DataFrame, report: DataFrame, spec: MartSpec,
-    decimal_scale: int | None = 2,
+    decimal_scale: int | None = None,
 ) -> DataFrame:
     """The one-row metrics document (C6, A2-A5): record counts, entity count,
     totals, check totals and the leading names. Three one-row aggregations;

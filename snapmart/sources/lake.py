@@ -1,56 +1,37 @@
-"""A versioned Parquet table with keyed upsert.
+"""A keyed Parquet table with whole versions.
 
 Layout under ``root``::
 
-    snapmart_version=00000001/[p=../]part-*.parquet   data of version 1
-    snapmart_version=00000002/[p=../]part-*.parquet   only what version 2 rewrote
-    _commits/segment=<n>/part-*.json   one record per version (append only):
-                                       version, time, schema, partition folders;
-                                       versions n*100 .. n*100+99 per segment
-    _checkpoints/part-*.json           the version at which each segment began
+    version=<n>-<id>/[p=../]part-*.parquet   the data of version n
+    _current/part-*.json                     one small row per version: its number, folder, schema
 
-A version is the list of folders in its commit record. With ``partition_by``,
-an upsert rewrites only the partitions its source touches and lists the other
-partitions' folders of the previous version unchanged, so an incremental batch
-costs what it touches, not the size of the table (the copy-on-write of whole
-partitions that MERGE also does). Without partitions every version is a full
-copy.
-
-Finding the current version reads the small ``_checkpoints`` log and then only
-the newest commit segments (segments fill in order, so the scan stops at the
-first missing one); a table with a million commits is read like one with a
-hundred.
-
-A version's files are written before its commit record is appended, so readers
-never see a half-written version and a failed run leaves the previous version
-current. Nothing is overwritten in place; everything goes through the
-DataFrame reader/writer, so ``root`` can be any file system the cluster writes.
+A write goes to a folder of its own and never over an existing one; the row that
+makes it current is written after the data, so readers never see half a version
+and a failed run leaves the one before current. An upsert merges the current
+version and writes the next one. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from urllib.parse import unquote
+import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmart.operators.upsert import assert_unique_keys, upsert
+from snapmart.operators.upsert import upsert
+from snapmart.sources.files import is_missing_path
 
-_COMMITS = "_commits"
-_CHECKPOINTS = "_checkpoints"
-_SEGMENT = 100  # commit records per segment folder
-_V = "snapmart_version"
-_COMMIT_SCHEMA = "version long, committed_at timestamp, schema string, folders array<string>"
+_POINTER_SCHEMA = "version long, folder string, schema string"
 
 
-def _bare(path: str) -> str:
-    return re.sub(r"^[A-Za-z][\w+.-]*:", "", path).lstrip("/")
+def literal_path(path: str) -> str:
+    """``path`` for a reader, with the signs that readers take as patterns escaped."""
+    return re.sub(r"([\[\]{}*?])", r"\\\1", path)
 
 
 class VersionedTable:
@@ -60,209 +41,64 @@ class VersionedTable:
         self.partition_by = list(partition_by)
         self.last_rows_written: int | None = None  # observed while writing (A10)
 
-    # -- commit log -----------------------------------------------------------
-
-    def _segment_path(self, segment: int) -> str:
-        return f"{self.root}/{_COMMITS}/segment={segment:08d}"
-
-    def _read_json(self, path: str, schema: str) -> DataFrame | None:
+    def _versions(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema(schema).json(path)
-        except AnalysisException:  # not written yet
-            return None
-
-    def _commits(self) -> DataFrame | None:
-        """Every commit record (history)."""
-        return self._read_json(f"{self.root}/{_COMMITS}/segment=*", _COMMIT_SCHEMA)
-
-    def versions(self) -> list[int]:
-        """All committed version numbers (history; not needed for reads/writes)."""
-        commits = self._commits()
-        if commits is None:
-            return []
-        return sorted(r.version for r in commits.select("version").collect())
-
-    def _checkpointed(self) -> int | None:
-        """The newest version recorded in the checkpoint log (one row)."""
-        marks = self._read_json(f"{self.root}/{_CHECKPOINTS}", "version long")
-        return marks.agg(F.max("version")).first()[0] if marks is not None else None
-
-    def _latest(self):
-        """The newest commit record: only the segments from the last
-        checkpoint on are read, and only one row reaches the driver."""
-        mark = self._checkpointed()
-        segment = (mark or 0) // _SEGMENT
-        newest = None
-        while True:
-            part = self._read_json(self._segment_path(segment), _COMMIT_SCHEMA)
-            if part is None:
-                break
-            newest = part if newest is None else newest.unionByName(part)
-            segment += 1
-        if newest is None:
+            return self.spark.read.schema(_POINTER_SCHEMA).json(literal_path(f"{self.root}/_current"))
+        except AnalysisException as exc:
+            if is_missing_path(exc):
+                return None
+            raise
+
+    def _record(self, version: int | None = None) -> Row | None:
+        rows = self._versions()
+        if rows is None:
             return None
-        rows = newest.orderBy(F.col("version").desc()).limit(1).collect()
-        record = rows[0] if rows else None
-        if record is not None:
-            record = _Record(record, mark)
-        return record
+        if version is not None:
+            rows = rows.filter(F.col("version") == version)
+        found = rows.orderBy(F.desc("version")).limit(1).collect()
+        return found[0] if found else None
 
     def current_version(self) -> int | None:
-        latest = self._latest()
-        return latest.version if latest is not None else None
+        record = self._record()
+        return record.version if record else None
 
     def exists(self) -> bool:
         """True once a version is committed."""
-        return self._latest() is not None
-
-    def _record(self, version: int | None = None):
-        if version is None:
-            record = self._latest()
-        else:
-            part = self._read_json(self._segment_path(version // _SEGMENT), _COMMIT_SCHEMA)
-            rows = part.filter(F.col("version") == version).collect() if part else []
-            record = rows[0] if rows else None
-        if record is None:
-            raise FileNotFoundError(f"no committed version {version or ''} under {self.root}")
-        return record
-
-    # -- read / write ---------------------------------------------------------
+        return self._record() is not None
 
     def read(self, version: int | None = None) -> DataFrame:
         """The current (or a given) version."""
-        return self._scan(self._record(version))
-
-    def _scan(self, record) -> DataFrame:
+        record = self._record(version)
+        if record is None:
+            raise FileNotFoundError(f"no committed version {version or ''} under {self.root}")
         schema = T.StructType.fromJson(json.loads(record.schema))
-        scan_schema = T.StructType([*schema.fields, T.StructField(_V, T.StringType())])
-        df = (
-            self.spark.read.schema(scan_schema)
-            .option("basePath", self.root)
-            .parquet(*record.folders)
-        )
-        return df.select(*schema.names)
-
-    def _folders_of(self, version_dir: str) -> list[str]:
-        """Leaf folders holding the data files of one write (file index only)."""
-        files = (
-            self.spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(version_dir)
-            .inputFiles()
-        )
-        prefix = _bare(version_dir).rstrip("/") + "/"
-        folders = set()
-        for f in files:
-            rel = _bare(unquote(f))[len(prefix):]  # file index paths are URI-encoded
-            parent = rel.rsplit("/", 1)[0] if "/" in rel else ""
-            folders.add(f"{version_dir}/{parent}" if parent else version_dir)
-        return sorted(folders)
+        folder = literal_path(f"{self.root}/{record.folder}")
+        return self.spark.read.schema(schema).parquet(folder).select(*schema.names)
 
-    def _commit(self, version: int, schema: T.StructType, folders: list[str],
-                 mark: int | None = None) -> None:
-        record = self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"),
-            F.current_timestamp().alias("committed_at"),
-            F.lit(schema.json()).alias("schema"),
-            F.array(*[F.lit(f) for f in folders]).cast("array<string>").alias("folders"),
-        )
-        record.coalesce(1).write.mode("append").json(self._segment_path(version // _SEGMENT))
-        if version // _SEGMENT > (mark or 0) // _SEGMENT:
-            # first commit of a new segment (or a missed mark): note it, so
-            # readers can skip every older segment
-            self.spark.range(1).select(F.lit(version).cast("long").alias("version")) \
-                .coalesce(1).write.mode("append").json(f"{self.root}/{_CHECKPOINTS}")
-
-    def _write_data(self, df: DataFrame, version: int) -> list[str]:
-        target = f"{self.root}/{_V}={version:08d}"
+    def write(self, df: DataFrame) -> int:
+        """Commit ``df`` as the next version, replacing the whole table (K4)."""
+        version = (self.current_version() or 0) + 1
+        folder = f"version={version:08d}-{uuid.uuid4().hex[:8]}"
         # count the rows as they are written instead of scanning again
-        observation = Observation(f"write_{version}")
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-        writer = df.write.mode("overwrite")
+        observation = Observation()
+        writer = df.observe(observation, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(target)
+        writer.parquet(f"{self.root}/{folder}")
         self.last_rows_written = observation.get["rows"]
-        try:
-            return self._folders_of(target)
-        except AnalysisException:  # an empty write leaves no data files
-            return []
-
-    def write(self, df: DataFrame) -> int:
-        """Commit ``df`` as the next version, replacing the whole table (K4)."""
-        latest = self._latest()
-        version = (latest.version if latest is not None else 0) + 1
-        folders = self._write_data(df, version)
-        if not folders:  # keep an empty version readable
-            empty = f"{self.root}/{_V}={version:08d}"
-            df.limit(0).write.mode("overwrite").parquet(empty)
-            folders = [empty]
-        self._commit(version, df.schema, folders, latest.mark if latest is not None else None)
+        pointer = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"), F.lit(folder).alias("folder"),
+            F.lit(df.schema.json()).alias("schema"))
+        pointer.coalesce(1).write.mode("append").json(f"{self.root}/_current")
         return version
 
-    def upsert(self, source: DataFrame, keys: Sequence[str]) -> int:
+    def upsert(self, source: DataFrame, keys: Sequence[str], check_duplicates: bool = True) -> int:
         """Merge ``source`` on ``keys`` into a new version.
 
         The first load writes the source as version 1 after the same duplicate
-        key check a merge applies. With ``partition_by`` (which must be part of
-        the keys, so a key never moves between partitions) only the touched
-        partitions are read, merged and rewritten.
+        key check a merge applies.
         """
-        if not set(self.partition_by) <= set(keys):
-            raise ValueError("partition columns must be part of the merge keys")
-        previous = self._latest()
-        if previous is None:
-            assert_unique_keys(source, keys)
-            return self.write(source)
-        if not self.partition_by:
-            return self.write(upsert(self._scan(previous), source, keys))
-
-        # distinct partition values of the batch: one row per touched folder
-        touched = [tuple(r) for r in source.select(*self.partition_by).distinct().collect()]
-        current = self._scan(previous).filter(
-            _partition_filter(self.partition_by, touched))
-        merged = upsert(current, source, keys)  # the scan above is partition-pruned
-        version = previous.version + 1
-        new_folders = self._write_data(merged, version)
-        # every touched partition is rewritten (it holds at least the source
-        # rows); all other folders of the previous version are carried over
-        rewritten = {_partition_of(f) for f in new_folders}
-        kept = [f for f in previous.folders if _partition_of(f) not in rewritten]
-        schema = T.StructType.fromJson(json.loads(previous.schema))
-        if merged.schema.names != schema.names:
-            schema = merged.schema  # evolved: older files read the new columns as null
-        self._commit(version, schema, sorted(kept + new_folders), previous.mark)
-        return version
-
-
-class _Record:
-    """A commit record plus the checkpoint mark seen when it was read."""
-
-    def __init__(self, row, mark: int | None):
-        self.version = row.version
-        self.schema = row.schema
-        self.folders = row.folders
-        self.mark = mark
-
-
-def _partition_of(folder: str) -> tuple[tuple[str, str], ...]:
-    """The ``name=value`` segments below the version folder (as written by Spark)."""
-    tail = _bare(folder).split(f"/{_V}=", 1)[-1]
-    return tuple(tuple(seg.split("=", 1)) for seg in tail.split("/")[1:] if "=" in seg)
-
-
-def _partition_filter(columns: list[str], values: list[tuple]):
-    """Literal predicate selecting the touched partitions (prunes folders)."""
-    if len(columns) == 1:
-        present = [v[0] for v in values if v[0] is not None]
-        cond = F.col(columns[0]).isin(present) if present else F.lit(False)
-        if any(v[0] is None for v in values):
-            cond = cond | F.col(columns[0]).isNull()
-        return cond
-    return reduce(
-        lambda a, b: a | b,
-        [reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, vals)])
-         for vals in values],
-        F.lit(False),
-    )
+        if self.exists():
+            return self.write(upsert(self.read(), source, keys, check_duplicates))
+        empty = self.spark.createDataFrame([], source.schema)
+        return self.write(upsert(empty, source, keys, check_duplicates))

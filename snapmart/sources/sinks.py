@@ -11,12 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from snapmart.session import scratch_path
+from snapmart.sources.files import CSV_OPTIONS
 
 
 def write_csv(df: DataFrame, path: str, order_by: Sequence[Column] = ()) -> None:
     """Header CSV, full overwrite (K1, K8)."""
     out = df.orderBy(*order_by) if order_by else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -29,7 +30,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 def write_metric_extracts(fact: DataFrame, path: str, metric_col: str = "metric") -> None:
     """All per-metric extracts in one pass: ``{path}/metric=<m>/`` (K7)."""
-    fact.write.mode("overwrite").option("header", True).partitionBy(metric_col).csv(path)
+    fact.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy(metric_col).csv(path)
 
 
 def write_json_document(df: DataFrame, path: str) -> None:

@@ -63,7 +63,7 @@ def _batch_writer(
             latest = keep_last(rows, list(keys), [_FILE_TIME, _FILE_NAME]).drop(
                 _FILE_TIME, _FILE_NAME
             )
-            target.upsert(latest, keys)
+            target.upsert(latest, keys, check_duplicates=False)  # keep_last left one row per key
         finally:
             batch.unpersist()
 

@@ -112,3 +112,25 @@ def test_report_is_one_scan_one_shuffle(spark):
                            q.snapshot_rules(REQUIRED_COLUMNS))
     plan = rep._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 2
+
+
+def test_blank_check_and_strip_are_linear(spark):
+    import time
+
+    from snapmart.operators.quality import not_blank, strip_whitespace
+
+    long_cell = "a" + " " * 100_000 + "b"
+    cells = [(long_cell,), ("\u3000\t x \u00a0",), ("\u2003 \n",), ("",), (None,)]
+    df = spark.createDataFrame(cells, "c string")
+    start = time.monotonic()
+    rows = df.select(strip_whitespace("c").alias("s"), not_blank("c").failed.alias("f")).collect()
+    assert time.monotonic() - start < 20
+    assert [(r.s, r.f) for r in rows] == [(long_cell, False), ("x", False), ("", True), ("", True), (None, False)]
+
+
+def test_totals_are_not_rounded_unless_asked(spark):
+    from snapmart.operators.aggregates import exact_sum
+
+    df = spark.createDataFrame([(1.005,), (0.004,), (0.004,)], "v double")
+    assert abs(df.agg(exact_sum("v", None)).first()[0] - 1.013) < 1e-12
+    assert df.agg(exact_sum("v", 6)).first()[0] == 1.013
