@@ -68,6 +68,7 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     blank = kinds == 3
     begins = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))
     own = np.zeros((total, _OWN))
+    own[:, 11] = 1  # distinct words per word; a line without any has no repeats
     per = np.maximum(size - counts[:, 9], 1)
     own[:, :_CLASSES] = counts[:, :_CLASSES] / per[:, None]
     own[:, 9] = np.log1p(size)

@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from snapmart.llm import url_filter
+from snapmart.llm.queries import ORACLE, op7_url_filter
+from tests.conftest import SF_SMALL
+from tests.oracle import compare
+
+ENTRIES = "kind string, pattern string, action string, listed_at date"
+CAPTURES = "page_id long, url string, fetched_at timestamp, kind string, pattern string"
+
+
+def day(n):
+    return dt.date(2024, 1, 1) + dt.timedelta(days=n)
+
+
+def judge(spark, captures, entries):
+    rows = [(i, u, None if d is None else dt.datetime.combine(day(d), dt.time(13)), "x", "y") for i, u, d in captures]
+    got = url_filter.judge(spark.createDataFrame(rows, CAPTURES), spark.createDataFrame(entries, ENTRIES))
+    return sorted(((r["page_id"], r["blocked"], r["kind"], r["pattern"]) for r in got.collect()), key=str)
+
+
+def test_entries_hold_from_their_day_to_the_next(spark):
+    entries = [("host", "a.org", "block", day(10)), ("host", "a.org", "remove", day(20)), ("host", "a.org", "block", day(100))]
+    captures = [(d, "http://a.org/x", d) for d in (9, 10, 19, 20, 99, 100, 1000)]
+    assert {i for i, blocked, _, _ in judge(spark, captures, entries) if blocked} == {10, 19, 100, 1000}
+
+
+def test_the_narrowest_pattern_decides(spark):
+    entries = [
+        ("domain", "b.org", "block", day(0)), ("host", "w.b.org", "allow", day(0)), ("prefix", "w.b.org/p/", "block", day(0)),
+        ("url", "w.b.org/p/q?z=1", "allow", day(0)), ("domain", "x.b.org", "allow", day(5)),
+    ]
+    captures = [
+        (1, "https://b.org/", 1), (2, "https://W.b.org:8080/", 1), (3, "http://u@w.b.org/p/r#f", 1), (4, "//w.b.org/p/q?z=1#f", 1),
+        (5, "http://y.x.b.org/", 4), (6, "http://y.x.b.org/", 5), (7, "http://notb.org/", 1),
+    ]
+    assert judge(spark, captures, entries) == [
+        (1, True, "domain", "b.org"), (2, False, "host", "w.b.org"), (3, True, "prefix", "w.b.org/p/"),
+        (4, False, "url", "w.b.org/p/q?z=1"), (5, True, "domain", "b.org"), (6, False, "domain", "x.b.org"), (7, False, None, None)]
+
+
+def test_nulls_ties_and_repeated_rows(spark):
+    entries = [
+        ("host", "a.org", "allow", day(1)), ("host", "a.org", "block", day(1)), ("host", "a.org", "block", day(1)),
+        (None, "a.org", "block", day(1)), ("host", None, "block", day(1)), ("host", "c.org", "nonsense", day(1)), ("host", "c.org", "block", None)]
+    captures = [(1, "http://a.org/", 2), (1, "http://a.org/", 2), (2, None, 2), (3, "http://a.org/", None), (4, "no url", 2), (5, "", 2), (6, "http://c.org/" + "x" * 60_000, 2), (None, None, None)]
+    assert judge(spark, captures, entries) == sorted([
+        (1, True, "host", "a.org"), (1, True, "host", "a.org"), (2, False, None, None), (3, False, None, None), (4, False, None, None),
+        (5, False, None, None), (6, False, None, None), (None, False, None, None)], key=str)
+
+
+def test_empty_tables(spark):
+    assert judge(spark, [], [("host", "a.org", "block", day(1))]) == []
+    assert judge(spark, [(1, "http://a.org/", 2)], []) == [(1, False, None, None)]
+
+
+def test_a_hot_host_and_a_long_history(spark):
+    entries = [("host", "h.org", "block" if d % 2 else "remove", day(d)) for d in range(0, 700, 3)]
+    captures = [(i, "http://h.org/", i % 700) for i in range(2000)]
+    got = {i: blocked for i, blocked, _, _ in judge(spark, captures, entries)}
+    assert all(got[i] == bool((i % 700) // 3 * 3 % 2) for i in got) and len(got) == 2000
+
+
+def test_query(spark):
+    frame = op7_url_filter(spark, SF_SMALL)
+    assert compare(frame, ORACLE["op7_url_filter"], SF_SMALL) == []
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
