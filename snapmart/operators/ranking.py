@@ -1,11 +1,12 @@
-"""Rankings and top-k lists.
+"""Rankings, positions and top-k lists.
 
 ``dense_rank`` per metric is the textbook case of a window with few, huge
 partitions: ``Window.partitionBy("metric")`` would sort a third of the table in
-one task. :func:`dense_rank_by` instead ranks the *distinct* (group, value)
-pairs with Spark's distributed range sort and turns per-partition positions
-into global ranks with a prefix sum over a table that has one row per
-(range partition, group); the ranks are then joined back on (group, value).
+one task. :func:`dense_rank_by` range-partitions the rows themselves by
+(group, value, rest of the row), so that the rows of one hot value lie in several
+partitions, ranks inside each (partition, group), and adds an offset from a table
+that has one row per (partition, group). :func:`with_position` numbers rows in a
+total order the same way. Nothing is ever dealt out or joined by the value.
 
 Top-k uses ``row_number() <= k`` over a partitioned window, which Catalyst
 plans as a partial ``WindowGroupLimit`` before the shuffle: each map task
@@ -20,11 +21,31 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.session import ensure_checkpoint_dir
-
 _ID_BITS = 33  # monotonically_increasing_id keeps the record number in the low 33 bits
 
 
+def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+    return num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _nulls_last(name: str, descending: bool = False) -> Column:
+    return F.col(name).desc_nulls_last() if descending else F.col(name).asc_nulls_last()
+
+
+def ranged(
+    df: DataFrame, groups: Sequence[str], order_col: str, descending: bool = True, num_partitions: int | None = None
+) -> DataFrame:
+    """``df`` range-partitioned by (groups, value, hash of the row), with ``__part``.
+
+    The hash lets a range end between two rows of the same value; only rows that
+    agree in every column must stay together.
+    """
+    order = [*[_nulls_last(g) for g in groups], _nulls_last(order_col, descending)]
+    return df.repartitionByRange(
+        _partitions(df, num_partitions), *order, F.xxhash64(*df.columns).asc()
+    ).withColumn("__part", F.spark_partition_id())
+
+
 def dense_rank_by(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -38,61 +59,68 @@ def dense_rank_by(
     Nulls rank last in both directions (the SQL default for DESC in most
     engines; stated explicitly here so ascending ranks agree too).
 
-    Steps: distinct (group, value) pairs (map-side combined, so a hot value
-    costs one row); range-partition and sort them; checkpoint to the shared
-    folder so the positions are fixed even if executors are lost; per
-    (partition, group) count + first position; prefix sums per group over that
-    small table; join back. Every stage is distributed; nothing is collected.
+    Steps: range-partition the rows (:func:`ranged`); dense rank inside each
+    (range, group), each of which is one task's share; write that to the shared
+    folder, which fixes the ranges even if executors are lost; per (range, group)
+    the number of values with the first and last one; prefix sums per group over
+    that small table, less one wherever a value continues from the range before;
+    add the offset. The join is on (range, group): a hot value's rows are spread
+    over its ranges. Nothing is collected.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    from snapmart.sources.sinks import stage_table
+
     groups = list(partition_by)
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    inside = Window.partitionBy("__part", *groups).orderBy(_nulls_last(order_col, descending))
+    located = stage_table(
+        ranged(df, groups, order_col, descending, num_partitions)
+        .withColumn("__local", F.dense_rank().over(inside).cast("long")), "ranked")
 
-    # Work on renamed copies so the final join back never sees two lineages of
-    # the same column (a self-join would be ambiguous).
+    # renamed copies, so that the join back never sees two lineages of one column
     g_names = [f"__g{i}" for i in range(len(groups))]
-    pairs = df.select(
-        *[F.col(g).alias(n) for g, n in zip(groups, g_names)], F.col(order_col).alias("__v")
-    ).distinct()
-    order = F.col("__v").desc_nulls_last() if descending else F.col("__v").asc_nulls_last()
-    sort_cols = [F.col(n).asc_nulls_last() for n in g_names] + [order]
-    ordered = (
-        pairs.repartitionByRange(parts, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
-        .withColumn("__id", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+    value, low, high = F.col("__v"), F.min("__v"), F.max("__v")
+    first, last = (high, low) if descending else (low, high)
+    spans = located.select(
+        F.col("__part").alias("__opart"), *[F.col(g).alias(n) for g, n in zip(groups, g_names)],
+        F.col(order_col).alias("__v"), "__local",
+    ).groupBy("__opart", *g_names).agg(
+        F.max("__local").alias("__n"), first.alias("__first"),
+        F.when(F.count_if(value.isNull()) == 0, last).alias("__last"),
     )
-    located = ordered.select(
-        *g_names,
-        "__v",
-        F.shiftright("__id", _ID_BITS).alias("__part"),
-        (F.col("__id") - F.shiftleft(F.shiftright("__id", _ID_BITS), _ID_BITS)).alias("__pos"),
-    )
-    spans = located.groupBy("__part", *g_names).agg(
-        F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__n")
-    )
-    before = Window.partitionBy(*(g_names or [F.lit(0)])).orderBy("__part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = spans.select(
-        F.col("__part").alias("__opart"),
-        *[F.col(n).alias(f"__o{n}") for n in g_names],
-        "__first",
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
-    )
-    # ``offsets`` has one row per (range partition, group): small, AQE broadcasts it.
+    along = Window.partitionBy(*(g_names or [F.lit(0)])).orderBy("__opart")
+    carried = spans.withColumn("__carried", F.when(
+        (F.row_number().over(along) > 1) & F.col("__first").eqNullSafe(F.lag("__last").over(along)), 1,
+    ).otherwise(0).cast("long"))
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = carried.select(
+        "__opart", *g_names, (F.sum(F.col("__n") - F.col("__carried")).over(so_far) - F.col("__n")).alias("__off"))
     cond = [F.col("__part") == F.col("__opart")]
-    cond += [F.col(n).eqNullSafe(F.col(f"__o{n}")) for n in g_names]
-    ranked = located.join(offsets, on=reduce(lambda a, b: a & b, cond)).select(
-        *g_names,
-        "__v",
-        (F.col("__off") + F.col("__pos") - F.col("__first") + 1).cast("long").alias(rank_col),
-    )
-    back = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(groups, g_names)]
-    back.append(F.col(order_col).eqNullSafe(F.col("__v")))
-    joined = df.join(ranked, on=reduce(lambda a, b: a & b, back))
-    return joined.select(*df.columns, rank_col)
+    cond += [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(groups, g_names)]
+    # ``offsets`` has one row per (range, group): small, AQE broadcasts it.
+    return located.join(offsets, on=reduce(lambda a, b: a & b, cond)).select(
+        *df.columns, (F.col("__local") + F.col("__off")).alias(rank_col))
+
+
+def with_position(
+    df: DataFrame, order_by: Sequence[Column], position_col: str = "position", num_partitions: int | None = None
+) -> DataFrame:
+    """Add the 1-based position of every row in a total order.
+
+    ``order_by`` should end in a full tie-break; rows that agree in all of it get
+    neighbouring positions in no stated order. One range shuffle and a written
+    table; the offsets have one row per range.
+    """
+    from snapmart.sources.sinks import stage_table
+
+    parts = _partitions(df, num_partitions)
+    ordered = stage_table(
+        df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)
+        .withColumn("__id", F.monotonically_increasing_id()), "positions")
+    part = F.shiftright("__id", _ID_BITS)
+    sizes = ordered.groupBy(part.alias("__opart")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("__opart").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__opart", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    place = F.col("__id") - F.shiftleft(part, _ID_BITS) + F.col("__off") + 1
+    return ordered.join(offsets, part == F.col("__opart")).select(*df.columns, place.cast("long").alias(position_col))
 
 
 def top_k(

@@ -41,12 +41,29 @@ def test_no_cross_products(plans):
 
 def test_rank_uses_no_global_window(plans):
     p = plans["entity_rankings"]
-    # the only window is the prefix sum over (range partition, group) rows
+    # the only windows are those over the (range, group) rows
     for line in p.splitlines():
         if "Window [" in line:
             assert "windowspecdefinition(__g0" in line
 
 
+def test_rank_never_deals_rows_out_by_value(spark):
+    from pyspark.sql import functions as F
+
+    from snapmart.operators.ranking import dense_rank_by
+
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") % 50).alias("v"), "id")
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, -1)
+    try:
+        p = _plan(dense_rank_by(df, ["g"], "v", num_partitions=4))
+    finally:
+        spark.conf.set(conf, before)
+    assert "hashpartitioning" in p
+    assert not re.search(r"hashpartitioning\([^)]*\bv#", p)
+
+
 def test_staged_silver_is_pruned(plans):
     p = plans["metric_extract"]
     assert re.search(r"PartitionFilters: \[.*metric.*= billed", p)
