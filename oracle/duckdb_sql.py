@@ -355,7 +355,7 @@ s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_total
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    sql = {
         "activity_long": ACTIVITY_LONG,
         "activity_quality": ACTIVITY_QUALITY,
         "silver_activity": with_activity(
@@ -451,7 +451,16 @@ UNION ALL
 SELECT 'orders', o_orderkey, CAST(CAST(o_custkey AS VARCHAR) AS INTEGER),
        TRY_CAST(o_orderpriority AS INTEGER),
        strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d'), CAST(o_orderdate AS DATE)
-FROM orders""",
+FROM orders
+UNION ALL
+SELECT 'events', event_id, NULL, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER), NULL, NULL
+FROM events""",
+        "lake_silver_filter": """WITH v AS (
+    SELECT c_custkey AS id, c_name AS entity, c_acctbal + 0.0 AS value, '2024-01-01' AS day FROM customer
+    UNION ALL SELECT c_custkey, c_name, c_acctbal - 5000.0, '2024-06-01' FROM customer)
+SELECT id, entity, value, day AS ingested_at_utc, 'customer' AS source_file, CAST(day AS DATE) AS source_last_updated
+FROM v WHERE value >= 0
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY day DESC) = 1""",
         "dedup_keep_last": _dedup(", ".join(f"{c} DESC" for c in ["l_shipdate", *LI_REST])),
         "dedup_keep_first": _dedup(", ".join(f"{c} ASC" for c in ["l_shipdate", *LI_REST])),
         "dedup_keep_any": _dedup(", ".join(f"{c} ASC" for c in [*LI_REST, "l_shipdate"])),
@@ -546,8 +555,25 @@ SELECT 'total_' || metric, CAST(1 AS BIGINT), CAST(NULL AS VARCHAR), {humanize('
 FROM (SELECT metric, CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS total
       FROM by_metric GROUP BY metric)""", BY_METRIC_CTE, _top_by_metric(3)),
         "momentum_ranking": with_mart(
-            "SELECT entity_key, entity, combined_yoy_pct, activity_class FROM mart "
+            "SELECT entity_key, entity, combined_yoy_pct, activity_class, "
+            "row_number() OVER (ORDER BY combined_yoy_pct, entity, entity_key) AS position FROM mart "
             "WHERE combined_yoy_pct IS NOT NULL"),
+        "dashboard_filters": with_mart(" UNION ALL ".join(
+            f"SELECT '{name}' AS filter, entity_key, entity, activity_class, combined_yoy_pct FROM mart WHERE {cond}"
+            for name, cond in (
+                ("expanding", "activity_class = 'Expanding'"),
+                ("billed_and_returned", "billed_2000 IS NOT NULL AND returned_qty_2000 IS NOT NULL"),
+                ("decline", "combined_yoy_pct < 0"),
+                ("unknown", "combined_yoy_pct IS NULL"),
+                ("names", "entity IN ('Customer#000000001', 'Customer#000000002')"),
+                ("together", "activity_class IN ('Stable', 'Expanding') AND order_count_1999 IS NOT NULL "
+                             "AND combined_yoy_pct > 0")))),
+        "ordered_outputs": with_mart(f"""SELECT 'silver' AS table_name, entity_key, metric,
+       CAST(year AS VARCHAR) AS year, row_number() OVER (ORDER BY entity, year, metric) AS position FROM silver
+UNION ALL SELECT 'dimension', entity_key, NULL, NULL, row_number() OVER (ORDER BY entity, entity_key) FROM dim
+UNION ALL SELECT 'fact', entity_key, metric, CAST(year AS VARCHAR),
+       row_number() OVER (ORDER BY metric, value DESC, entity_key, year) FROM fact
+UNION ALL SELECT 'mart', entity_key, NULL, NULL, row_number() OVER (ORDER BY {LIST_ORDER}) FROM mart""", FACT_CTE),
         "mart_head": with_mart(
             f"""SELECT position, entity_key, entity,
        format('{{:,.0f}}', billed_2000) AS billed_2000_text,
@@ -590,7 +616,18 @@ FROM top_metric""", BY_METRIC_CTE, _top_by_metric(8)),
             for t in ("region nation customer supplier part orders lineitem events documents "
                       "embeddings pages benchmark labels conversations").split()
         ),
-        "bronze_lineage": "SELECT * FROM orders",
+        "bronze_lineage": """WITH rows AS (
+    SELECT 'part' AS dataset, CAST(p_partkey AS VARCHAR) AS id, 'part' AS metric,
+           '  "' || p_name || '", ' || p_type || ' ' AS label FROM part
+    UNION ALL
+    SELECT 'order', CAST(o_orderkey AS VARCHAR), 'order', o_orderstatus || ',"' || o_orderpriority FROM orders)
+SELECT *, sha256(id || '|' || label || '|' || metric) AS record_hash, true AS file_named, true AS ingested
+FROM rows""",
+        "file_discovery": """SELECT event_type, count(*) AS rows, min(event_id) AS first_event
+FROM events GROUP BY event_type""",
+        "lake_counts": with_activity("""SELECT count(*) AS bronze_rows,
+       count(*) FILTER (WHERE value >= 0) AS silver_rows, count(*) FILTER (WHERE value >= 0) AS export_rows
+FROM activity"""),
         "lake_run": with_activity(
             f"""SELECT dataset, entity, year, metric, value, unit, yoy_change_pct,
        five_year_change_pct, source_name, source_url,
@@ -624,3 +661,8 @@ SELECT o_orderstatus, year, total, orders, {humanize('total')} AS total_label,
        {humanize('CAST(orders AS DOUBLE)')} AS orders_label
 FROM g""",
     }
+    # these return by another way what a query above returns directly
+    for name, same in (("csv_staging", "stg_activity"), ("materialized_summary", "metric_summary"),
+                       ("metrics_document", "snapshot_metrics")):
+        sql[name] = sql[same]
+    return sql

@@ -281,6 +281,22 @@ def build_mart(
     return add_score(wide, spec).select(*spec.output_columns())
 
 
+def dimension_order(spec: MartSpec) -> list[Column]:
+    """Dimension by name, then key."""
+    return [F.col(spec.name_col).asc_nulls_last(), F.col(spec.key_col).asc_nulls_last()]
+
+
+def fact_order(spec: MartSpec) -> list[Column]:
+    """Fact by metric, value descending, then key and year (O3)."""
+    return [F.col("metric").asc_nulls_last(), F.col("value").desc_nulls_last(),
+            F.col(spec.key_col).asc_nulls_last(), F.col("year").asc_nulls_last()]
+
+
+def silver_order(spec: MartSpec) -> list[Column]:
+    """Silver by name and year, then metric (O1)."""
+    return [F.col(spec.name_col).asc_nulls_last(), F.col("year").asc_nulls_last(), F.col("metric").asc_nulls_last()]
+
+
 def mart_order(spec: MartSpec) -> list[Column]:
     """Published mart order: score descending, then name, then key (O2)."""
     return [

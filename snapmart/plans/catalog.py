@@ -18,14 +18,20 @@ from snapmart.functions.formatting import humanize_volume
 from snapmart.functions.numeric import guarded_ratio, momentum_class, prior_estimate, row_mean
 from snapmart.operators import quality as q
 from snapmart.operators.dedupe import keep_any, keep_first, keep_last
-from snapmart.operators.marts import ACTIVITY_MART, build_dimension, build_mart, reference_rows
+from snapmart.operators.marts import (
+    ACTIVITY_MART, build_dimension, build_mart, dimension_order, fact_order, mart_order, reference_rows, silver_order,
+)
+from snapmart.operators.ranking import with_position
+from snapmart.operators.standardize import lake_silver
 from snapmart.operators.upsert import upsert
 from snapmart.plans import activity, medallion, models, outputs, serving
 from snapmart.plans.activity import read_table
 from snapmart.session import scratch_path
 from snapmart.sources import files
 from snapmart.sources.lake import VersionedTable
-from snapmart.sources.sinks import stage_table
+from snapmart.sources.sinks import (
+    materialize_table, publish_views, stage_table, write_csv, write_json_document, write_metric_extracts,
+)
 from snapmart.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,7 +186,7 @@ def q_record_hash(spark, sf_dir):
 
 
 def q_casts_strict_lenient(spark, sf_dir):
-    """P8-P11 over every part and order."""
+    """P8-P11 over every part, order and event; the events' numbers parse leniently, the brands don't."""
     part = read_table(spark, sf_dir, "part").select(
         F.lit("part").alias("source"), F.col("p_partkey").alias("id"),
         casts.strict_cast(F.regexp_replace("p_brand", "^Brand#", ""), "int", "brand").alias(
@@ -198,7 +204,14 @@ def q_casts_strict_lenient(spark, sf_dir):
             "date_text"),
         casts.parse_date(F.col("o_orderdate").cast("date").cast("string")).alias("as_date"),
     )
-    return part.unionByName(orders)
+    events = read_table(spark, sf_dir, "events").select(
+        F.lit("events").alias("source"), F.col("event_id").alias("id"),
+        F.lit(None).cast("long").alias("as_int_strict"),
+        casts.lenient_cast(F.get_json_object("props", "$.k"), "int").alias("as_int_lenient"),
+        F.lit(None).cast("string").alias("date_text"),
+        F.lit(None).cast("date").alias("as_date"),
+    )
+    return part.unionByName(orders).unionByName(events)
 
 
 # -- dedupe -------------------------------------------------------------------
@@ -288,6 +301,21 @@ def q_dq_not_null_accepted(spark, sf_dir):
     )
 
 
+def q_lake_silver_filter(spark, sf_dir):
+    """Two balances per customer, many below zero; a later bad one
+    must not hide an earlier good one."""
+    customer = read_table(spark, sf_dir, "customer")
+    change = F.col("change")
+    rows = customer.select("c_custkey", "c_name", "c_acctbal", F.explode(F.array(
+        *[F.struct(F.lit(by).cast("double").alias("by"), F.lit(day).alias("day"))
+          for by, day in ((0, "2024-01-01"), (-5000, "2024-06-01"))])).alias("change")
+    ).select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("entity"),
+        (F.col("c_acctbal") + change["by"]).alias("value"), change["day"].alias("ingested_at_utc"),
+        F.lit("customer").alias("source_file"), change["day"].alias("source_last_updated"))
+    return lake_silver(rows, ["id"], date_columns=["source_last_updated"])
+
+
 def q_metric_domain(spark, sf_dir):
     """S10 per dataset of the activity snapshot: values other than the expected
     metric and the number of non-null metric cells."""
@@ -356,10 +384,81 @@ def q_findings_extract(spark, sf_dir):
 
 
 def q_momentum_ranking(spark, sf_dir):
-    """Entities with a combined rate."""
+    """Entities with a combined rate, and their position in ascending order."""
     return serving.momentum_ranking(_mart(spark, sf_dir), SPEC)
 
 
+def q_dashboard_filters(spark, sf_dir):
+    """The dashboard's filters, alone and together (P20); one scan of the mart."""
+    chosen = {
+        "expanding": serving.dashboard_filter(SPEC, classes=["Expanding"]),
+        "billed_and_returned": serving.dashboard_filter(SPEC, with_metrics=["billed", "returned_qty"]),
+        "decline": serving.dashboard_filter(SPEC, change="decline"),
+        "unknown": serving.dashboard_filter(SPEC, change="unknown"),
+        "names": serving.dashboard_filter(SPEC, entities=["Customer#000000001", "Customer#000000002"]),
+        "together": serving.dashboard_filter(
+            SPEC, classes=["Stable", "Expanding"], with_metrics=["order_count"], change="growth"),
+    }
+    met = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in chosen.items()]))
+    return _mart(spark, sf_dir).select(
+        F.explode(met).alias("filter"), SPEC.key_col, SPEC.name_col, SPEC.class_col, SPEC.combined_col)
+
+
+def q_ordered_outputs(spark, sf_dir):
+    """Silver, dimension, fact and mart written in order as CSV, read
+    back, and the position of every line in the files returned."""
+    root = scratch_path(spark, "ordered")
+    silver = _silver(spark, sf_dir)
+    rows = reference_rows(silver, SPEC)
+    tables = {
+        "silver": (silver.drop("source_file"), silver_order(SPEC)),
+        "dimension": (build_dimension(rows, SPEC), dimension_order(SPEC)),
+        "fact": (medallion.build_fact(silver, SPEC), fact_order(SPEC)),
+        "mart": (build_mart(silver, SPEC), mart_order(SPEC)),
+    }
+    out = None
+    for name, (df, order) in tables.items():
+        write_csv(df, f"{root}/{name}", order)
+        lines = files.read_raw_csv(spark, [f"{root}/{name}"], required=[SPEC.key_col], label=name)
+        placed = with_position(lines, [F.col(c).asc() for c in ("source_file", "source_block", "source_row")])
+        has = set(df.columns)
+        part = placed.select(
+            F.lit(name).alias("table_name"), "position", SPEC.key_col,
+            *[(F.col(c) if c in has else F.lit(None).cast("string")).alias(c) for c in ("metric", "year")])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_csv_staging(spark, sf_dir):
+    """The per-metric CSV extracts of the fact, read with a typed schema
+    checked against the headers, published as a view and staged in SQL."""
+    root = scratch_path(spark, "extracts")
+    fact = _fact(spark, sf_dir)
+    write_metric_extracts(fact, root)
+    typed = files.read_typed_csv(spark, [root], fact.schema)
+    publish_views(spark, {"activity_csv": typed})
+    return spark.sql(
+        "SELECT entity_key, trim(entity) AS entity, CAST(year AS INT) AS year, metric, "
+        "CAST(value AS DOUBLE) AS value, unit, CAST(yoy_change_pct AS DOUBLE) AS yoy_change_pct, "
+        "CAST(five_year_change_pct AS DOUBLE) AS five_year_change_pct FROM activity_csv")
+
+
+def q_materialized_summary(spark, sf_dir):
+    """Staging as a view, the summary as a table, read by name."""
+    publish_views(spark, {"stg_activity_view": q_stg_activity(spark, sf_dir)})
+    summary = models.summary(spark.table("stg_activity_view"), SPEC, decimal_scale=TOTAL_SCALE)
+    materialize_table(summary, "activity_metric_summary", scratch_path(spark, "summary-table"))
+    return spark.table("activity_metric_summary")
+
+
+def q_metrics_document(spark, sf_dir):
+    """K9: the metrics document written as JSON and read back."""
+    root = scratch_path(spark, "document")
+    document = q_snapshot_metrics(spark, sf_dir)
+    write_json_document(document, root)
+    return spark.read.schema(document.schema).json(root)
+
+
 def q_mart_head(spark, sf_dir):
     """First 20 mart rows with table formats."""
     return serving.mart_head(_mart(spark, sf_dir), SPEC, 20)
@@ -415,19 +514,40 @@ def q_humanize_volume(spark, sf_dir):
 # -- write paths: CSV round trip, lake run, incremental ingest -------------------
 
 def q_bronze_lineage(spark, sf_dir):
-    """Orders written as CSV files, discovered recursively, read
-    back under the header contract with lineage; typed columns are returned so
-    the round trip can be compared with the table itself."""
+    """Parts and orders land as CSV files in nested
+    folders, with quotes, commas and outer blanks in their texts, and are loaded as
+    one bronze table; a row's fingerprint covers its raw text."""
     root = scratch_path(spark, "csv")
-    orders = read_table(spark, sf_dir, "orders")
-    orders.write.option("header", True).csv(f"{root}/landing/orders")
-    paths = files.require_files(files.discover_files(spark, f"{root}/landing"), "orders")
-    raw = files.read_raw_csv(spark, paths, required=orders.columns, label="orders")
-    bronze = files.stamp_lineage(raw, orders.columns)
-    types = dict(orders.dtypes)
+    parts = read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("id"), F.lit("part").alias("metric"),
+        F.concat(F.lit('  "'), "p_name", F.lit('", '), "p_type", F.lit(" ")).alias("label"))
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("id"), F.lit("order").alias("metric"),
+        F.concat("o_orderstatus", F.lit(',"'), "o_orderpriority").alias("label"))
+    columns = parts.columns
+    write_csv(parts, f"{root}/part")
+    for status in ("F", "O"):
+        write_csv(orders.filter(F.col("label").startswith(status)), f"{root}/order/{status}/new")
+    write_csv(orders.filter(~F.substring("label", 1, 1).isin("F", "O")), f"{root}/order/rest")
+    bronze = files.load_bronze(spark, [
+        files.SnapshotSource("part", (f"{root}/part",), "part"),
+        files.SnapshotSource("order", (f"{root}/order",), "order"),
+    ], required=columns)
     return bronze.select(
-        *[casts.strict_cast(c, types[c], c).alias(c) for c in orders.columns]
-    )
+        "dataset", *columns, "record_hash", F.col("source_file").rlike(r"^part-.*\.csv$").alias("file_named"),
+        F.col("ingested_at_utc").isNotNull().alias("ingested"))
+
+
+def q_file_discovery(spark, sf_dir):
+    """The events' files, landed in a folder per type, found recursively;
+    every file's rows are counted under its folder."""
+    root = scratch_path(spark, "found")
+    events = read_table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    events.withColumn("type", F.col("event_type")).write.partitionBy("type").options(**files.CSV_OPTIONS).csv(f"{root}/deep/er")
+    paths = files.require_files(files.discover_files(spark, root), "events")
+    raw = files.read_raw_csv(spark, paths, required=events.columns, label="events")
+    return raw.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(F.col("event_id").cast("long")).alias("first_event"))
 
 
 def q_lake_run(spark, sf_dir):
@@ -438,6 +558,15 @@ def q_lake_run(spark, sf_dir):
     return export.drop("ingested_at_utc", "record_hash")
 
 
+def q_lake_counts(spark, sf_dir):
+    """A10: rows of both lake layers, observed while the layers were written; beside
+    them the rows that the export holds."""
+    result = medallion.lake_run(spark, sf_dir, scratch_path(spark, "lake"))
+    return spark.read.parquet(result["export"]).agg(F.count(F.lit(1)).alias("export_rows")).select(
+        F.lit(result["bronze_rows"]).cast("long").alias("bronze_rows"),
+        F.lit(result["silver_rows"]).cast("long").alias("silver_rows"), "export_rows")
+
+
 def q_incremental_ingest(spark, sf_dir):
     """Two availableNow runs on one checkpoint. Run 1 ingests all events;
     run 2 sees only the newly landed re-valued click events. The table is
@@ -505,6 +634,7 @@ QUERIES: dict[str, Query] = {
     "dq_gate_status": q_dq_gate_status,
     "dq_not_null_accepted": q_dq_not_null_accepted,
     "metric_domain": q_metric_domain,
+    "lake_silver_filter": q_lake_silver_filter,
     "merge_upsert": q_merge_upsert,
     "merge_schema_evolution": q_merge_schema_evolution,
     "topk_by_metric": q_topk_by_metric,
@@ -512,6 +642,11 @@ QUERIES: dict[str, Query] = {
     "momentum_extremes": q_momentum_extremes,
     "findings_extract": q_findings_extract,
     "momentum_ranking": q_momentum_ranking,
+    "dashboard_filters": q_dashboard_filters,
+    "ordered_outputs": q_ordered_outputs,
+    "csv_staging": q_csv_staging,
+    "materialized_summary": q_materialized_summary,
+    "metrics_document": q_metrics_document,
     "mart_head": q_mart_head,
     "dashboard_bars": q_dashboard_bars,
     "serving_topn": q_serving_topn,
@@ -520,7 +655,9 @@ QUERIES: dict[str, Query] = {
     "table_row_counts": q_table_row_counts,
     "humanize_volume": q_humanize_volume,
     "bronze_lineage": q_bronze_lineage,
+    "file_discovery": q_file_discovery,
     "lake_run": q_lake_run,
+    "lake_counts": q_lake_counts,
     "incremental_ingest": q_incremental_ingest,
     "run_manifest": q_run_manifest,
 }

@@ -170,7 +170,8 @@ def run_snapshot(
     write_csv(report, report_path)
     q.enforce_gate(report, report_path)
     silver = stage_table(standardize(bronze, name_col=spec.name_col, key_col=spec.key_col),
-                         "silver", f"{root}/lakehouse/silver", partition_by=["dataset"])
+                         "silver", f"{root}/lakehouse/silver", partition_by=["dataset"],
+                         sort_within=[spec.name_col, "year"])
     gold = build_gold(silver, spec)
     return write_outputs(spark, gold, report, f"{root}/warehouse", spec, names)
 

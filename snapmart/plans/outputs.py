@@ -17,15 +17,12 @@ so the upstream plan never runs twice.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.operators.marts import ACTIVITY_MART, MartSpec, mart_order
+from snapmart.operators.marts import ACTIVITY_MART, MartSpec, dimension_order, fact_order, mart_order
 from snapmart.plans import serving
 from snapmart.plans.medallion import GoldTables
-from snapmart.sources.files import discover_files
 from snapmart.sources.sinks import (
     stage_table,
     write_csv,
@@ -36,20 +33,6 @@ from snapmart.sources.sinks import (
 GOLD_NAMES = ("dim_entity", "fct_activity", "mart_entity_summary")
 
 
-def _folders(spark: SparkSession, directory: str) -> list[str]:
-    """Names of the output folders directly under ``directory`` (file index only)."""
-    def bare(path: str) -> str:  # drop the scheme: file:/x and file:///x are one folder
-        return re.sub(r"^[A-Za-z][\w+.-]*:", "", path).lstrip("/")
-
-    prefix = bare(directory).rstrip("/") + "/"
-    names = set()
-    for path in discover_files(spark, directory, "*"):
-        rest = bare(path)
-        if rest.startswith(prefix):
-            names.add(rest[len(prefix):].split("/", 1)[0])
-    return sorted(names)
-
-
 def write_outputs(
     spark: SparkSession,
     gold: GoldTables,
@@ -68,9 +51,8 @@ def write_outputs(
     }
     dim_name, fact_name, mart_name = names
     dim, fact, mart = (staged[n] for n in names)
-    write_csv(dim, f"{root}/gold/csv/{dim_name}", [F.col(spec.name_col).asc_nulls_last()])
-    write_csv(fact, f"{root}/gold/csv/{fact_name}",
-              [F.col("metric").asc_nulls_last(), F.col("value").desc_nulls_last()])
+    write_csv(dim, f"{root}/gold/csv/{dim_name}", dimension_order(spec))
+    write_csv(fact, f"{root}/gold/csv/{fact_name}", fact_order(spec))
     write_csv(mart, f"{root}/gold/csv/{mart_name}", mart_order(spec))
 
     report = stage_table(report, "report", f"{root}/results/data_quality_report.parquet")
@@ -86,11 +68,11 @@ def write_outputs(
 
     manifest = run_manifest(
         spark,
+        # the folders written above; nothing is listed
         {
-            "gold_tables": _folders(spark, f"{root}/gold/csv"),
-            "extract_tables": _folders(spark, f"{root}/extracts"),
-            "result_files": [n for n in _folders(spark, f"{root}/results")
-                             if not n.endswith(".parquet")],
+            "gold_tables": sorted(names),
+            "extract_tables": sorted(["data_quality_report", "fact_by_metric", mart_name]),
+            "result_files": ["data_quality_report", "summary_metrics", "top_by_metric"],
         },
         staged,
         report,

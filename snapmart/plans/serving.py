@@ -7,6 +7,8 @@ at most k rows per list; one-row documents come from a single aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from snapmart.functions.numeric import relative_width
 from snapmart.operators.aggregates import exact_sum
 from snapmart.operators.marts import MartSpec
 from snapmart.operators.quality import FAIL
-from snapmart.operators.ranking import top_k
+from snapmart.operators.ranking import top_k, with_position
 from snapmart.sources.sinks import publish_views
 
 
@@ -117,10 +119,47 @@ def findings(mart: DataFrame, spec: MartSpec, k: int = 3, decimal_scale: int | N
 
 
 def momentum_ranking(mart: DataFrame, spec: MartSpec) -> DataFrame:
-    """All entities with a combined rate, in ascending order at the sink."""
-    return mart.dropna(subset=[spec.combined_col]).select(
+    """All entities with a combined rate, with their position in ascending order."""
+    rated = mart.dropna(subset=[spec.combined_col]).select(
         spec.key_col, spec.name_col, spec.combined_col, spec.class_col
     )
+    order = [F.col(c).asc_nulls_last() for c in (spec.combined_col, spec.name_col, spec.key_col)]
+    return with_position(rated, order)
+
+
+#: Sign of change -> condition on the combined rate (P20).
+_CHANGES = {
+    "growth": lambda rate: rate > 0,
+    "decline": lambda rate: rate < 0,
+    "unchanged": lambda rate: rate == 0,
+    "unknown": lambda rate: rate.isNull(),
+}
+
+
+def dashboard_filter(
+    spec: MartSpec, entities: Sequence[str] = (), classes: Sequence[str] = (),
+    with_metrics: Sequence[str] = (), change: str | None = None,
+) -> Column:
+    """The dashboard's filters as one condition on the mart (P20).
+
+    Entity names, activity classes, metrics that must be present, and the sign of
+    the combined change (``growth``, ``decline``, ``unchanged`` or ``unknown``). An
+    empty filter lets every row pass; a null never meets a filter that is set.
+    """
+    unknown = set(with_metrics) - {m.metric for m in spec.metrics}
+    if unknown:
+        raise ValueError(f"the mart has no metric {sorted(unknown)}")
+    met = F.lit(True)
+    if entities:
+        met &= F.col(spec.name_col).isin(list(entities))
+    if classes:
+        met &= F.col(spec.class_col).isin(list(classes))
+    for m in spec.metrics:
+        if m.metric in with_metrics:
+            met &= F.col(m.value_column).isNotNull()
+    if change:
+        met &= _CHANGES[change](F.col(spec.combined_col))
+    return F.coalesce(met, F.lit(False))
 
 
 def mart_head(mart: DataFrame, spec: MartSpec, n: int = 20) -> DataFrame:
