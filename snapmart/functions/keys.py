@@ -67,4 +67,4 @@ def record_hash(columns: Iterable[str], null_text: str = RECORD_HASH_NULL_TEXT)
     parts = [
         F.coalesce(F.col(name).cast("string"), F.lit(null_text)) for name in sorted(columns)
     ]
-    return F.sha2(F.concat_ws(RECORD_HASH_SEPARATOR, *parts), 256)
+    return sha256_hex(F.concat_ws(RECORD_HASH_SEPARATOR, *parts))

@@ -144,8 +144,3 @@ def top_k(
         position_col,
         F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order_by)).cast("long"),
     )
-
-
-def sorted_for_sink(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:
-    """Total order for writing or display (O1-O4, O9); range-partitioned sort."""
-    return df.orderBy(*order_by)

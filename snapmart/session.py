@@ -9,11 +9,17 @@ other hosts.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+#: Scratch folders made and not yet removed.
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -98,10 +104,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder (without Spark's per-context uuid suffix)."""
+    """The context's checkpoint folder, with the uuid that Spark appends to the setting."""
     return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location."""
-    return f"{checkpoint_root(spark)}/snapmart-scratch/{label}-{uuid.uuid4().hex}"
+    """A fresh, unique folder under the shared checkpoint location.
+
+    It lasts until the :func:`scratch_run` around the call ends, or the driver does.
+    """
+    path = f"{checkpoint_root(spark)}/snapmart-scratch/{label}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(clear_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def clear_scratch(keep: int = 0) -> None:
+    """Delete all scratch folders but the ``keep`` oldest; frames that read them end with them."""
+    while len(_SCRATCH) > keep:
+        spark, path = _SCRATCH.pop()
+        try:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # noqa: BLE001 - the session may be stopped already
+            continue
+
+
+@contextmanager
+def scratch_run() -> Iterator[None]:
+    """Delete the scratch folders that were made inside when the block ends.
+
+    Read or write out what the queries returned before leaving it.
+    """
+    made = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        clear_scratch(made)

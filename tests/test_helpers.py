@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from snapmart.operators.aggregates import floor_max, global_extrema, rows_per_group
-from snapmart.operators.ranking import sorted_for_sink
 from snapmart.sources import files
 from snapmart.sources.sinks import materialize_table, publish_views
 
@@ -31,12 +29,6 @@ def test_rows_per_group_and_extrema(spark):
     assert floor_max(df.filter("v < 1"), "v").first().scale_max == 1.0
 
 
-def test_sorted_for_sink(spark):
-    df = spark.createDataFrame([(3.0,), (None,), (-1.0,)], "c double")
-    got = [r.c for r in sorted_for_sink(df, [F.col("c").asc_nulls_last()]).collect()]
-    assert got == [-1.0, 3.0, None]
-
-
 def test_check_single_value(spark):
     ok = spark.createDataFrame([("x",), (None,)], "metric string")
     files.check_single_value(ok, "metric", "x", "ok.csv")

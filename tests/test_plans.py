@@ -7,6 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_module
+from snapmart.plans import catalog
 from tests.conftest import SF_SMALL
 
 
@@ -20,7 +21,9 @@ def plans(spark):
     q = entry_module.queries()
     names = ["dedup_keep_last", "topk_by_metric", "mart_entity_summary", "entity_rankings",
              "metric_extract", "activity_long", "dq_report"]
-    return {n: _plan(q[n](spark, SF_SMALL)) for n in names}
+    found = {n: _plan(q[n](spark, SF_SMALL)) for n in names}
+    staged = catalog._fact(spark, SF_SMALL, staged=True)
+    return {**found, "staged_extract": _plan(staged.filter("metric = 'billed'"))}
 
 
 def test_dedupe_combines_before_the_shuffle(plans):
@@ -65,7 +68,7 @@ def test_rank_never_deals_rows_out_by_value(spark):
 
 
 def test_staged_silver_is_pruned(plans):
-    p = plans["metric_extract"]
+    p = plans["staged_extract"]
     assert re.search(r"PartitionFilters: \[.*metric.*= billed", p)
     assert "ReadSchema: struct<" in p
 
@@ -77,6 +80,15 @@ def test_scans_push_filters_and_prune_columns(plans):
                      p)
 
 
+@pytest.mark.parametrize("name", ["silver_activity", "stg_activity", "fact_activity", "metric_summary", "metric_extract"])
+def test_single_reader_queries_build_without_writing(spark, name):
+    from snapmart import session
+
+    before = len(session._SCRATCH)
+    entry_module.queries()[name](spark, SF_SMALL)
+    assert len(session._SCRATCH) == before
+
+
 def test_no_python_in_any_plan(plans):
     for name, p in plans.items():
         assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEval" not in p, name

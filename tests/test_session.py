@@ -50,3 +50,18 @@ def test_cluster_setting_is_used():
 def test_local_without_setting_gets_a_temp_folder():
     path = ensure_checkpoint_dir(_Session("local[2]"))
     assert path and "snapmart-ckpt-" in path
+
+
+def test_scratch_run_leaves_no_folder(spark):
+    import glob
+
+    import __spark_entry__ as entry_module
+    from snapmart.session import checkpoint_root, scratch_run
+    from tests.conftest import SF_SMALL
+
+    root = checkpoint_root(spark).removeprefix("file:") + "/snapmart-scratch/*"
+    before = set(glob.glob(root))
+    with scratch_run():
+        assert entry_module.queries()["momentum_ranking"](spark, SF_SMALL).count() > 0
+        assert set(glob.glob(root)) - before
+    assert set(glob.glob(root)) <= before
