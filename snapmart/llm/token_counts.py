@@ -26,8 +26,12 @@ from snapmart.llm.common import map_texts
 
 #: A trie beyond so many nodes is dropped and begun anew; bounds a worker's memory.
 MAX_NODES = 1_500_000
+#: Counts are kept from slice to slice up to so many bytes of pre-tokens and their entries.
+MAX_KEPT = 100_000_000
 #: Longer pre-tokens are scored beside the trie: their prefixes are hardly shared.
 MAX_SHARED = 64
+#: Bytes that a kept count takes beside its pre-token, about.
+_ENTRY = 150
 
 
 def zipf_scores(path: str) -> dict[bytes, float]:
@@ -48,24 +52,33 @@ class PrefixTrie:
     Among equally good segmentations the one with the longest last piece counts.
     """
 
-    def __init__(self, scores: dict[bytes, float], max_nodes: int = MAX_NODES) -> None:
-        self._scores, self._max_nodes = scores, max_nodes
+    def __init__(self, scores: dict[bytes, float], max_nodes: int = MAX_NODES, max_kept: int = MAX_KEPT) -> None:
+        self._scores, self._max_nodes, self._max_kept = scores, max_nodes, max_kept
         self._longest = max(map(len, scores))
-        self._terminal: dict[str, int] = {"": 0}
+        self._terminal: dict[str, int] = {}
+        self._kept = 0
         self._reset()
 
     def _reset(self) -> None:
         self._next: dict[int, int] = {}
         self._best, self._pieces = [0.0], [0]
 
-    def insert(self, words: Iterable[str]) -> None:
-        """Add distinct pre-tokens; sorted, so that neighbours share their path."""
-        for word in sorted(words):
+    def insert(self, words: Iterable[str]) -> dict[str, int]:
+        """Piece count of each of ``words``; new ones are added in order, so that neighbours share their path.
+
+        Nodes and kept counts may be dropped between two words, never a count that is returned.
+        """
+        words = set(words)
+        counts = {word: self._terminal[word] for word in words if word in self._terminal}
+        for word in sorted(words - counts.keys()):
             if len(self._best) > self._max_nodes:
                 self._reset()
-                self._terminal = {"": 0}
+            if self._kept > self._max_kept:
+                self._terminal, self._kept = {}, 0
             raw = word.encode("utf-8", "surrogatepass")
-            self._terminal[word] = self._walk(raw) if len(raw) <= MAX_SHARED else self._alone(raw)
+            counts[word] = self._terminal[word] = self._walk(raw) if len(raw) <= MAX_SHARED else self._alone(raw)
+            self._kept += len(raw) + _ENTRY
+        return counts
 
     def _walk(self, raw: bytes) -> int:
         node, path = 0, [0]
@@ -102,11 +115,9 @@ class PrefixTrie:
         return pieces[-1]
 
     def counts(self, words: list[str]) -> int:
-        """Sum of the stored counts; all of ``words`` must have been inserted."""
-        return sum(map(self._terminal.__getitem__, words))
-
-    def missing(self, words: set[str]) -> set[str]:
-        return words - self._terminal.keys()
+        """Sum of the counts of ``words``, repeated ones each."""
+        known = self.insert(words)
+        return sum(map(known.__getitem__, words))
 
     @property
     def nodes(self) -> int:
@@ -121,13 +132,9 @@ def _trie(path: str) -> PrefixTrie:
 def _kernel(texts: list[str], path: str, pattern: str) -> dict[str, list[int]]:
     trie, cut = _trie(path), regex.compile(pattern)
     split = [cut.findall(text) for text in texts]
-    fresh = trie.missing(set().union(*map(set, split)))
-    if fresh:
-        trie.insert(fresh)
-        if lost := trie.missing(set().union(*map(set, split))):  # the trie was begun anew meanwhile
-            trie.insert(lost)
+    known = trie.insert(set().union(*map(set, split)))
     return {
-        "n_tokens": [trie.counts(words) for words in split],
+        "n_tokens": [sum(map(known.__getitem__, words)) for words in split],
         "n_pretokens": [len(words) for words in split],
     }
 
@@ -141,7 +148,8 @@ def count_tokens(
     the regular expression of its pre-tokens. A null or empty text has counts of
     0; repeated rows and ids each keep their row; other columns are ignored, so
     their names cannot clash. Nothing is shuffled: a task holds one batch of texts
-    and a trie of at most MAX_NODES nodes.
+    with the counts of its pre-tokens, a trie of about MAX_NODES nodes and MAX_KEPT
+    bytes of counts; whatever they drop is worked out again when it is met again.
     """
     rows = docs.select(F.col(id_col), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"), F.col(text_col).alias("text"))
     counted = map_texts(rows, functools.partial(_kernel, path=vocabulary, pattern=pattern), "n_tokens long, n_pretokens long")

@@ -61,6 +61,19 @@ def test_a_full_trie_begins_anew():
         assert trie.counts([word]) == best_segmentation(word)
 
 
+def test_one_slice_may_fill_the_trie_many_times(monkeypatch):
+    words = {f"{a}{b}{c}" for a in ("alpha", "日本", "x" * 70) for b in ("beta", "ภาษา") for c in "abcdefgh"}
+    for kept in (0, 1000, token_counts.MAX_KEPT):
+        trie = token_counts.PrefixTrie(SCORES, max_nodes=5, max_kept=kept)
+        assert trie.insert(words) == {w: best_segmentation(w) for w in words}
+        assert trie.counts([*words, *words]) == 2 * sum(map(best_segmentation, words))
+        assert trie.nodes <= 6 + token_counts.MAX_SHARED
+    monkeypatch.setattr(token_counts, "_trie", lambda path: token_counts.PrefixTrie(SCORES, max_nodes=5, max_kept=0))
+    texts = [" ".join(sorted(words)), "日本語" * 40 + " alpha beta", ""]
+    got = token_counts._kernel(texts, PATH, public_tokenizers.PATTERN)
+    assert list(zip(got["n_tokens"], got["n_pretokens"])) == [expected(t)[:2] for t in texts]
+
+
 def test_matches_the_unigram_model_of_a_library():
     """The best total score, found by another implementation over single characters."""
     from tokenizers import Tokenizer
