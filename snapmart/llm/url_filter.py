@@ -21,9 +21,8 @@ from pyspark.sql.window import Window
 KINDS = ("domain", "host", "prefix", "url")
 #: Of entries for one pattern on one day the first of these counts.
 ACTIONS = ("block", "allow", "remove")
-#: Days in a period, directories looked up, and copies of the list that a hot host is dealt over.
+#: Days in a period, and copies of the list that a hot host is dealt over.
 PERIOD_DAYS = 32
-MAX_DIRS = 3
 SALTS = 8
 
 _AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]*)"
@@ -50,23 +49,30 @@ def domains_of(host: Column) -> Column:
     )).otherwise(F.array().cast("array<string>"))
 
 
-def prefixes_of(url: Column) -> Column:
-    """host/dir/, host/dir/dir/ and so on, for the first MAX_DIRS directories of the path."""
+def prefixes_of(url: Column, deepest: int | None = None) -> Column:
+    """host/dir/, host/dir/dir/ and so on, for every directory of the path, or for those down to ``deepest``."""
     dirs = F.filter(F.split(F.regexp_extract(F.regexp_extract(url, _PATH, 1), r"^(.*)/", 1), "/"), lambda d: d != "")
-    return F.when(F.size(dirs) >= 1, F.transform(
-        F.sequence(F.lit(1), F.least(F.size(dirs), F.lit(MAX_DIRS))),
+    depth = F.size(dirs) if deepest is None else F.least(F.size(dirs), F.lit(deepest))
+    return F.when(depth >= 1, F.transform(
+        F.sequence(F.lit(1), depth),
         lambda i: F.concat(host_of(url), F.lit("/"), F.array_join(F.slice(dirs, 1, i), "/"), F.lit("/")),
     )).otherwise(F.array().cast("array<string>"))
 
 
-def _patterns(url: Column) -> Column:
-    """array<struct<kind, pattern>> of everything a list could name a capture by."""
+def _deepest(entries: DataFrame) -> int:
+    """Directories of the deepest prefix listed, so that no capture is looked up further down than that."""
+    slashes = F.length("pattern") - F.length(F.replace(F.col("pattern"), F.lit("/"), F.lit("")))
+    return max(0, (entries.where(F.col("kind") == "prefix").agg(F.max(slashes)).first()[0] or 0) - 1)
+
+
+def _patterns(url: Column, deepest: int) -> Column:
+    """array<struct<kind, pattern>> of everything a list could name a capture by, its prefixes down to ``deepest``."""
     def named(kind: str, values: Column) -> Column:
         return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("pattern")))
 
     host = host_of(url)
     return F.when(host != "", F.concat(
-        named("url", F.array(url_key(url))), named("prefix", prefixes_of(url)),
+        named("url", F.array(url_key(url))), named("prefix", prefixes_of(url, deepest)),
         named("host", F.array(host)), named("domain", domains_of(host)),
     )).otherwise(F.array().cast("array<struct<kind:string,pattern:string>>"))
 
@@ -113,7 +119,8 @@ def judge(
 
     A null URL, one without host, and a null time match nothing. Repeated rows
     keep a row each. Other columns of either table are ignored. An empty list
-    blocks nothing.
+    blocks nothing. Directories are looked up as far down as the list goes, which
+    takes one small job at once, as does the last day.
     """
     rows = captures.select(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.to_date(F.col(time_col)).alias("fetched_on"))
@@ -128,7 +135,7 @@ def judge(
     )
     named = distinct.select(
         "id", "url", "fetched_on", _period(F.col("fetched_on")).alias("period"),
-        F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int").alias("salt"), F.explode(_patterns(F.col("url"))).alias("p"),
+        F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int").alias("salt"), F.explode(_patterns(F.col("url"), _deepest(entries))).alias("p"),
     ).select("id", "url", "fetched_on", "period", "salt", "p.kind", "p.pattern")
     met = named.join(in_force, ["kind", "pattern", "period", "salt"]).where(
         (F.col("fetched_on") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("fetched_on") < F.col("valid_to"))))

@@ -41,6 +41,19 @@ def test_the_narrowest_pattern_decides(spark):
         (4, False, "url", "w.b.org/p/q?z=1"), (5, True, "domain", "b.org"), (6, False, "domain", "x.b.org"), (7, False, None, None)]
 
 
+def test_prefixes_of_any_depth(spark):
+    entries = [
+        ("prefix", "d.org/1/", "allow", day(0)), ("prefix", "d.org/1/2/3/4/", "block", day(0)),
+        ("prefix", "d.org/1/2/3/4/5/", "allow", day(0)), ("prefix", "d.org/" + "x/" * 40, "block", day(0))]
+    captures = [
+        (1, "http://d.org/1/2/3/p", 1), (2, "http://d.org/1/2/3/4/p", 1), (3, "http://d.org/1/2/3/4/6/7/p", 1),
+        (4, "http://d.org/1/2/3/4/5/6/p", 1), (5, "http://d.org/" + "x/" * 60, 1), (6, "http://d.org/" + "x/" * 39, 1)]
+    assert judge(spark, captures, entries) == [
+        (1, False, "prefix", "d.org/1/"), (2, True, "prefix", "d.org/1/2/3/4/"), (3, True, "prefix", "d.org/1/2/3/4/"),
+        (4, False, "prefix", "d.org/1/2/3/4/5/"), (5, True, "prefix", "d.org/" + "x/" * 40), (6, False, None, None)]
+    assert judge(spark, [(1, "http://d.org/" + "y/" * 20_000, 1)], entries) == [(1, False, None, None)]
+
+
 def test_nulls_ties_and_repeated_rows(spark):
     entries = [
         ("host", "a.org", "allow", day(1)), ("host", "a.org", "block", day(1)), ("host", "a.org", "block", day(1)),
