@@ -1,8 +1,8 @@
 """Secret scanning: patterns, and a randomness test battery for unlabelled keys.
 
 Patterns find assignments, access keys and long hexadecimal runs. Beside them,
-every long run of key characters that mixes letters and digits is a candidate:
-its encoding is inferred from its characters, and three tests ask whether it
+every long run of key characters is a candidate, and so is each long part that the
+patterns' spans leave of one: its encoding is inferred from its characters, and three tests ask whether it
 could be a uniform random string of that encoding: chi-squared uniformity over
 the alphabet, the number of runs above and below the middle of the alphabet, and
 the correlation of neighbouring symbols. Fisher's method joins the three.
@@ -48,6 +48,11 @@ _GATES = {"hex": "[0-9a-f]{24}", "access": "AKIA[A-Z0-9]{16}"}
 
 #: Alphabets by encoding, in the order in which they are tried; fixed values.
 ALPHABETS = {
+    "decimal": "0123456789",
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "letters64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_",
     "hex": "0123456789abcdef",
     "hexupper": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -58,8 +63,8 @@ ALPHABETS = {
 }
 #: Lower ends of the length classes of candidates.
 LENGTHS = (20, 24, 32, 40, 64, 128)
-#: Runs of key characters with a letter and a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Z+/_a-z-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}+"
+#: Runs of key characters.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 #: p-values are counted in cells of this width, rounded up.
 GRID = 1e-4
 #: The deviate of a string whose symbols don't vary.
@@ -183,19 +188,60 @@ def _length_class(body: Column) -> Column:
     return out
 
 
-def _candidates(text: Column) -> Column:
-    """array<struct<start, stop, kind, stratum, p>> of the candidate runs of a text."""
+def _only_signs(body: Column) -> Column:
+    """Dates, numbers and rules are no part of the strata of strings with letters."""
+    return F.when(~body.rlike("[A-Za-z]") & body.rlike("[+/_-]"), "signs")
+
+
+def _touches(c: Column) -> Callable[[Column], Column]:
+    return lambda s: (s["start"] < c["stop"]) & (c["start"] < s["stop"])
+
+
+def _parts(run: Column, base: Column) -> Column:
+    """array<struct<start, stop, kind, body>> of what the spans of ``base``, in order, leave of a run, if long enough."""
+    def cut(at: Column, stop: Column) -> Column:
+        return F.struct(
+            at.alias("start"), stop.alias("stop"), run["kind"].alias("kind"),
+            F.substring(run["body"], (at - run["start"] + 1).cast("int"), (stop - at).cast("int")).alias("body"))
+
+    def add(acc: Column, stop: Column) -> Column:
+        return F.when(stop - acc["at"] >= LENGTHS[0], F.concat(acc["found"], F.array(cut(acc["at"], stop)))).otherwise(acc["found"])
+
+    begin = F.struct(run["start"].alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
+    return F.aggregate(
+        F.filter(base, _touches(run)), begin,
+        lambda acc, s: F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), add(acc, s["start"]).alias("found")),
+        lambda acc: add(acc, run["stop"]))
+
+
+def _candidates(text: Column, base: Column) -> Column:
+    """array<struct<start, stop, kind, stratum, p>> of a text's candidate runs, and of the parts that ``base`` leaves of them."""
     def tested(c: Column) -> Column:
         return _let(battery(c["body"]), lambda t: F.struct(
             c["start"].alias("start"), c["stop"].alias("stop"), t["encoding"].alias("kind"),
-            F.concat_ws("/", t["encoding"], _length_class(c["body"]).cast("string")).alias("stratum"),
+            F.concat_ws("/", t["encoding"], _length_class(c["body"]).cast("string"), _only_signs(c["body"])).alias("stratum"),
             t["p"].alias("p"),
         ))
 
-    return F.transform(_spans(text, Pattern("candidate", CANDIDATE, 0, LENGTHS[0])), tested)
+    def with_parts(runs: Column) -> Column:
+        joined = F.filter(runs, lambda c: F.exists(base, _touches(c)))
+        parts = F.flatten(F.transform(joined, lambda c: _let(F.array_sort(base), lambda spans: _parts(c, spans))))
+        return F.concat(runs, parts)
 
+    return F.transform(_let(_spans(text, Pattern("candidate", CANDIDATE, 0, LENGTHS[0])), with_parts), tested)
 
-def thresholds(docs: DataFrame, fdr: float, text_col: str = "text") -> dict[str, float]:
+
+def _base(text: Column, kinds: Sequence[Pattern]) -> Column:
+    """array<struct<start, stop, kind>> of the patterns' spans."""
+    return F.transform(
+        F.concat(*[_spans(text, p) for p in kinds]),
+        lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")),
+    )
+
+
+def thresholds(
+    docs: DataFrame, fdr: float, text_col: str = "text", kinds: Sequence[Pattern] = PATTERNS,
+) -> dict[str, float]:
     """Largest p-value put aside as text, for each encoding and length class that has one.
 
     Benjamini-Hochberg over the counts of p-values on a fixed grid: the counts
@@ -205,7 +251,9 @@ def thresholds(docs: DataFrame, fdr: float, text_col: str = "text") -> dict[str,
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     cells = (
-        docs.select(text.alias("text")).select(F.explode(_candidates(F.col("text"))).alias("c"))
+        docs.select(text.alias("text")).where(F.col("text").rlike(CANDIDATE))
+        .select("text", _base(F.col("text"), kinds).alias("base"))
+        .select(F.explode(_candidates(F.col("text"), F.col("base"))).alias("c"))
         .groupBy(F.col("c.stratum").alias("stratum"), F.ceil(F.col("c.p") / GRID).alias("cell"))
         .agg(F.count("*").alias("n"))
     )
@@ -227,29 +275,25 @@ def scan(
     """``docs`` with ``out_col``: array<struct<start, stop, kind>>, by start and then kind.
 
     Places are code points, ``stop`` exclusive. Kinds are those of the patterns,
-    and ``random-<encoding>`` for a random string that no pattern's span touches. An
-    existing column named ``out_col`` is replaced; all other columns stay. A null or
+    and ``random-<encoding>`` for a random string that no pattern's span touches; what
+    such spans leave of a longer run is tested by itself. An existing column named ``out_col`` is replaced; all other columns stay. A null or
     empty text has an empty array, an empty table gives an empty one, and
     repeated rows are scanned each. Runs the threshold job at once.
     """
-    cut = thresholds(docs, fdr, text_col)
+    cut = thresholds(docs, fdr, text_col, kinds)
     text = F.coalesce(F.col(text_col), F.lit(""))
     order = {p.kind: i for i, p in enumerate(kinds)}
-    listed = F.transform(
-        F.concat(*[_spans(text, p) for p in kinds]),
-        lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")),
-    )
     limit = F.create_map(*[F.lit(x) for pair in cut.items() for x in pair]) if cut else None
 
     def random(base: Column) -> Column:
         def keep(c: Column) -> Column:
-            free = ~F.exists(base, lambda s: (s["start"] < c["stop"]) & (c["start"] < s["stop"]))
+            free = ~F.exists(base, _touches(c))
             if limit is None:
                 return free
             # compared by cell, as it was counted
             return free & (F.ceil(c["p"] / GRID) * GRID > F.coalesce(F.try_element_at(limit, c["stratum"]), F.lit(-1.0)))
 
-        return F.transform(F.filter(_candidates(text), keep), lambda c: F.struct(
+        return F.transform(F.filter(_candidates(text, base), keep), lambda c: F.struct(
             c["start"].alias("start"), c["stop"].alias("stop"), F.concat(F.lit("random-"), c["kind"]).alias("kind")))
 
     rank = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
@@ -258,7 +302,7 @@ def scan(
         ra, rb = (F.coalesce(F.try_element_at(rank, x["kind"]), F.lit(len(order))) for x in (a, b))
         return F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(ra - rb)
 
-    with_base = docs.withColumn("__base", listed)
+    with_base = docs.withColumn("__base", _base(text, kinds))
     more = with_base.withColumn("__more", random(F.col("__base")))
     return more.withColumn(out_col, F.array_sort(F.concat("__base", "__more"), by_place)).drop("__base", "__more")
 

@@ -72,6 +72,34 @@ def test_random_strings_are_found_and_text_is_put_aside(spark):
     assert sum(found[:60]) >= 55 and sum(found[60:]) <= 3
 
 
+def test_keys_of_one_character_class_are_found(spark):
+    draw = random.Random(11)
+    alphabets = {
+        "letters": string.ascii_letters, "lower": string.ascii_lowercase, "upper": string.ascii_uppercase, "decimal": string.digits,
+        "letters64": string.ascii_letters + "+/"}
+    size = {kind: 22 if kind == "decimal" else 40 for kind in alphabets}  # longer numbers are of the pattern hex
+    keys = [(kind, "".join(draw.choice(alphabets[kind]) for _ in range(size[kind]))) for kind in alphabets for _ in range(40)]
+    ruled = ["-" * 40, "=" * 10 + "_" * 60, "2024-01-02/2024-03-04/2024-05-06", "a-plain-line-of-words-joined-by-hyphens-and-no-key"]
+    rows = spans(spark, [key for _, key in keys] + ruled)
+    for kind in alphabets:
+        whole = [any(s[0].startswith("random-") and s[1:] == (0, size[kind]) for s in row) for (k, _), row in zip(keys, rows) if k == kind]
+        assert sum(whole) >= 36, kind
+    assert rows[len(keys) :] == [[]] * 4
+
+
+def test_what_a_pattern_leaves_of_a_run_is_tested(spark):
+    draw = random.Random(12)
+    key = lambda n: "".join(draw.choice(string.ascii_letters + string.digits) for _ in range(n))
+    access = ["AKIA" + "".join(draw.choice(string.ascii_uppercase + string.digits) for _ in range(16)) for _ in range(40)]
+    rows = spans(spark, [f"é {key(30)}/{a}/{key(40)} {a}-short" for a in access])
+    for row in rows:
+        assert [s for s in row if s[0] == "access"] == [("access", 33, 53), ("access", 95, 115)]
+        assert all(s[1:] in ((2, 33), (53, 94)) for s in row if s[0] != "access")
+    assert sum(len(row) == 4 for row in rows) >= 34
+    masked = secret_scan.redact(secret_scan.scan(documents(spark, [(1, f"x {access[0]}/{key(40)} y")]))).first()["text"]
+    assert masked == "x [secret][secret] y"
+
+
 def test_threshold_is_the_step_up_rule(spark):
     draw = random.Random(9)
     bodies = ["".join(draw.choice("abcdef0123456789" if i % 2 else "a0a0a0ab") for _ in range(30)) + "a1" for i in range(80)]
