@@ -6,6 +6,9 @@ exact piece hit. Hits are found for all pieces at once by an Aho-Corasick machin
 each hit says where the item would begin, and Myers' bit-parallel algorithm gives
 the edit distance of the best match around that place.
 
+Short items have no budget; they are found where they stand as whole words, so that
+"art" is not found in "start". Scripts that write words without blanks have no such bounds.
+
 Texts are compared in lower case with runs of blanks as one space.
 """
 
@@ -17,6 +20,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
+import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +30,15 @@ from snapmart.llm.common import text_slices
 
 #: Pieces have at least so many characters; the error budget of an item follows from it.
 PIECE_CHARS = 16
-#: Items with fewer characters are too common to be told from ordinary text.
-MIN_ITEM_CHARS = 32
+#: Items with fewer characters, and no budget, must stand as whole words.
+WHOLE_WORD_CHARS = 32
 #: Items compiled into one machine, and sent to the executors at once.
 BLOCK_ITEMS = 20_000
 
 _WORD = re.compile(r"\S+")
+#: A character of a word, in scripts that put blanks between words.
+_LETTER = regex.compile(
+    r"(?V1)[[\p{L}\p{M}\p{N}_]--[\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Yi}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}ー]]")
 
 
 def _lower(text: str) -> str:
@@ -67,6 +74,12 @@ def pieces(item: str, budget: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def stands_alone(text: str, start: int, stop: int) -> bool:
+    """Whether neither end of text[start:stop] is within a word."""
+    return not any(
+        0 < at < len(text) and _LETTER.match(text[at - 1]) and _LETTER.match(text[at]) for at in (start, stop))
+
+
 def best_match(pattern: str, text: str) -> tuple[int, int]:
     """(distance, end) of the substring of ``text`` closest to ``pattern``; the first such end.
 
@@ -102,6 +115,7 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], piece_chars: int = PIECE_CHARS) -> None:
         self._items = dict(items)
         self._budget = {key: error_budget(len(text), piece_chars) for key, text in items}
+        self._whole = {key for key, text in items if not self._budget[key] and len(text) < WHOLE_WORD_CHARS}
         where: dict[str, list[tuple[int, int]]] = {}
         for key, text in items:
             for place, piece in pieces(text, self._budget[key]):
@@ -118,10 +132,13 @@ class Matcher:
         if self._empty:
             return {}
         begins: dict[int, list[int]] = {}
+        found: dict[int, tuple[int, int, int]] = {}
         for last, (size, uses) in self._machine.iter(text):
             for key, place in uses:
-                begins.setdefault(key, []).append(last + 1 - size - place)
-        found = {}
+                if key not in self._whole:
+                    begins.setdefault(key, []).append(last + 1 - size - place)
+                elif key not in found and stands_alone(text, last + 1 - size, last + 1):
+                    found[key] = 0, last + 1 - size, last + 1
         for key, starts in begins.items():
             if copy := self._closest(key, sorted(set(starts)), text):
                 found[key] = copy
@@ -165,7 +182,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list
     block: list[tuple[object, str]] = []
     for key, text in benchmark.select(item_col, text_col).toLocalIterator():
         text = normalise(text or "")
-        if len(text) >= MIN_ITEM_CHARS:
+        if text:
             block.append((key, text))
         if len(block) == BLOCK_ITEMS:
             yield block
@@ -190,8 +207,8 @@ def find_copies(
     whose machines go to the executors, one pass over ``docs`` each. Nothing is
     shuffled, and one task holds one batch of texts.
 
-    Null and empty texts hold no copies. Null, empty and short items
-    (under MIN_ITEM_CHARS characters) are not searched for. Repeated rows are
+    Null and empty texts hold no copies. Null and empty items are not searched for;
+    an item of one common word is found in every text with that word. Repeated rows are
     searched each; a repeated item, under the same or another id, is found under each
     id once. Extra columns of either table are ignored.
     """

@@ -58,6 +58,17 @@ def test_places_are_those_of_the_text_as_given(spark):
     assert got == {(1, i, 0, 9, 9 + len(ITEM)) for i in (5, 6)} | {(3, i, 0, 0, wide) for i in (5, 6)}
 
 
+def test_short_items_are_found_as_whole_words(spark):
+    question = "北京是哪个国家的首都以及最大的城市"
+    texts = [
+        "Q: what is\n the CAPITAL of Peru?", "the state of the art", "start of a cartel", f"请问{question}呢", "part art-house", "clean", None]
+    docs = documents(spark, list(enumerate(texts)), extra=True)
+    bench = items(spark, [(1, "What is the capital of Peru?"), (2, "art"), (3, question), (4, " "), (5, "art"), (6, "x" * 31)])
+    got = {(r["doc_id"], r["item_id"], r["distance"], r["start"], r["stop"]) for r in decontaminate.find_copies(docs, bench).collect()}
+    assert got == {(0, 1, 0, 3, 32), (3, 3, 0, 2, 2 + len(question))} | {(d, i, 0, at, at + 3) for d, at in ((1, 17), (4, 5)) for i in (2, 5)}
+    assert {r["doc_id"] for r in decontaminate.drop_copies(docs, bench).collect()} == {2, 5, 6}
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     docs = documents(spark, [(1, ITEM + ITEM[::-1])])
     bench = items(spark, [(1, ITEM), (2, ITEM[::-1])])
