@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.llm import (
-    decontaminate, divergence_rules, line_crf, packing, reply_trees, secret_scan, simhash, token_counts, toxicity, url_filter,
+    binary_records, centroid_clusters, decontaminate, divergence_rules, line_crf, packing, reply_trees, secret_scan, simhash,
+    spelling, token_counts, toxicity, url_filter,
 )
 
 #: File names of the public vocabularies.
-COUNT_VOCABULARY, PACK_TOKENIZER = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
+COUNT_VOCABULARY, PACK_TOKENIZER, RECORD_TOKENIZER = "byte_bpe_50k.tiktoken", "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -167,10 +168,33 @@ def _read_back(formatted: pd.Series, loss_spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256"])
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding after five rounds from 40 of them, with the distances' sums."""
+    placed = centroid_clusters.cluster(_table(spark, sf_dir, "embeddings"))
+    return placed.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256).alias("centroid_sha256"))
+
+
+def op12_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as binary records in order of doc_id and read back."""
+    import public_tokenizers
+
+    files = binary_records.write_records(_table(spark, sf_dir, "documents"), public_tokenizers.path(RECORD_TOKENIZER))
+    return binary_records.read_records(files).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents, each with its near words, its form and its root."""
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_packing, op3_secret_scan, op4_decontamination, op5_divergence_rules, op6_line_crf,
-        op7_url_filter, op8_toxicity, op9_simhash, op10_reply_trees)
+        op7_url_filter, op8_toxicity, op9_simhash, op10_reply_trees, op11_centroid_clusters, op12_binary_records,
+        op13_spelling_variants)
 }
 
 _HOST = "lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]*)', 1))"
@@ -188,7 +212,37 @@ def _dated(kind: str, patterns: str, entries: int) -> str:
     FROM (SELECT DISTINCT pattern FROM ({patterns})), (SELECT unnest(range(1, {entries} + 1)) AS entry)"""
 
 
+def _clusters(k: int = 40, rounds: int = 5, size: int = 64, seed: int = 2) -> str:
+    """The rounds as one common table expression after the other: vectors and centroids as rows of (number, place, component)."""
+    parts = [f"""
+kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+vectors AS (SELECT vec_id, unnest(range({size})) AS place, unnest(v) AS x FROM kept),
+c0 AS (
+  SELECT nth AS cluster, unnest(range({size})) AS place, unnest(v) AS x
+  FROM (SELECT v, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS nth FROM kept) WHERE nth < {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS (
+  SELECT vec_id, cluster, distance FROM (
+    SELECT vec_id, cluster, distance, row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) AS nth FROM (
+      SELECT vec_id, cluster, sum((v.x - c.x) * (v.x - c.x)) AS distance FROM vectors v JOIN c{i} c USING (place) GROUP BY vec_id, cluster))
+  WHERE nth = 1)""")
+        if i < rounds:
+            parts.append(f"""
+m{i} AS (SELECT cluster, place, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM a{i} JOIN vectors USING (vec_id) GROUP BY cluster, place),
+c{i + 1} AS (
+  SELECT cluster, place, coalesce((s - ((s % n) + n) % n) // n, x) AS x FROM c{i} LEFT JOIN m{i} USING (cluster, place))""")
+    return "WITH " + ",".join(parts) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY place)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+  USING (cluster)"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_centroid_clusters": _clusters(),
     "op7_url_filter": f"""
 WITH entries AS ({" UNION ALL ".join((
         _dated("domain", f"SELECT array_to_string((string_split({_HOST}, '.'))[-2:], '.') AS pattern FROM pages WHERE {_HOST} LIKE '%.%'", 2),
