@@ -32,12 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import map_texts, stage
+from snapmart.llm.common import stage, text_slices
 from snapmart.session import scratch_path
 
 #: A data file is closed when it holds so many bytes (one longer record has a file of its own).
 FILE_BYTES = 32 << 20
-#: Token bytes of one task of the range sort.
+#: Text bytes of one task of the range sort.
 RANGE_BYTES = 64 << 20
 #: Entries of a worker's memory of pieces of text, and the longest piece it keeps.
 MAX_KNOWN, MAX_PIECE = 400_000, 64
@@ -53,37 +53,57 @@ FRAME_BYTES = _LENGTH.size + 2 * _CHECK.size
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: A word with the blanks before it.
 _PIECE = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+#: Texts of these characters alone are cut into pre-tokens here: their classes are beyond doubt.
+_PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ſ]*")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
+_PRE_TOKEN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
 
 
 class ByteTokenizer:
     """Token ids of whole texts by a byte-level tokenizer file, as little-endian bytes.
 
-    The tokenizer never joins a character with a blank after it, so a text falls into
-    words with the blanks before them, whose ids don't depend on their neighbours and are remembered.
-    Texts with other blanks than ASCII's go through the tokenizer whole.
+    Most texts are plain: they are cut into the tokenizer's pre-tokens, and the library's merges are
+    worked out once for each pre-token that is remembered. In other texts the tokenizer never joins a character with a
+    blank after it, so they fall into words with the blanks before them, each encoded by the library as it is.
+    Texts with other blanks than ASCII's go through the library whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self._all = Tokenizer.from_file(path)
+        self._model = self._all.model
+        # byte-level vocabularies write a byte that is no visible character as one from 256 on
+        hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+        self._visible = {b: 256 + i for i, b in enumerate(hidden)}
+        self._special = re.compile("|".join(re.escape(t.content) for t in self._all.get_added_tokens_decoder().values()) or "(?!)")
         self.width = 2 if self._all.get_vocab_size() <= 1 << 16 else 4
         self._known: dict[str, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=f"<u{self.width}").tobytes()
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
-    def _piece(self, piece: str) -> bytes:
-        got = self.pack(self._all.encode(piece, add_special_tokens=False).ids)
-        if len(self._known) < MAX_KNOWN and len(piece) <= MAX_PIECE:
-            self._known[piece] = got
+    def _keep(self, memory: dict[str, bytes], part: str, got: bytes) -> bytes:
+        if len(memory) < MAX_KNOWN and len(part) <= MAX_PIECE:
+            memory[part] = got
         return got
 
+    def _pre_token(self, part: str) -> bytes:
+        mapped = part.encode().decode("latin-1").translate(self._visible)
+        return self._keep(self._known, part, self.pack([t.id for t in self._model.tokenize(mapped)]))
+
+    def _whole(self, text: str) -> bytes:
+        return self.pack(self._all.encode(text, add_special_tokens=False).ids)
+
     def ids(self, text: str) -> bytes:
         if _ODD.search(text):
-            return self.pack(self._all.encode(text, add_special_tokens=False).ids)
-        known = self._known.get
-        return b"".join([known(piece) or self._piece(piece) for piece in _PIECE.findall(text)])
+            return self._whole(text)
+        if _PLAIN.fullmatch(text) and not self._special.search(text):
+            known = self._known.get
+            return b"".join([known(part) or self._pre_token(part) for part in _PRE_TOKEN.findall(text)])
+        known = self._pieces.get
+        return b"".join([known(piece) or self._keep(self._pieces, piece, self._whole(piece)) for piece in _PIECE.findall(text)])
 
 
 @functools.cache
@@ -91,13 +111,6 @@ def _tokenizer(path: str) -> ByteTokenizer:
     return ByteTokenizer(path)
 
 
-def _encode(texts: list[str], path: str, end_id: int) -> dict[str, list]:
-    tokenizer = _tokenizer(path)
-    end = tokenizer.pack([end_id])
-    packed = [tokenizer.ids(text) + end for text in texts]
-    return {"width": [tokenizer.width] * len(packed), "token_ids": packed}
-
-
 def masked(data: bytes) -> int:
     """Checksum of ``data``, rotated and shifted by a constant."""
     crc = zlib.crc32(data)
@@ -213,29 +226,30 @@ def write_records(
     in which they were read, a record each. A null text counts as empty: one token, ``end_id``. Other columns
     are ignored. An empty table gives no file and an empty listing.
 
-    Texts are encoded once and staged with a number of their own, which also deals out rows that
-    share an id. The sort has a task for every RANGE_BYTES, and a task holds one open file.
+    The rows are sorted by ranges of the id, each of about RANGE_BYTES of text, and encoded as they are written: token
+    ids are never shuffled, and a task holds one open file. A number of the row deals out rows that share an id. A task that is
+    repeated must therefore meet its rows in the same order, as it does where ``docs`` is read from files.
     """
     spark = docs.sparkSession
     root = root or scratch_path(spark, "records")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    tokens = stage(map_texts(
-        rows, functools.partial(_encode, path=tokenizer, end_id=end_id), "width int, token_ids binary",
-    ).withColumn("row_number", F.monotonically_increasing_id()), "tokens")
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = tokens.agg(F.sum(F.octet_length("token_ids").cast("long"))).first()[0] or 0
-    order = tokens.repartitionByRange(max(least, -(-total // RANGE_BYTES)), "id", "row_number").sortWithinPartitions("id", "row_number")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row_number"))
+    total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+    order = rows.repartitionByRange(ranges, "id", "row_number").sortWithinPartitions("id", "row_number").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, writer, listed = _arrow(_LISTING), _Writer(root, file_bytes), []
+        encoder = _tokenizer(tokenizer)
+        end = encoder.pack([end_id])
         for batch in batches:
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "width", "token_ids")]
-            for row in zip(*(c.to_pylist() for c in columns)):
-                listed.append(writer.add(*row))
+            for part, texts in text_slices(batch, "text"):
+                for doc_id, text in zip(part.column(0).to_pylist(), texts):
+                    listed.append(writer.add(doc_id, encoder.width, encoder.ids(text) + end))
         listed.append(writer.close())
         yield _rows([x for x in listed if x], target)
 
-    return _placed(stage(order.select("id", "width", "token_ids").mapInArrow(run, _LISTING), "record-files"))
+    return _placed(stage(order.mapInArrow(run, _LISTING), "record-files"))
 
 
 def _placed(files: DataFrame, block: int = 1024) -> DataFrame:

@@ -28,6 +28,12 @@ def test_ids_equal_the_librarys(text):
     assert OWN.ids(text) == OWN.pack(ids_of(text))
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from(" \t\n\r\x0b\x0cab'sdÉſ×÷1290<|>_-!"), max_size=40))
+def test_ids_of_plain_texts_equal_the_librarys(text):
+    assert OWN.ids(text) == OWN.pack(ids_of(text))
+
+
 @pytest.mark.parametrize("text", ["a <|endoftext|> b", "  lead\n\n\tand  trail \n", "it's  'll don't\r\n12 34", "a  b  c"])
 def test_ids_of_blanks_and_special_tokens(text):
     assert OWN.ids(text) == OWN.pack(ids_of(text))
