@@ -241,17 +241,16 @@ def add_score(wide: DataFrame, spec: MartSpec) -> DataFrame:
     logs = {m.metric: f"__log_{i}" for i, m in enumerate(spec.metrics)}
     logged = wide.select("*", *[log_activity(m.value_column).alias(logs[m.metric])
                                 for m in spec.metrics])
-    # All extrema in ONE aggregation. Its single row (2 numbers per metric) is
-    # fetched and applied as literals, as MinMaxScaler does with its summary
-    # statistics: one extra job, a bounded driver result, no join back.
-    extrema = logged.agg(
+    # All extrema in ONE aggregation: an uncorrelated subquery of the plan, so
+    # nothing runs before the mart does and nothing is joined back.
+    extrema = logged.agg(F.struct(
         *[F.min(c).alias(f"lo_{c}") for c in logs.values()],
         *[F.max(c).alias(f"hi_{c}") for c in logs.values()],
-    ).first()
+    ).alias("extrema")).scalar()
     total = None
     for m in spec.metrics:
         c = logs[m.metric]
-        lo, hi = F.lit(extrema[f"lo_{c}"]), F.lit(extrema[f"hi_{c}"])
+        lo, hi = extrema[f"lo_{c}"], extrema[f"hi_{c}"]
         term = F.lit(m.weight) * min_max_scaled(c, lo, hi)
         total = term if total is None else total + term
     return logged.select(*wide.columns, round_half_even(total, 2).alias(spec.score_col))

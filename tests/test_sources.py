@@ -194,3 +194,46 @@ def test_key_bucket_partitioned_upsert_touches_few_buckets(spark, workdir):
     table.upsert(batch.withColumn("bucket", key_bucket(["k"], 16)), ["bucket", "k"])
     got = {r.k: r.v for r in table.read().collect()}
     assert len(got) == 201 and got[3] == "y" and got[500] == "z" and got[4] == "x"
+    touched = {r.b for r in batch.select(key_bucket(["k"], 16).alias("b")).collect()}
+    first, second = (sorted(d for d in os.listdir(workdir + "/bucketed") if d.startswith("table_version=")))
+    written = {int(d.removeprefix("bucket=")) for d in os.listdir(f"{workdir}/bucketed/{second}") if d.startswith("bucket=")}
+    assert written == touched and len(touched) <= 2
+    # untouched buckets are still read from the first version's files
+    files_of = {(r.bucket, os.path.basename(os.path.dirname(os.path.dirname(r.f)))) for r in table.read().select(
+        "bucket", F.input_file_name().alias("f")).distinct().collect()}
+    assert files_of == {(b, second if b in touched else first) for b in range(16)}
+
+
+def test_partition_scoped_versions(spark, workdir):
+    """Null and odd partition values, two partition columns, old versions, a whole write between, an empty batch."""
+    table = VersionedTable(spark, f"{workdir}/t", partition_by=["p", "q"])
+    schema, keys = "p string, q int, k int, v string", ["p", "q", "k"]
+
+    def put(*rows):
+        return table.upsert(spark.createDataFrame(list(rows), schema), keys)
+
+    put(("a", 1, 1, "x"), ("a", 2, 1, "x"), ("b", 1, 1, "x"), ("a b/c", 1, 1, "x"))
+    put(("a", 1, 1, "y"), ("a", 1, 2, "new"))
+    put(("a b/c", 1, 1, "z"), ("c", 3, 1, "c"))
+    put()
+    assert _rows(table.read()) == sorted([
+        ("a", 1, 1, "y"), ("a", 1, 2, "new"), ("a", 2, 1, "x"), ("b", 1, 1, "x"), ("a b/c", 1, 1, "z"), ("c", 3, 1, "c")])
+    assert _rows(table.read(2)) == sorted([
+        ("a", 1, 1, "y"), ("a", 1, 2, "new"), ("a", 2, 1, "x"), ("b", 1, 1, "x"), ("a b/c", 1, 1, "x")])
+    assert table.current_version() == 4
+    table.write(spark.createDataFrame([("d", 1, 1, "only")], schema))
+    put(("e", 1, 1, "e"))
+    assert _rows(table.read()) == [("d", 1, 1, "only"), ("e", 1, 1, "e")]
+    # a null partition value never matches as a key, and is kept
+    null = VersionedTable(spark, f"{workdir}/n", partition_by=["p"])
+    for rows in ([(None, 1, "x"), ("a", 1, "x")], [(None, 1, "y")], [("a", 1, "z")]):
+        null.upsert(spark.createDataFrame(rows, "p string, k int, v string"), ["p", "k"])
+    got = sorted(map(str, null.read().collect()))
+    assert got == sorted(map(str, [null.read().first().__class__(p=p, k=1, v=v) for p, v in ((None, "x"), (None, "y"), ("a", "z"))]))
+
+
+def test_a_changed_type_rewrites_every_partition(spark, workdir):
+    table = VersionedTable(spark, f"{workdir}/t", partition_by=["p"])
+    table.upsert(spark.createDataFrame([("a", 1, 5), ("b", 1, 6)], "p string, k int, v int"), ["p", "k"])
+    table.upsert(spark.createDataFrame([("a", 1, 5.75)], "p string, k int, v double"), ["p", "k"])
+    assert _rows(table.read()) == [("a", 1, 5.75), ("b", 1, 6.0)]

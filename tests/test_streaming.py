@@ -86,3 +86,33 @@ def test_lake_run_counts_are_observed(spark, workdir):
     assert result["bronze_rows"] == result["bronze"].read().count() > 0
     assert result["silver_rows"] == result["silver"].read().count() > 0
     assert result["silver"].read().schema["source_last_updated"].dataType.typeName() == "date"
+
+
+def test_a_replayed_batch_makes_no_second_version(spark, workdir):
+    """The driver stops after the version is written and before the checkpoint knows: the restart replays the batch."""
+    import glob
+    import os
+
+    landing, ckpt = f"{workdir}/landing", f"{workdir}/ckpt"
+    table = VersionedTable(spark, f"{workdir}/table")
+    spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA).write.mode("append").parquet(landing)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    ingest_available(spark, landing, schema, table, ["k"], ckpt)
+    assert table.current_version() == 1
+    for path in glob.glob(f"{ckpt}/commits/*") + glob.glob(f"{ckpt}/commits/.*.crc"):
+        os.remove(path)
+    ingest_available(spark, landing, schema, table, ["k"], ckpt)
+    assert table.current_version() == 1 and _rows(table.read()) == [(1, "a"), (2, "b")]
+    spark.createDataFrame([(2, "B")], SCHEMA).write.mode("append").parquet(landing)
+    ingest_available(spark, landing, schema, table, ["k"], ckpt)
+    assert table.current_version() == 2 and _rows(table.read()) == [(1, "a"), (2, "B")]
+
+
+def test_a_backlog_is_merged_in_bounded_batches(spark, workdir):
+    landing, ckpt = f"{workdir}/landing", f"{workdir}/ckpt"
+    table = VersionedTable(spark, f"{workdir}/table")
+    for i in range(3):
+        spark.createDataFrame([(i, "a")], SCHEMA).coalesce(1).write.mode("append").parquet(landing)
+    schema = spark.createDataFrame([], SCHEMA).schema
+    ingest_available(spark, landing, schema, table, ["k"], ckpt, max_bytes_per_trigger=100)
+    assert table.current_version() == 3 and _rows(table.read()) == [(0, "a"), (1, "a"), (2, "a")]
