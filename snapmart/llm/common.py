@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -16,36 +16,18 @@ from snapmart.session import scratch_path
 #: Texts handed to a vectorised kernel at once hold at most so many bytes (or are one row).
 SLICE_BYTES = 4 << 20
 
-_STAGED: list[tuple[SparkSession, str]] = []
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
-    This is how lineage is cut: the files outlive any executor. They are removed
-    by ``clear_staged`` (also called when the driver's Python ends).
+    This is how lineage is cut: the files outlive any executor. They go when the
+    ``session.scratch_run`` around the call ends, or the driver.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    if not _STAGED:
-        atexit.register(clear_staged)
-    _STAGED.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_staged() -> None:
-    """Delete every folder written by ``stage``; frames read from them end with it."""
-    while _STAGED:
-        spark, path = _STAGED.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001 - the session may be gone already
-            return
-
-
 def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Cut a batch so that each slice has about SLICE_BYTES of text; null texts become ''."""
     at = batch.schema.get_field_index(column)
@@ -90,6 +72,29 @@ def map_texts(
     return df.mapInArrow(run, full)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def byte_classes() -> np.ndarray:
+    """The class of every byte: lower, upper, digit, blank, stop, exclamation, symbol, other, first of a code point beyond ASCII, its rest."""
+    table = np.full(256, 7, dtype=np.int64)
+    table[ord("a") : ord("z") + 1] = 0
+    table[ord("A") : ord("Z") + 1] = 1
+    table[ord("0") : ord("9") + 1] = 2
+    table[[*range(9, 14), 32]] = 3
+    table[list(b".,;:?'\"()-")] = 4
+    table[ord("!")] = 5
+    table[list(b"#*$%&|<>")] = 6
+    table[0xC0:] = 8
+    table[0x80:0xC0] = 9
+    return table
+
+
 def id_crc(id_col: Column) -> Column:
     """crc32 of an id as text: the stated split of labelled rows."""
     return F.crc32(id_col.cast("string"))

@@ -21,11 +21,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from snapmart.llm.common import free_name
+
 
 @dataclass(frozen=True)
 class Pattern:
@@ -69,6 +72,8 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 GRID = 1e-4
 #: The deviate of a string whose symbols don't vary.
 _FAR = 9.0
+#: Elements that running sums are worked out for at once, and code points of a piece of a text.
+BLOCK, CHUNK = 256, 4096
 _SPAN = "struct<start:bigint,stop:bigint,kind:string,body:string>"
 
 
@@ -77,6 +82,37 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """``combine`` of the first 1, 2, .. of an array of longs.
+
+    Arrays can't be extended in place, so it is done inside blocks and then over
+    the blocks: the work grows with the array, not with its square.
+    """
+    zero = F.array(F.lit(0).cast("bigint"))
+
+    def along(part: Column) -> Column:
+        return F.aggregate(part, zero, lambda acc, v: F.concat(acc, F.array(combine(F.element_at(acc, -1), v))))
+
+    def blocks(whole: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), (F.size(whole) / BLOCK).cast("int")), lambda i: along(F.slice(whole, i * BLOCK + 1, F.lit(BLOCK))))
+
+    def joined(parts: Column) -> Column:
+        before = along(F.transform(parts, lambda part: F.element_at(part, -1)))
+        moved = F.zip_with(parts, F.slice(before, F.lit(1), F.size(parts)), lambda part, base: F.transform(
+            F.slice(part, F.lit(2), F.size(part)), lambda v: combine(base, v)))
+        return F.flatten(moved)
+
+    return _let(_let(values, blocks), joined)
+
+
+def _count_until(spans: Column, holds: Callable[[Column], Column]) -> Column:
+    """How many spans from the first ``holds`` is true for, by halving; it must be false for all after the first it is false for."""
+    return F.aggregate(
+        F.array(*(F.lit(1 << i) for i in range(24, -1, -1))), F.lit(0),
+        lambda acc, step: F.when(
+            (acc + step <= F.size(spans)) & F.coalesce(holds(F.get(spans, acc + step - 1)), F.lit(False)), acc + step).otherwise(acc))
+
+
 def _spans(text: Column, pattern: Pattern) -> Column:
     """array<struct<start, stop, kind, body>> of a pattern, leftmost and without overlap.
 
@@ -84,22 +120,33 @@ def _spans(text: Column, pattern: Pattern) -> Column:
     """
     whole = F.regexp_extract_all(text, F.lit(pattern.regex), F.lit(0))
     body = whole if pattern.group == 0 else F.regexp_extract_all(text, F.lit(pattern.regex), F.lit(pattern.group))
-    found = F.struct(whole.alias("whole"), body.alias("body"), F.split(text, pattern.regex, -1).alias("gaps"))
+    gaps = F.slice(F.split(text, pattern.regex, -1), F.lit(1), F.size(whole))
+    found = F.arrays_zip(whole.alias("whole"), body.alias("body"), gaps.alias("gap"))
+
+    def placed(parts: Column) -> Column:
+        sizes = F.transform(parts, lambda part: (F.length(part["gap"]) + F.length(part["whole"])).cast("bigint"))
+        with_stop = F.zip_with(parts, _running(sizes, lambda a, b: a + b), lambda part, stop: F.struct(
+            (stop - F.length(part["whole"])).alias("start"), stop.alias("stop"), F.lit(pattern.kind).alias("kind"), part["body"].alias("body")))
+        return F.filter(with_stop, lambda s: F.length(s["body"]) >= pattern.least)
+
     none = F.array().cast(f"array<{_SPAN}>")
+    return F.when(text.rlike(_GATES.get(pattern.kind, pattern.regex)), _let(found, placed)).otherwise(none)
 
-    def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + F.length(part["gap"])
-        stop = start + F.length(part["whole"])
-        span = F.struct(start.alias("start"), stop.alias("stop"), F.lit(pattern.kind).alias("kind"), part["body"].alias("body"))
-        fits = F.length(part["body"]) >= pattern.least
-        return F.struct(stop.alias("at"), F.when(fits, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
 
-    def placed(s: Column) -> Column:
-        parts = F.arrays_zip(s["whole"].alias("whole"), s["body"].alias("body"), F.slice(s["gaps"], 1, F.size(s["whole"])).alias("gap"))
-        begin = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found"))
-        return F.aggregate(parts, begin, step, lambda acc: acc["found"])
+def _chunks(text: Column) -> Column:
+    """A text in pieces of CHUNK code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
 
-    return F.when(text.rlike(_GATES.get(pattern.kind, pattern.regex)), _let(found, placed)).otherwise(none)
+
+def _between(chunks: Column, start: Column, stop: Column) -> Column:
+    """The code points from ``start`` to ``stop`` of a text in ``chunks``; only the chunks there are read."""
+    first, last = F.floor(start / CHUNK).cast("int"), F.floor((stop - 1) / CHUNK).cast("int")
+    begin = (start - first * CHUNK + 1).cast("int")
+    one = F.substring(F.get(chunks, first), begin, (stop - start).cast("int"))
+    more = F.array_join(F.concat(
+        F.array(F.substring(F.get(chunks, first), begin, F.lit(CHUNK))), F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))),
+        F.array(F.substring(F.get(chunks, last), F.lit(1), (stop - last * CHUNK).cast("int")))), "")
+    return F.when(stop <= start, F.lit("")).when(first == last, one).otherwise(more)
 
 
 def _upper_tail(z: Column) -> Column:
@@ -193,29 +240,38 @@ def _only_signs(body: Column) -> Column:
     return F.when(~body.rlike("[A-Za-z]") & body.rlike("[+/_-]"), "signs")
 
 
-def _touches(c: Column) -> Callable[[Column], Column]:
-    return lambda s: (s["start"] < c["stop"]) & (c["start"] < s["stop"])
+def _touched(c: Column, base: Column, kinds: Sequence[Pattern]) -> Column:
+    """Whether a span of any kind shares a place with ``c``."""
+    def by(spans: Column) -> Column:
+        after = F.get(spans, _count_until(spans, lambda s: s["stop"] <= c["start"]))
+        return F.coalesce(after["start"] < c["stop"], F.lit(False))
 
+    return reduce(lambda a, b: a | b, (by(base[p.kind]) for p in kinds), F.lit(False))
 
-def _parts(run: Column, base: Column) -> Column:
-    """array<struct<start, stop, kind, body>> of what the spans of ``base``, in order, leave of a run, if long enough."""
-    def cut(at: Column, stop: Column) -> Column:
-        return F.struct(
-            at.alias("start"), stop.alias("stop"), run["kind"].alias("kind"),
-            F.substring(run["body"], (at - run["start"] + 1).cast("int"), (stop - at).cast("int")).alias("body"))
 
-    def add(acc: Column, stop: Column) -> Column:
-        return F.when(stop - acc["at"] >= LENGTHS[0], F.concat(acc["found"], F.array(cut(acc["at"], stop)))).otherwise(acc["found"])
+def _parts(run: Column, base: Column, kinds: Sequence[Pattern]) -> Column:
+    """array<struct<start, stop>> of what the base spans leave of a run, if long enough: cut by one kind after the other."""
+    def cut(piece: Column, spans: Column) -> Column:
+        low = _count_until(spans, lambda s: s["stop"] <= piece["start"])
+        high = _count_until(spans, lambda s: s["start"] < piece["stop"])
+        inside = F.slice(spans, low + 1, F.greatest(high - low, F.lit(0)))
+        return _let(inside, lambda own: F.filter(F.transform(F.sequence(F.lit(0), F.size(own)), lambda i: F.struct(
+            F.greatest(piece["start"], F.coalesce(F.get(own, i - 1)["stop"], piece["start"])).alias("start"),
+            F.coalesce(F.get(own, i)["start"], piece["stop"]).alias("stop"),
+        )), lambda s: s["stop"] - s["start"] >= LENGTHS[0]))
 
-    begin = F.struct(run["start"].alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
-    return F.aggregate(
-        F.filter(base, _touches(run)), begin,
-        lambda acc, s: F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), add(acc, s["start"]).alias("found")),
-        lambda acc: add(acc, run["stop"]))
+    def cut_all(pieces: Column, spans: Column) -> Column:
+        return F.flatten(F.transform(pieces, lambda piece: cut(piece, spans)))
+
+    whole = F.array(F.struct(run["start"].alias("start"), run["stop"].alias("stop")))
+    return reduce(cut_all, (base[p.kind] for p in kinds), whole)
 
 
-def _candidates(text: Column, base: Column) -> Column:
-    """array<struct<start, stop, kind, stratum, p>> of a text's candidate runs, and of the parts that ``base`` leaves of them."""
+def _candidates(text: Column, base: Column, kinds: Sequence[Pattern], only_free: bool = False) -> Column:
+    """array<struct<start, stop, kind, stratum, p>> of a text's candidate runs, and of the parts that ``base`` leaves of them.
+
+    ``only_free`` leaves out the runs that a base span touches.
+    """
     def tested(c: Column) -> Column:
         return _let(battery(c["body"]), lambda t: F.struct(
             c["start"].alias("start"), c["stop"].alias("stop"), t["encoding"].alias("kind"),
@@ -223,20 +279,27 @@ def _candidates(text: Column, base: Column) -> Column:
             t["p"].alias("p"),
         ))
 
+    def struct(start: Column, stop: Column, body: Column, free: Column) -> Column:
+        return F.struct(start.alias("start"), stop.alias("stop"), body.alias("body"), free.alias("free"))
+
     def with_parts(runs: Column) -> Column:
-        joined = F.filter(runs, lambda c: F.exists(base, _touches(c)))
-        parts = F.flatten(F.transform(joined, lambda c: _let(F.array_sort(base), lambda spans: _parts(c, spans))))
-        return F.concat(runs, parts)
+        joined = F.filter(runs, lambda c: ~c["free"])
+        pieces = F.flatten(F.transform(joined, lambda c: _parts(c, base, kinds)))
+        parts = _let(_chunks(text), lambda chunks: F.transform(
+            pieces, lambda s: struct(s["start"], s["stop"], _between(chunks, s["start"], s["stop"]), F.lit(True))))
+        return F.when(F.size(joined) > 0, F.concat(runs, parts)).otherwise(runs)
 
-    return F.transform(_let(_spans(text, Pattern("candidate", CANDIDATE, 0, LENGTHS[0])), with_parts), tested)
+    runs = F.transform(
+        _spans(text, Pattern("candidate", CANDIDATE, 0, LENGTHS[0])),
+        lambda c: struct(c["start"], c["stop"], c["body"], ~_touched(c, base, kinds)))
+    found = _let(runs, with_parts)
+    return F.transform(F.filter(found, lambda c: c["free"]) if only_free else found, tested)
 
 
 def _base(text: Column, kinds: Sequence[Pattern]) -> Column:
-    """array<struct<start, stop, kind>> of the patterns' spans."""
-    return F.transform(
-        F.concat(*[_spans(text, p) for p in kinds]),
-        lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")),
-    )
+    """struct of each kind's array<struct<start, stop>>, in order of their places."""
+    return F.struct(*(
+        F.transform(_spans(text, p), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))).alias(p.kind) for p in kinds))
 
 
 def thresholds(
@@ -253,7 +316,7 @@ def thresholds(
     cells = (
         docs.select(text.alias("text")).where(F.col("text").rlike(CANDIDATE))
         .select("text", _base(F.col("text"), kinds).alias("base"))
-        .select(F.explode(_candidates(F.col("text"), F.col("base"))).alias("c"))
+        .select(F.explode(_candidates(F.col("text"), F.col("base"), kinds)).alias("c"))
         .groupBy(F.col("c.stratum").alias("stratum"), F.ceil(F.col("c.p") / GRID).alias("cell"))
         .agg(F.count("*").alias("n"))
     )
@@ -274,6 +337,7 @@ def scan(
 ) -> DataFrame:
     """``docs`` with ``out_col``: array<struct<start, stop, kind>>, by start and then kind.
 
+    The work on a text grows with its length and, but for a logarithm, with its spans.
     Places are code points, ``stop`` exclusive. Kinds are those of the patterns,
     and ``random-<encoding>`` for a random string that no pattern's span touches; what
     such spans leave of a longer run is tested by itself. An existing column named ``out_col`` is replaced; all other columns stay. A null or
@@ -287,24 +351,27 @@ def scan(
 
     def random(base: Column) -> Column:
         def keep(c: Column) -> Column:
-            free = ~F.exists(base, _touches(c))
             if limit is None:
-                return free
+                return F.lit(True)
             # compared by cell, as it was counted
-            return free & (F.ceil(c["p"] / GRID) * GRID > F.coalesce(F.try_element_at(limit, c["stratum"]), F.lit(-1.0)))
+            return F.ceil(c["p"] / GRID) * GRID > F.coalesce(F.try_element_at(limit, c["stratum"]), F.lit(-1.0))
 
-        return F.transform(F.filter(_candidates(text, base), keep), lambda c: F.struct(
+        return F.transform(F.filter(_candidates(text, base, kinds, only_free=True), keep), lambda c: F.struct(
             c["start"].alias("start"), c["stop"].alias("stop"), F.concat(F.lit("random-"), c["kind"]).alias("kind")))
 
+    def named(base: Column, kind: str) -> Column:
+        return F.transform(base[kind], lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.lit(kind).alias("kind")))
+
     rank = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
 
     def by_place(a: Column, b: Column) -> Column:
         ra, rb = (F.coalesce(F.try_element_at(rank, x["kind"]), F.lit(len(order))) for x in (a, b))
         return F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(ra - rb)
 
-    with_base = docs.withColumn("__base", _base(text, kinds))
-    more = with_base.withColumn("__more", random(F.col("__base")))
-    return more.withColumn(out_col, F.array_sort(F.concat("__base", "__more"), by_place)).drop("__base", "__more")
+    at = free_name(docs, "base_spans")
+    with_base = docs.withColumn(at, _base(text, kinds))
+    spans = F.concat(*(named(F.col(at), p.kind) for p in kinds), random(F.col(at)))
+    return with_base.withColumn(out_col, F.array_sort(spans, by_place)).drop(at)
 
 
 def redact(docs: DataFrame, spans_col: str = "secret_spans", text_col: str = "text", mark: str = "[secret]") -> DataFrame:
@@ -312,19 +379,16 @@ def redact(docs: DataFrame, spans_col: str = "secret_spans", text_col: str = "te
 
     A null text stays null. The column ``spans_col`` is kept.
     """
-    text = F.col(text_col)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        between = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.struct(
-            F.when(fresh, F.concat(acc["out"], between, F.lit(mark))).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], s["stop"]).alias("at"),
-        )
-
-    clean = F.aggregate(
-        F.col(spans_col), start, step,
-        lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))),
-    )
+    text, spans = F.col(text_col), F.col(spans_col)
+
+    def replaced(s: Column) -> Column:
+        # a span is fresh unless one before it reaches into it; what stands before it begins where the spans before end
+        fresh = F.filter(
+            F.zip_with(spans, F.slice(s["ends"], F.lit(1), F.size(spans)), lambda x, end: F.struct(end.alias("end"), x["start"].alias("start"))),
+            lambda x: x["start"] >= x["end"])
+        parts = F.transform(fresh, lambda x: F.concat(_between(s["chunks"], x["end"], x["start"]), F.lit(mark)))
+        return F.array_join(F.concat(parts, F.array(_between(s["chunks"], F.element_at(s["ends"], -1), F.length(text).cast("bigint")))), "")
+
+    ends = F.concat(F.array(F.lit(0).cast("bigint")), _running(F.transform(spans, lambda x: x["stop"]), F.greatest))
+    clean = _let(F.struct(_chunks(text).alias("chunks"), ends.alias("ends")), replaced)
     return docs.withColumn(text_col, F.when(F.size(spans_col) > 0, clean).otherwise(text))

@@ -143,3 +143,66 @@ def test_query(spark):
 def test_no_python_in_the_plan(spark):
     plan = op3_secret_scan(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_many_spans_in_one_text(spark):
+    """The work on a text grows with its spans, not with their square."""
+    import time
+
+    n = 100_000
+    text = "token=abcdef " * n
+    begin = time.time()
+    frame = secret_scan.redact(secret_scan.scan(documents(spark, [(1, text)])))
+    row = frame.select(F.size("secret_spans").alias("n"), "secret_spans", "text").first()
+    assert row["n"] == n and time.time() - begin < 60
+    assert [(s["start"], s["stop"]) for s in row["secret_spans"][:: n // 10]] == [(13 * i, 13 * i + 12) for i in range(0, n, n // 10)]
+    assert row["text"] == "[secret] " * n
+
+
+def test_names_of_the_users_columns_are_kept(spark):
+    names = ["base_spans", "base_spans_", "__base", "__more", "__spans", "secret_spans_"]
+    docs = documents(spark, [(1, "token=abcdef"), (2, None)]).select("*", *(F.lit(f"own {c}").alias(c) for c in names))
+    rows = secret_scan.redact(secret_scan.scan(docs)).orderBy("doc_id").collect()
+    assert [rows[0][c] for c in names] == [f"own {c}" for c in names]
+    assert [r["text"] for r in rows] == ["[secret]", None]
+
+
+def overlapping(spans, text):
+    out, at = [], 0
+    for start, stop in spans:
+        if start >= at:
+            out += [text[at:start], "[secret]"]
+        at = max(at, stop)
+    return "".join([*out, text[at:]])
+
+
+def test_redact_overlapping_spans_across_chunks(spark):
+    draw = random.Random(8)
+    rows = []
+    for i in range(30):
+        text = "".join(draw.choice("aé\U0001f600\n ") for _ in range(draw.choice([0, 5, 4096, 9000, 20_000])))
+        cuts = sorted((a, min(len(text), a + draw.choice([1, 3, 300, 5000]))) for a in (draw.randrange(len(text)) for _ in range(draw.choice([0, 1, 3, 600]))) ) if text else []
+        rows.append((i, text, [{"start": a, "stop": b, "kind": "x"} for a, b in cuts]))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, secret_spans array<struct<start:bigint,stop:bigint,kind:string>>")
+    got = dict(secret_scan.redact(frame).select("doc_id", "text").collect())
+    for i, text, cuts in rows:
+        assert got[i] == overlapping([(s["start"], s["stop"]) for s in cuts], text)
+
+
+def test_what_base_spans_leave_of_long_runs(spark):
+    """Many keys inside one run of key characters: every long enough rest is a candidate, at its place."""
+    draw = random.Random(21)
+    word = lambda n: "".join(draw.choice(string.ascii_letters + string.digits) for _ in range(n))
+    texts = []
+    for _ in range(3):
+        texts.append("".join(f"AKIA{''.join(draw.choice(string.ascii_uppercase) for _ in range(16))}-{word(draw.choice([5, 30, 60]))}-" for _ in range(40)))
+    got = spans(spark, texts, fdr=1e-12)
+    for text, row in zip(texts, got):
+        base, at, want = secret_base(text), 0, []
+        for a, b in sorted((a, b) for _, a, b in base):
+            if a - at >= 20:
+                want.append((at, a))
+            at = max(at, b)
+        if len(text) - at >= 20:
+            want.append((at, len(text)))
+        assert [s[1:] for s in row if s[0].startswith("random-")] == want
