@@ -15,6 +15,8 @@ before it is fitted again.
 from __future__ import annotations
 
 import functools
+import math
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,12 +24,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import id_crc, labelled_sample, map_texts
+from snapmart.llm.common import byte_classes, id_crc, labelled_sample, map_texts
 
 #: Labelled documents of each class in the sample that the field is fitted on.
 SAMPLE_DOCS = 2_500
-#: Longer documents are not drawn into the sample; every document is scored whole.
-SAMPLE_CHARS = 20_000
+#: Lines of a document in the sample: of one with more lines, a stretch of so many; every document is scored whole.
+SAMPLE_LINES = 128
+#: Texts with more lines are scored by themselves, block by block.
+LONG_LINES = 2_000
+#: Lines, and bytes unless a line has more, whose features are held at once.
+BLOCK_LINES, BLOCK_BYTES = 20_000, 2 << 20
 #: Score from which a document counts as good.
 GOOD = 0.7
 
@@ -35,27 +41,16 @@ _CLASSES = 9  # lower, upper, digit, blank, stop, exclamation, symbol, other, no
 _OWN = 15
 
 
-def _byte_classes() -> np.ndarray:
-    table = np.full(256, 7, dtype=np.int64)
-    table[ord("a") : ord("z") + 1] = 0
-    table[ord("A") : ord("Z") + 1] = 1
-    table[ord("0") : ord("9") + 1] = 2
-    table[[*range(9, 14), 32]] = 3
-    table[list(b".,;:?'\"()-")] = 4
-    table[ord("!")] = 5
-    table[list(b"#*$%&|<>")] = 6
-    table[0xC0:] = 8
-    table[0x80:0xC0] = 9
-    return table
-
-
-_TABLE = _byte_classes()
+_TABLE = byte_classes()
 _POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, dtype=np.uint64))
 
 
 def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features of all lines, bytes of each line, lines of each text); an empty text has one empty line."""
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    return _line_features([t.encode("utf-8", "surrogatepass") for t in texts])
+
+
+def _line_features(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lines_of = np.array([r.count(b"\n") + 1 for r in raw], dtype=np.int64)
     data = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
     breaks = data == 10
@@ -159,6 +154,91 @@ def marginals(emission: np.ndarray, chain: np.ndarray, lines_of: np.ndarray) ->
     return both[:, 1] / both.sum(axis=1), changes, total
 
 
+def long_marginals(emission: np.ndarray, chain: np.ndarray) -> np.ndarray:
+    """Each line's probability of being good, for one long document.
+
+    The chain is cut into as many blocks as a block has lines. A block is a product of 2 x 2
+    matrices, worked out for all blocks at once; one pass over the blocks gives the messages that enter each, and a
+    last one the lines inside. A few numbers per line are held.
+    """
+    n = len(emission)
+    size = math.isqrt(n - 1) + 1
+    blocks = -(-n // size)
+    grid = np.zeros(blocks * size)
+    grid[:n] = emission
+    grid = grid.reshape(blocks, size)
+    move = np.exp(chain - chain.max())
+    real = np.arange(blocks) < n // size  # blocks without padding; the last may have some
+    rest = n - (blocks - 1) * size
+
+    def step(j: int) -> np.ndarray:
+        top = np.maximum(grid[:, j], 0)
+        made = move[None] * np.stack([np.exp(-top), np.exp(grid[:, j] - top)], axis=1)[:, None]
+        if j == 0:
+            made[0, 1] = made[0, 0] = np.array([math.exp(-top[0]), math.exp(grid[0, 0] - top[0])])
+        if j >= rest and not real[-1]:
+            made[-1] = np.eye(2)
+        return made
+
+    product = np.tile(np.eye(2), (blocks, 1, 1))
+    for j in range(size):
+        product = product @ step(j)
+        product /= product.max(axis=(1, 2), keepdims=True)
+    enter, leave = np.empty((blocks, 2)), np.ones((blocks, 2))
+    enter[0] = 0.5
+    for k in range(1, blocks):
+        enter[k] = enter[k - 1] @ product[k - 1]
+        enter[k] /= enter[k].sum()
+    for k in range(blocks - 1, 0, -1):
+        leave[k - 1] = product[k] @ leave[k]
+        leave[k - 1] /= leave[k - 1].sum()
+    forward = np.empty((blocks, size))
+    for j in range(size):
+        enter = (enter[:, None] @ step(j))[:, 0]
+        enter /= enter.sum(axis=1, keepdims=True)
+        forward[:, j] = enter[:, 1]
+    for j in range(size - 1, -1, -1):
+        good, bad = forward[:, j] * leave[:, 1], (1 - forward[:, j]) * leave[:, 0]
+        forward[:, j] = good / (good + bad)
+        leave = (step(j) @ leave[:, :, None])[:, :, 0]
+        leave /= leave.sum(axis=1, keepdims=True)
+    return forward.ravel()[:n]
+
+
+def _long_emission(raw: bytes, field: Field) -> tuple[np.ndarray, np.ndarray]:
+    """(emission, bytes) of every line of one text; features are held for a block of lines and its two neighbours."""
+    breaks = np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 10)
+    starts = np.concatenate(([0], breaks + 1))
+    stops = np.concatenate((breaks, [len(raw)]))
+    n, at = len(starts), 0
+    emission, size = np.empty(n), np.empty(n, dtype=np.float32)
+    own_w, before_w, after_w, ends_w = np.split(field.weights, [_OWN, 2 * _OWN, 3 * _OWN])
+    while at < n:
+        stop = int(min(at + BLOCK_LINES, max(np.searchsorted(stops, starts[at] + BLOCK_BYTES), at + 1), n))
+        low, high = max(at - 1, 0), min(stop + 1, n)
+        own, bytes_of, _ = _line_features([raw[starts[low] : stops[high - 1]]])
+        z = np.clip((own - field.mean) / field.scale, -6, 6)
+        here = slice(at - low, stop - low)
+        part = z[here] @ own_w + ends_w[2]
+        before, after = z @ before_w, z @ after_w
+        part[(1 if at == 0 else 0) :] += before[(0 if at == 0 else here.start - 1) : here.stop - 1]
+        part[: len(part) - (1 if stop == n else 0)] += after[here.start + 1 : here.stop + (0 if stop == n else 1)]
+        if at == 0:
+            part[0] += ends_w[0]
+        if stop == n:
+            part[-1] += ends_w[1]
+        emission[at:stop], size[at:stop] = part, bytes_of[here]
+        at = stop
+    return emission, size
+
+
+def _score_long(raw: bytes, field: Field) -> tuple[float, int, int]:
+    emission, size = _long_emission(raw, field)
+    good = long_marginals(emission, field.chain)
+    weight = size.astype(float) + 1e-6
+    return float(np.clip((good * weight).sum() / weight.sum(), 0, 1)), len(good), int((good < 0.5).sum())
+
+
 def _fit_once(x: np.ndarray, y: np.ndarray, lines_of: np.ndarray, weights: np.ndarray, chain: np.ndarray, steps: int, decay: float) -> tuple[np.ndarray, np.ndarray]:
     """Maximum likelihood with a quadratic penalty, by Adam."""
     ends = np.cumsum(lines_of)
@@ -197,16 +277,43 @@ def fit(own: np.ndarray, lines_of: np.ndarray, labels: list[int], rounds: int =
 
 
 def score_texts(texts: list[str], field: Field | None) -> tuple[list[float], list[int], list[int]]:
-    """(score, lines, bad lines) of each text."""
-    own, size, lines_of = line_features(texts)
+    """(score, lines, bad lines) of each text. Features of some BLOCK_LINES lines are held at once."""
     if field is None:
-        return [1.0] * len(texts), lines_of.tolist(), [0] * len(texts)
+        return [1.0] * len(texts), [t.count("\n") + 1 for t in texts], [0] * len(texts)
+    rows: list[tuple[float, int, int]] = []
+    group: list[bytes] = []
+    lines = size = 0
+
+    def flush() -> None:
+        nonlocal lines, size
+        if group:
+            rows.extend(_score_group(group, field))
+            group.clear()
+            lines = size = 0
+
+    for text in texts:
+        raw = text.encode("utf-8", "surrogatepass")
+        own = raw.count(b"\n") + 1
+        if own > LONG_LINES:
+            flush()
+            rows.append(_score_long(raw, field))
+            continue
+        if lines + own > BLOCK_LINES or size + len(raw) > BLOCK_BYTES:
+            flush()
+        group.append(raw)
+        lines, size = lines + own, size + len(raw)
+    flush()
+    return [r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows]
+
+
+def _score_group(raw: list[bytes], field: Field) -> list[tuple[float, int, int]]:
+    own, size, lines_of = _line_features(raw)
     good, _, _ = marginals(field.inputs(own, lines_of) @ field.weights, field.chain, lines_of)
-    owner = np.repeat(np.arange(len(texts)), lines_of)
+    owner = np.repeat(np.arange(len(raw)), lines_of)
     weight = size + 1e-6
-    score = np.bincount(owner, weights=good * weight, minlength=len(texts)) / np.bincount(owner, weights=weight, minlength=len(texts))
-    bad = np.bincount(owner[good < 0.5], minlength=len(texts))
-    return np.clip(score, 0, 1).tolist(), lines_of.tolist(), bad.tolist()
+    score = np.bincount(owner, weights=good * weight, minlength=len(raw)) / np.bincount(owner, weights=weight, minlength=len(raw))
+    bad = np.bincount(owner[good < 0.5], minlength=len(raw))
+    return list(zip(np.clip(score, 0, 1).tolist(), lines_of.tolist(), bad.tolist()))
 
 
 def _kernel(texts: list[str], field: Field | None) -> dict[str, list]:
@@ -219,20 +326,28 @@ def learnable(id_col: str) -> Column:
     return id_crc(F.col(id_col)) % 4 != 2
 
 
+def stretch(text: str, most: int = SAMPLE_LINES) -> str:
+    """The text, or ``most`` lines in a row of one that has more, from a place that its checksum decides."""
+    lines = text.split("\n")
+    if len(lines) <= most:
+        return text
+    at = zlib.crc32(text.encode("utf-8", "surrogatepass")) % (len(lines) - most + 1)
+    return "\n".join(lines[at : at + most])
+
+
 def _features_kernel(texts: list[str]) -> dict[str, list]:
-    own, _, lines_of = line_features(texts)
+    own, _, lines_of = line_features([stretch(t) for t in texts])
     return {"lines": lines_of.tolist(), "own": [part.ravel() for part in np.split(own, np.cumsum(lines_of)[:-1])]}
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = SAMPLE_DOCS) -> Field | None:
     """The field, fitted on at most ``per_class`` documents of either label.
 
-    Only documents of up to SAMPLE_CHARS characters are drawn. Their texts stay
+    Documents of any length are drawn; at most SAMPLE_LINES lines of each are learnt from. Their texts stay
     with the executors; the driver gets the features of their lines. None where
     the sample lacks a class, for instance with an empty table of labels.
     """
-    short = docs.where(F.coalesce(F.length(text_col), F.lit(0)) <= SAMPLE_CHARS)
-    drawn = labelled_sample(short, labels, label_col, per_class, learnable(id_col), id_col, text_col).dropDuplicates([id_col])
+    drawn = labelled_sample(docs, labels, label_col, per_class, learnable(id_col), id_col, text_col).dropDuplicates([id_col])
     rows = map_texts(drawn.select(F.col(id_col).alias("id"), "label", "text"), _features_kernel, "lines long, own array<float>").collect()
     rows.sort(key=lambda r: r["id"])
     own = np.concatenate([np.array(r["own"], dtype=float) for r in rows] or [np.empty(0)]).reshape(-1, _OWN)
@@ -253,14 +368,6 @@ def score(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col
 def keep_good(docs: DataFrame, field: Field | None, text_col: str = "text", least: float = GOOD) -> DataFrame:
     """The rows of ``docs`` whose score is at least ``least``; columns as given."""
     def scored(texts: pd.Series) -> pd.Series:
-        out: list[float] = []
-        listed = [t or "" for t in texts]
-        start, used = 0, 0
-        for at, text in enumerate(listed):
-            used += len(text)
-            if used > 2_000_000 or at + 1 == len(listed):
-                out += score_texts(listed[start : at + 1], field)[0]
-                start, used = at + 1, 0
-        return pd.Series(out, dtype=float)
+        return pd.Series(score_texts([t or "" for t in texts], field)[0], dtype=float)
 
     return docs.where(F.pandas_udf(scored, "double")(F.col(text_col)) >= least)

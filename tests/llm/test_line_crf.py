@@ -81,3 +81,48 @@ def test_held_out_accuracy(spark):
         assert r["predicted"] == int(r["score"] >= 0.7)
     held = [(quality[r["doc_id"]], r["predicted"]) for r in rows if r["held_out"] and quality.get(r["doc_id"]) is not None]
     assert sum(a == b for a, b in held) >= 0.98 * len(held)
+
+
+def test_long_chains_equal_the_batch():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 3, 4, 5, 16, 17, 50, 101, 1000):
+        emission, chain = rng.normal(size=n) * 4, rng.normal(size=(2, 2)) * 2
+        want, _, _ = line_crf.marginals(emission, chain, np.array([n]))
+        assert np.allclose(line_crf.long_marginals(emission, chain), want, atol=1e-9)
+
+
+def test_long_texts_are_scored_in_blocks(monkeypatch):
+    """Whatever the sizes of blocks and groups, the scores are those of the whole text at once."""
+    rng = np.random.default_rng(5)
+    field = line_crf.Field(np.zeros(15), np.ones(15), rng.normal(size=48) * 0.3, rng.normal(size=(2, 2)))
+    texts = ["x\n" * 60, "a b\nfoo! bar\n\n12 é\n" * 20, "", "one line", "y" * 300 + "\nz", "\n" * 33, "word word\n" * 25]
+    own, size, lines_of = line_crf.line_features(texts)
+    good, _, _ = line_crf.marginals(field.inputs(own, lines_of) @ field.weights, field.chain, lines_of)
+    owner = np.repeat(np.arange(len(texts)), lines_of)
+    want = [np.average(good[owner == i], weights=size[owner == i] + 1e-6) for i in range(len(texts))]
+    for long, lines, chars in ((2000, 20_000, 1 << 20), (10, 7, 1 << 20), (0, 3, 40), (2000, 30, 100)):
+        monkeypatch.setattr(line_crf, "LONG_LINES", long)
+        monkeypatch.setattr(line_crf, "BLOCK_LINES", lines)
+        monkeypatch.setattr(line_crf, "BLOCK_BYTES", chars)
+        got = line_crf.score_texts(texts, field)
+        assert np.allclose(got[0], want, atol=1e-6) and got[1] == lines_of.tolist()
+
+
+def test_a_text_of_many_short_lines_takes_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    field = line_crf.Field(np.zeros(15), np.ones(15), rng.normal(size=48) * 0.3, rng.normal(size=(2, 2)))
+    text = "x\n" * 2_000_000
+    tracemalloc.start()
+    _, lines, _ = line_crf.score_texts([text], field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lines == [2_000_001] and peak < 200 << 20
+
+
+def test_stretch_of_a_long_text():
+    text = "\n".join(map(str, range(1000)))
+    part = line_crf.stretch(text, 50).split("\n")
+    assert len(part) == 50 and [int(x) for x in part] == list(range(int(part[0]), int(part[0]) + 50))
+    assert line_crf.stretch("a\nb", 50) == "a\nb"
