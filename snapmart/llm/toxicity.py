@@ -31,8 +31,7 @@ from snapmart.llm.common import id_crc, labelled_sample, map_texts, stage, text_
 
 #: Labelled documents of each class that weights are learnt from.
 SAMPLE_DOCS = 6_000
-#: Entries of a learnt lexicon, and the toxic documents that an entry must occur in.
-MAX_TERMS = 4_000
+#: The toxic documents of the sample that an entry of a learnt lexicon must occur in.
 MIN_TOXIC = 3
 #: Beginnings of words that can be entries.
 PREFIXES = (4, 5, 6, 7, 8)
@@ -79,7 +78,8 @@ class Lexicon:
     key: str = field(default="")
 
 
-#: The curve's inputs: the sum of weights per SPREAD words (at most LIMIT), and the heaviest weight.
+#: The curve's inputs: the sum of weights per SPREAD words, and the heaviest weight. Sums over LIMIT count as LIMIT: more
+#: toxic words don't make such a text more toxic, and a few extreme texts don't set the curve's slope.
 SPREAD, LIMIT = 100.0, 12.0
 
 
@@ -110,7 +110,16 @@ class Matcher:
             elif weight > words.get(begin, 0.0):
                 words[begin] = weight
         if spared:
-            words = {at: w for at, w in words.items() if not any(a <= at < b for a, b in spared)}
+            # both in order of their place: a word is spared if a phrase that begins before it reaches it
+            spared.sort()
+            kept, nth, reach = {}, 0, -1
+            for at in sorted(words):
+                while nth < len(spared) and spared[nth][0] <= at:
+                    reach = max(reach, spared[nth][1])
+                    nth += 1
+                if at >= reach:
+                    kept[at] = words[at]
+            words = kept
         return sum(words.values()), max(words.values(), default=0.0), len(words)
 
 
@@ -206,7 +215,7 @@ def learn(
     best = (
         counts.where(F.col("term").isNotNull() & (F.col("toxic") >= MIN_TOXIC))
         .select("term", weight.alias("weight"))
-        .where(F.col("weight") >= MIN_WEIGHT).orderBy(F.desc("weight"), "term").limit(MAX_TERMS).collect()
+        .where(F.col("weight") >= MIN_WEIGHT).collect()
     )
     weights = dict(seed)
     for row in best:
@@ -242,6 +251,8 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, n_matches) for each row of ``docs``; the score lies between 0 and 1, higher for more toxic.
 
+    Of the sum of weights per SPREAD words no more than LIMIT counts.
+
     Null and empty texts match nothing and get the curve's lowest score. Repeated
     rows are scored each; extra columns are ignored. Nothing is shuffled.
     """

@@ -63,3 +63,43 @@ def test_held_out_accuracy(spark):
     assert sum(a == b for a, b in held) >= 0.97 * len(held)
     found = [b for a, b in held if a == 1]
     assert sum(found) >= 0.9 * len(found)
+
+
+def restated(text, lexicon):
+    """Score by loops: every word of the folded text, its heaviest entry, whether an exception phrase holds it."""
+    import math
+
+    words = toxicity.fold(text).split()
+    phrases = [toxicity.fold(p).split() for p in lexicon.exceptions]
+    spared = {at + i for at in range(len(words)) for p in phrases if words[at : at + len(p)] == p for i in range(len(p))}
+    weights = []
+    for at, word in enumerate(words):
+        own = [w for entry, w in lexicon.weights.items() if (entry == f" {word} " if entry.endswith(" ") else word.startswith(entry[1:]))]
+        if own and at not in spared:
+            weights.append(max(own))
+    total = min(sum(weights) * toxicity.SPREAD / (max(len(words), 1) + 20), toxicity.LIMIT)
+    a, b, c = lexicon.curve
+    return 1 / (1 + math.exp(-(a + b * total + c * max(weights, default=0)))), len(weights)
+
+
+def test_scores_against_loops(spark):
+    import random
+
+    draw = random.Random(9)
+    lexicon = toxicity.Lexicon({" idiot ": 3.0, " trash ": 2.0, " idio": 1.0, " clow": 2.5, " can idiot": 4.0, " loser ": 1.5}, key="loops")
+    pieces = ["idiot", "IDI0T", "idiotic", "trash", "trash can", "class clown", "clown", "can", "and", "l0ser", "fish", "clown fish.", "\u0456diot"]
+    rows = [(i, " ".join(draw.choice(pieces) for _ in range(draw.choice([0, 1, 5, 40, 300])))) for i in range(60)] + [(99, None)]
+    lexicon = toxicity.Lexicon({k: v for k, v in lexicon.weights.items() if " " not in k.strip()}, key="loops")
+    got = {r["doc_id"]: r for r in toxicity.score(documents(spark, rows), lexicon).collect()}
+    for i, text in rows:
+        score, hits = restated(text or "", lexicon)
+        assert got[i]["n_matches"] == hits and abs(got[i]["score"] - score) < 1e-9, (i, text)
+
+
+def test_many_exceptions_in_one_text():
+    import time
+
+    matcher = toxicity.Matcher(toxicity.Lexicon({f" {w} ": 3.0 for w in toxicity.SEED_WORDS}))
+    begin = time.time()
+    assert matcher.measure(toxicity.fold("trash can idiot " * 60_000))[2] == 60_000
+    assert time.time() - begin < 20
