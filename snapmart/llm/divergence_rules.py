@@ -6,6 +6,12 @@ documents written in a language are that language's references; a document is
 kept if it is close to those of at least one language, by Jensen-Shannon distance.
 Short texts have ragged histograms, so each test has a least length, below which
 it passes, and an allowance that shrinks with the length.
+
+A text may be in a language without a reference. One with more letters beyond
+ASCII than in it is in another script: no histogram applies to it, and it passes both
+tests. One in Latin script that holds hardly any common word of the four languages passes the test
+of words, and is held to the character classes alone. A language that shares many of those words (Italian, say) is
+judged by the closest reference.
 """
 
 from __future__ import annotations
@@ -17,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import map_texts, stage
+from snapmart.llm.common import byte_classes, map_texts, stage
 
 #: Common words by language; fixed values.
 COMMON_WORDS = {
@@ -31,25 +37,10 @@ WORDS = tuple(dict.fromkeys(w for words in COMMON_WORDS.values() for w in words)
 
 #: Windows of words whose repeats are counted.
 WINDOW = 8
-SYMBOLS = b"#*$%&|<>"
 _CLASSES = 9  # lower, upper, digit, blank, stop, exclamation, symbol, other, not ASCII; then the rest of a code point
 
 
-def _byte_classes() -> np.ndarray:
-    table = np.full(256, 7, dtype=np.int64)
-    table[ord("a") : ord("z") + 1] = 0
-    table[ord("A") : ord("Z") + 1] = 1
-    table[ord("0") : ord("9") + 1] = 2
-    table[[*range(9, 14), 32]] = 3
-    table[list(b".,;:?'\"()-")] = 4
-    table[ord("!")] = 5
-    table[list(SYMBOLS)] = 6
-    table[0xC0:] = 8
-    table[0x80:0xC0] = 9
-    return table
-
-
-_TABLE = _byte_classes()
+_TABLE = byte_classes()
 _PLACE = {w.encode(): i for i, w in enumerate(WORDS)}
 
 
@@ -63,6 +54,7 @@ class Limits:
     word_distance: float = 0.30
     word_words: int = 60
     word_slack: float = 14.0
+    known_share: float = 0.02  # common words per word from which a language counts as one of the four
 
 
 def _fold(codes: np.ndarray, step: int) -> np.ndarray:
@@ -184,10 +176,12 @@ def _verdicts(measured: DataFrame, table: dict[str, tuple[list[float], list[floa
         chars, words = c.sum(axis=1), w.sum(axis=1)
         class_limit = np.where(chars >= limits.class_chars, limits.class_distance + limits.class_slack / np.maximum(chars, 1), 2)
         word_limit = np.where(words >= limits.word_words, limits.word_distance + limits.word_slack / np.maximum(words, 1), 2)
-        ok = (by_class <= class_limit) & (by_word <= word_limit)
+        foreign = c[:, 8] > c[:, 0] + c[:, 1]
+        unknown = foreign | (words - w[:, -1] < limits.known_share * words)
+        ok = ((by_class <= class_limit) | foreign) & ((by_word <= word_limit) | unknown)
         best, row = np.argmin(by_class + by_word - 4 * ok, axis=0), np.arange(len(c))
         return pd.DataFrame({
-            "language": np.array(names, dtype=object)[best], "class_distance": by_class[best, row],
+            "language": np.where(unknown, None, np.array(names, dtype=object)[best]), "class_distance": by_class[best, row],
             "word_distance": by_word[best, row], "near": ok[best, row],
         })
 
@@ -199,7 +193,7 @@ def judge(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", te
     """One row per row of ``docs``: its id, the counts, the distances and ``kept``.
 
     Columns: n_words, word_chars (code points in words), n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, ``language`` (the closest), class_distance,
+    n_repeat_words, base_failed, ``language`` (the closest, null where none of the four applies), class_distance,
     word_distance, kept. A null text counts as empty: no words, so the base rules
     fail it. Where no document at all passes the base rules there are no
     references, and the distances are null. Repeated rows keep a row each; extra
