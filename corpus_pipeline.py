@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart.llm import decontaminate, line_crf, packing, secret_scan, simhash
+from snapmart.llm.common import free_name
 from snapmart.llm.queries import PACK_TOKENIZER
 from snapmart.session import scratch_path
 
@@ -35,9 +36,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets replaced by a mark and n_chars to match."""
-    clean = secret_scan.redact(secret_scan.scan(docs, out_col="__spans"), spans_col="__spans")
+    spans = free_name(docs, "secret_spans")
+    clean = secret_scan.redact(secret_scan.scan(docs, out_col=spans), spans_col=spans)
     return clean.withColumn("n_chars", F.when(
-        F.size("__spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).drop("__spans")
+        F.size(spans) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).drop(spans)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

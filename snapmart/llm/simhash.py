@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import map_texts, stage
+from snapmart.llm.common import free_name, map_texts, stage
 from snapmart.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -153,10 +153,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     that agree in id and text one stays.
     """
     prints, firsts = _grouped(docs, id_col, text_col, max_list)
-    kept = firsts.select(F.col("first.id").alias("__id"), F.col("first.text_key").alias("__key"))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__key"))
+    own_id, own_key = free_name(docs, "first_id"), free_name(docs, "first_text_key")
+    kept = firsts.select(F.col("first.id").alias(own_id), F.col("first.text_key").alias(own_key))
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(own_key))
     stays = docs.join(kept, same, "left_semi")
     repeated = (
         prints.groupBy("id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
-        .join(kept, F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")), "left_semi"))
+        .join(kept, F.col("id").eqNullSafe(F.col(own_id)) & (F.col("text_key") == F.col(own_key)), "left_semi"))
     return stays if repeated.isEmpty() else stays.dropDuplicates([id_col, text_col])

@@ -55,3 +55,20 @@ def test_stages_against_plain_restatements(spark, workdir):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_odd_tables(spark):
+    """Empty tables give no rows; null texts, repeated rows and columns with the stages' own names pass every stage."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = docs.limit(0).unionByName(docs).unionByName(docs.where("doc_id < 20")).withColumn(
+        "text", F.when(F.col("doc_id") % 50 == 7, None).otherwise(F.col("text"))).select(
+        "*", *(F.lit(c).alias(c) for c in ("__spans", "__id", "secret_spans", "base_spans", "first_id")))
+    for given in (odd, odd.limit(0)):
+        rows = given
+        for name, step in corpus_pipeline.STAGES:
+            rows = step(spark, rows, "/root/testdata/sf0.001")
+            if name != "packing":
+                assert rows.columns == given.columns
+        assert (rows.count() > 0) == (given is odd)

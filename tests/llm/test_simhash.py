@@ -79,3 +79,14 @@ def test_keep_first(spark):
 def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     assert found(op9_simhash(spark, SF_SMALL)) == expected(rows)
+
+
+def test_names_of_the_users_columns_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    names = ["__id", "__key", "first_id", "first_text_key", "id", "text_key", "fp"]
+    docs = documents(spark, [(1, "a b c d"), (2, "a b c d"), (3, "other words here"), (3, "other words here"), (None, None)]).select(
+        "*", *(F.lit(c).alias(c) for c in names))
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["__id"], r["first_id"]) for r in kept.collect()) == [(0, "__id", "first_id"), (1, "__id", "first_id"), (3, "__id", "first_id")]
