@@ -233,6 +233,16 @@ def _top_by_metric(k: int) -> str:
 )"""
 
 
+REPORT_COLUMNS = ["dataset", "check_name", "status", "failed_rows", "severity"]
+
+
+def _written(name: str, table: str, columns: list[str]) -> str:
+    """Rows and digest of what an output must hold: 48 bits of each line's MD5, added up."""
+    line = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns) + ")"
+    return (f"(SELECT count(*) FROM {table}) AS {name}_rows, (SELECT coalesce(CAST(sum(CAST('0x' || substr(md5({line}), 1, 12) AS BIGINT)) "
+            f"AS VARCHAR), '0') FROM {table}) AS {name}_digest")
+
+
 def _top1(value_col: str) -> str:
     return (f"(SELECT entity FROM mart ORDER BY {value_col} DESC NULLS LAST, {LIST_ORDER} "
             f"LIMIT 1)")
@@ -623,8 +633,9 @@ FROM top_metric""", BY_METRIC_CTE, _top_by_metric(8)),
     SELECT 'order', CAST(o_orderkey AS VARCHAR), 'order', o_orderstatus || ',"' || o_orderpriority FROM orders)
 SELECT *, sha256(id || '|' || label || '|' || metric) AS record_hash, true AS file_named, true AS ingested
 FROM rows""",
-        "file_discovery": """SELECT event_type, count(*) AS rows, min(event_id) AS first_event
-FROM events GROUP BY event_type""",
+        "file_discovery": """SELECT event_type, CAST(event_id % 4 AS INTEGER) AS part, true AS has_bytes,
+       count(*) AS rows, min(event_id) AS first_event
+FROM events GROUP BY event_type, event_id % 4""",
         "lake_counts": with_activity("""SELECT count(*) AS bronze_rows,
        count(*) FILTER (WHERE value >= 0) AS silver_rows, count(*) FILTER (WHERE value >= 0) AS export_rows
 FROM activity"""),
@@ -636,14 +647,17 @@ FROM activity"""),
        dataset AS source_file, {LAKE_KEY_SQL.format(x='entity')} AS lake_key
 FROM activity WHERE value >= 0"""),
         "run_manifest": with_mart(
-            """SELECT 'dim_entity,fct_activity,mart_entity_summary' AS gold_tables,
+            f"""SELECT 'dim_entity,fct_activity,mart_entity_summary' AS gold_tables,
        'data_quality_report,fact_by_metric,mart_entity_summary' AS extract_tables,
        'data_quality_report,summary_metrics,top_by_metric' AS result_files,
        (SELECT count(*) FROM dim) AS dim_entity_rows,
        (SELECT count(*) FROM fact) AS fct_activity_rows,
        (SELECT count(*) FROM mart) AS mart_entity_summary_rows,
+       {_written('report', 'checks', REPORT_COLUMNS)}, {_written('report_copy', 'checks', REPORT_COLUMNS)},
+       {_written('top_lists', 'top_metric', ['metric', 'position', 'entity_key'])},
+       {_written('fact_extracts', 'fact', ['metric', 'year', 'entity_key'])},
        CAST(18 AS BIGINT) AS quality_checks, CAST(0 AS BIGINT) AS quality_failures""",
-            FACT_CTE),
+            FACT_CTE, BY_METRIC_CTE, _top_by_metric(10), f"checks AS ({ACTIVITY_QUALITY})"),
         "incremental_ingest": """SELECT event_id, ts, user_id, event_type,
        CASE WHEN event_type = 'click' THEN value + 1.0 ELSE value END AS value, props
 FROM events""",

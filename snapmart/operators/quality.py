@@ -136,17 +136,19 @@ def _one_pass_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def quality_report(
     datasets: Mapping[str, DataFrame] | DataFrame,
     rules: Sequence[Rule] | Mapping[str, Sequence[Rule]],
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per (dataset, rule): status PASS iff 0 failures (Q7).
 
     ``datasets`` is either a mapping name -> DataFrame, or one long DataFrame
     with a ``dataset`` column. ``rules`` is one rule list for all datasets or
-    a mapping per dataset. Datasets without rows still get their rows.
+    a mapping per dataset. Datasets without rows still get their rows; of one long
+    frame with one rule list, those that ``names`` lists.
     """
     if isinstance(datasets, DataFrame):
         spark = datasets.sparkSession
         if not isinstance(rules, Mapping):
-            return _report_for(spark, datasets, None, list(rules))
+            return _report_for(spark, datasets, list(names) if names else None, list(rules))
         parts = [
             _report_for(spark, datasets.filter(F.col("dataset") == name), [name], list(r))
             for name, r in rules.items()

@@ -2,11 +2,11 @@
 
 ``dense_rank`` per metric is the textbook case of a window with few, huge
 partitions: ``Window.partitionBy("metric")`` would sort a third of the table in
-one task. :func:`dense_rank_by` range-partitions the rows themselves by
-(group, value, rest of the row), so that the rows of one hot value lie in several
-partitions, ranks inside each (partition, group), and adds an offset from a table
-that has one row per (partition, group). :func:`with_position` numbers rows in a
-total order the same way. Nothing is ever dealt out or joined by the value.
+one task. :func:`dense_rank_by` gives every row a range of its group instead, by
+bounds that a quantile sketch found, so that the rows of one hot value lie in several
+ranges; it ranks inside each (group, range), and adds an offset from a table
+that has one row per (group, range). Only the bounds are written, never the rows. :func:`with_position`
+numbers rows in a total order by a range shuffle. Nothing is ever dealt out or joined by the value.
 
 Top-k uses ``row_number() <= k`` over a partitioned window, which Catalyst
 plans as a partial ``WindowGroupLimit`` before the shuffle: each map task
@@ -15,11 +15,12 @@ forwards at most k rows per group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _ID_BITS = 33  # monotonically_increasing_id keeps the record number in the low 33 bits
 
@@ -32,18 +33,68 @@ def _nulls_last(name: str, descending: bool = False) -> Column:
     return F.col(name).desc_nulls_last() if descending else F.col(name).asc_nulls_last()
 
 
+#: Types of which Spark sketches quantiles.
+_SKETCHED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _is_sketched(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, _SKETCHED)
+
+
+def _bounds(df: DataFrame, groups: Sequence[str], names: Sequence[str], order_col: str, descending: bool, ranges: int) -> DataFrame:
+    """(group, array of range bounds in order, number of ranges that its nulls deserve), one row per group, written.
+
+    Written, because a sketch may differ between two runs, and all readers must see the same ranges.
+    """
+    from snapmart.sources.sinks import stage_table
+
+    value, none = F.col(order_col), F.array().cast(T.ArrayType(df.schema[order_col].dataType))
+    shares = [i / ranges for i in range(1, ranges)]
+    found = F.approx_percentile(value, shares, max(10_000, 4 * ranges)) if shares else F.max(none)
+    nulls = F.count_if(value.isNull()) / F.greatest(F.count(F.lit(1)), F.lit(1))
+    sketched = df.groupBy(*[F.col(g).alias(n) for g, n in zip(groups, names)]).agg(
+        F.sort_array(F.coalesce(found, none), asc=not descending).alias("__bounds"),
+        F.greatest(F.ceil(nulls * ranges), F.lit(1)).alias("__null_ranges"))
+    return stage_table(sketched, "rank-bounds")
+
+
+def _count_before(bounds: Column, holds: Callable[[Column], Column], ranges: int) -> Column:
+    """How many bounds, from the first, ``holds`` is true of: found by halving."""
+    steps = [1 << i for i in range(ranges.bit_length(), -1, -1)]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(bounds)) & F.coalesce(holds(F.get(bounds, at + step - 1)), F.lit(False)), at + step).otherwise(at))
+
+
 def ranged(
     df: DataFrame, groups: Sequence[str], order_col: str, descending: bool = True, num_partitions: int | None = None
 ) -> DataFrame:
-    """``df`` range-partitioned by (groups, value, hash of the row), with ``__part``.
+    """``df`` with ``__part``: the number of a row's range among its group's, ascending in the stated order.
 
-    The hash lets a range end between two rows of the same value; only rows that
-    agree in every column must stay together.
+    A group has ``num_partitions`` ranges of about the same size. A value that
+    fills several of them has its rows spread over these by a hash of the row, and so have nulls, which
+    come last: only rows that agree in every column must stay together. Values without a
+    quantile sketch (texts, say) are range-partitioned over all groups instead.
     """
-    order = [*[_nulls_last(g) for g in groups], _nulls_last(order_col, descending)]
-    return df.repartitionByRange(
-        _partitions(df, num_partitions), *order, F.xxhash64(*df.columns).asc()
-    ).withColumn("__part", F.spark_partition_id())
+    ranges = _partitions(df, num_partitions)
+    if not _is_sketched(df, order_col):
+        order = [*[_nulls_last(g) for g in groups], _nulls_last(order_col, descending)]
+        return df.repartitionByRange(ranges, *order, F.xxhash64(*df.columns).asc()).withColumn("__part", F.spark_partition_id())
+    names = [f"__b{i}" for i in range(len(groups))]
+    bounds = _bounds(df, groups, names, order_col, descending, ranges)
+    if groups:
+        same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(groups, names)])
+        rows, cuts, null_ranges = df.join(bounds, same), F.col("__bounds"), F.col("__null_ranges")
+    else:
+        one = bounds.first()  # a row of at most ``ranges`` bounds
+        cuts = F.array(*map(F.lit, one["__bounds"])).cast(bounds.schema["__bounds"].dataType)
+        rows, null_ranges = df, F.lit(one["__null_ranges"])
+    value, draw = F.col(order_col), F.xxhash64(*[df[c] for c in df.columns])
+    low = _count_before(cuts, (lambda b: b > value) if descending else (lambda b: b < value), ranges)
+    high = _count_before(cuts, (lambda b: b >= value) if descending else (lambda b: b <= value), ranges)
+    placed = rows.select(*df.columns, F.when(value.isNull(), ranges + F.pmod(draw, null_ranges)).otherwise(
+        F.element_at(F.transform(F.array(F.struct(low.alias("low"), high.alias("high"))), lambda r: r["low"] + F.pmod(draw, r["high"] - r["low"] + 1)), 1)
+    ).cast("long").alias("__part"))
+    return placed
 
 
 def dense_rank_by(
@@ -59,28 +110,32 @@ def dense_rank_by(
     Nulls rank last in both directions (the SQL default for DESC in most
     engines; stated explicitly here so ascending ranks agree too).
 
-    Steps: range-partition the rows (:func:`ranged`); dense rank inside each
-    (range, group), each of which is one task's share; write that to the shared
-    folder, which fixes the ranges even if executors are lost; per (range, group)
+    Steps: give each row a range (:func:`ranged`); dense rank inside each
+    (group, range), each of which is one task's share; per (group, range)
     the number of values with the first and last one; prefix sums per group over
     that small table, less one wherever a value continues from the range before;
-    add the offset. The join is on (range, group): a hot value's rows are spread
+    add the offset. The join is on (group, range): a hot value's rows are spread
     over its ranges. Nothing is collected.
+
+    ``df`` is read three times, twice for a few columns only; a costly plan is best
+    given as a written layer. Ranges of values without a sketch aren't the same in two runs, so such rows are written.
     """
     from snapmart.sources.sinks import stage_table
 
     groups = list(partition_by)
-    inside = Window.partitionBy("__part", *groups).orderBy(_nulls_last(order_col, descending))
-    located = stage_table(
-        ranged(df, groups, order_col, descending, num_partitions)
-        .withColumn("__local", F.dense_rank().over(inside).cast("long")), "ranked")
-
     # renamed copies, so that the join back never sees two lineages of one column
-    g_names = [f"__g{i}" for i in range(len(groups))]
+    own, g_names = [f"__g{i}_row" for i in range(len(groups))], [f"__g{i}" for i in range(len(groups))]
+    inside = Window.partitionBy(*own, "__part").orderBy(_nulls_last(order_col, descending))
+    located = ranged(df, groups, order_col, descending, num_partitions).select(
+        *df.columns, *[F.col(g).alias(n) for g, n in zip(groups, own)], "__part"
+    ).withColumn("__local", F.dense_rank().over(inside).cast("long"))
+    if not _is_sketched(df, order_col):
+        located = stage_table(located, "ranked")
+
     value, low, high = F.col("__v"), F.min("__v"), F.max("__v")
     first, last = (high, low) if descending else (low, high)
     spans = located.select(
-        F.col("__part").alias("__opart"), *[F.col(g).alias(n) for g, n in zip(groups, g_names)],
+        F.col("__part").alias("__opart"), *[F.col(n).alias(g) for n, g in zip(own, g_names)],
         F.col(order_col).alias("__v"), "__local",
     ).groupBy("__opart", *g_names).agg(
         F.max("__local").alias("__n"), first.alias("__first"),
@@ -94,7 +149,7 @@ def dense_rank_by(
     offsets = carried.select(
         "__opart", *g_names, (F.sum(F.col("__n") - F.col("__carried")).over(so_far) - F.col("__n")).alias("__off"))
     cond = [F.col("__part") == F.col("__opart")]
-    cond += [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(groups, g_names)]
+    cond += [F.col(n).eqNullSafe(F.col(g)) for n, g in zip(own, g_names)]
     # ``offsets`` has one row per (range, group): small, AQE broadcasts it.
     return located.join(offsets, on=reduce(lambda a, b: a & b, cond)).select(
         *df.columns, (F.col("__local") + F.col("__off")).alias(rank_col))

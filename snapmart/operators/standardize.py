@@ -13,7 +13,7 @@ from snapmart.operators.dedupe import keep_last
 from snapmart.operators.quality import strip_whitespace
 
 DEFAULT_ORDER = ("ingested_at_utc", "source_file")
-FILE_ORDER = ("ingested_at_utc", "source_file", "source_block", "source_row")
+FILE_ORDER = ("ingested_at_utc", "source_path", "source_block", "source_row")
 
 
 def standardize(

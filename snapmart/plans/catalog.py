@@ -90,7 +90,7 @@ def q_metric_summary(spark, sf_dir):
 
 def q_entity_rankings(spark, sf_dir):
     """Dense rank of the value per metric, distributed."""
-    return models.rankings(q_stg_activity(spark, sf_dir), SPEC)
+    return models.rankings(models.staging(_fact(spark, sf_dir, staged=True), SPEC), SPEC)
 
 
 def q_model_tests(spark, sf_dir):
@@ -320,18 +320,10 @@ def q_lake_silver_filter(spark, sf_dir):
 def q_metric_domain(spark, sf_dir):
     """S10 per dataset of the activity snapshot: values other than the expected
     metric and the number of non-null metric cells."""
-    act = activity.activity_long(spark, sf_dir)
-    expected = F.create_map(*[x for s in activity.ACTIVITY_SOURCES
-                              for x in (F.lit(s.dataset), F.lit(s.metric))])
-    return act.groupBy("dataset").agg(
-        F.first(expected[F.col("dataset")]).alias("expected_metric"),
-        F.count_if(F.col("metric") != expected[F.col("dataset")]).alias("other_values"),
-        F.count("metric").alias("present"),
-    ).withColumn("ok", (F.col("other_values") == 0) & (F.col("present") > 0))
+    expected = {source.dataset: source.metric for source in activity.ACTIVITY_SOURCES}
+    return files.metric_domain(activity.activity_long(spark, sf_dir), expected)
 
 
-# -- upsert ---------------------------------------------------------------------
-
 def _before_2000():
     return F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")
 
@@ -421,7 +413,7 @@ def q_ordered_outputs(spark, sf_dir):
     for name, (df, order) in tables.items():
         write_csv(df, f"{root}/{name}", order)
         lines = files.read_raw_csv(spark, [f"{root}/{name}"], required=[SPEC.key_col], label=name)
-        placed = with_position(lines, [F.col(c).asc() for c in ("source_file", "source_block", "source_row")])
+        placed = with_position(lines, [F.col(c).asc() for c in ("source_path", "source_block", "source_row")])
         has = set(df.columns)
         part = placed.select(
             F.lit(name).alias("table_name"), "position", SPEC.key_col,
@@ -540,15 +532,20 @@ def q_bronze_lineage(spark, sf_dir):
 
 
 def q_file_discovery(spark, sf_dir):
-    """The events' files, landed in a folder per type, found recursively;
-    every file's rows are counted under its folder."""
+    """The events' files, landed in nested folders, found recursively as a table
+    with one row per file, each beside the rows read from it."""
     root = scratch_path(spark, "found")
     events = read_table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    events.withColumn("type", F.col("event_type")).write.partitionBy("type").options(**files.CSV_OPTIONS).csv(f"{root}/deep/er")
-    paths = files.require_files(files.discover_files(spark, root), "events")
-    raw = files.read_raw_csv(spark, paths, required=events.columns, label="events")
-    return raw.groupBy("event_type").agg(
+    dealt = events.withColumn("type", F.col("event_type")).withColumn("part", F.pmod("event_id", F.lit(4)))
+    dealt.repartition("type", "part").write.partitionBy("type", "part").options(**files.CSV_OPTIONS).csv(f"{root}/deep/er")
+    listed = files.list_files(spark, root)
+    raw = files.read_raw_csv(spark, [root], required=events.columns, label="events")
+    per_file = raw.groupBy("source_path").agg(
         F.count(F.lit(1)).alias("rows"), F.min(F.col("event_id").cast("long")).alias("first_event"))
+    folder = lambda name: F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
+    return listed.join(per_file, listed["path"] == per_file["source_path"], "left").select(
+        folder("type").alias("event_type"), folder("part").cast("int").alias("part"),
+        (F.col("length") > 0).alias("has_bytes"), F.coalesce("rows", F.lit(0)).alias("rows"), "first_event")
 
 
 def q_lake_run(spark, sf_dir):
@@ -571,8 +568,8 @@ def q_lake_counts(spark, sf_dir):
 def q_incremental_ingest(spark, sf_dir):
     """Two availableNow runs on one checkpoint. Run 1 ingests all events;
     run 2 sees only the newly landed re-valued click events. The table is
-    partitioned by event type (part of the merge key), so run 2 rewrites the
-    ``click`` folder only."""
+    partitioned by event type (part of the merge key), so run 2 reads and writes the
+    ``click`` partition only."""
     root = scratch_path(spark, "ingest")
     events = read_table(spark, sf_dir, "events")
     target = VersionedTable(spark, f"{root}/table", partition_by=["event_type"])
@@ -605,6 +602,7 @@ def q_run_manifest(spark, sf_dir):
         *[F.array_join(c, ",").alias(c) for c in ("gold_tables", "extract_tables",
                                                  "result_files")],
         *[F.col("row_counts")[t].alias(f"{t}_rows") for t in outputs.GOLD_NAMES],
+        *[F.col("digests")[t][part].alias(f"{t}_{part}") for t in outputs.DIGESTED for part in ("rows", "digest")],
         "quality_checks",
         "quality_failures",
     )

@@ -17,7 +17,7 @@ from snapmart.operators import quality as q
 from snapmart.operators.marts import ACTIVITY_MART, MartSpec, build_dimension, build_fact, build_mart
 from snapmart.operators.marts import reference_rows
 from snapmart.operators.standardize import lake_silver, standardize
-from snapmart.plans.activity import SNAPSHOT_COLUMNS, activity_long
+from snapmart.plans.activity import ACTIVITY_SOURCES, SNAPSHOT_COLUMNS, activity_long
 from snapmart.sources.files import stamp_lineage
 from snapmart.sources.lake import VersionedTable
 from snapmart.sources.sinks import stage_table, write_csv
@@ -52,7 +52,7 @@ def activity_rules() -> list[q.Rule]:
 
 def activity_quality(bronze: DataFrame) -> DataFrame:
     """The six snapshot checks per dataset in one pass (Q1-Q7)."""
-    return q.quality_report(bronze, activity_rules())
+    return q.quality_report(bronze, activity_rules(), [source.dataset for source in ACTIVITY_SOURCES])
 
 
 def activity_silver(bronze: DataFrame) -> DataFrame:
@@ -159,13 +159,13 @@ def run_snapshot(
     """
     from snapmart.operators.marts import ENERGY_MART
     from snapmart.plans.outputs import write_outputs
-    from snapmart.sources.files import REQUIRED_COLUMNS, load_bronze
+    from snapmart.sources.files import REQUIRED_COLUMNS, stage_bronze
 
     spec = spec or ENERGY_MART
     root = root.rstrip("/")
-    bronze = stage_table(load_bronze(spark, sources), "bronze", f"{root}/lakehouse/bronze",
-                         partition_by=["dataset"])
-    report = q.quality_report(bronze, rules or q.snapshot_rules(REQUIRED_COLUMNS))
+    bronze = stage_bronze(spark, sources, f"{root}/lakehouse/bronze")
+    report = q.quality_report(
+        bronze, rules or q.snapshot_rules(REQUIRED_COLUMNS), list(dict.fromkeys(source.dataset for source in sources)))
     report_path = f"{root}/results/data_quality_report"
     write_csv(report, report_path)
     q.enforce_gate(report, report_path)

@@ -5,7 +5,7 @@ from snapmart.sources.files import (
     discover_files,
     load_bronze,
     read_raw_csv,
-    require_files,
+    list_files,
     stamp_lineage,
 )
 from snapmart.sources.lake import VersionedTable
@@ -18,7 +18,7 @@ __all__ = [
     "load_bronze",
     "publish_views",
     "read_raw_csv",
-    "require_files",
+    "list_files",
     "stage_table",
     "stamp_lineage",
     "write_csv",

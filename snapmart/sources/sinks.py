@@ -14,10 +14,10 @@ from snapmart.session import scratch_path
 from snapmart.sources.files import CSV_OPTIONS
 
 
-def write_csv(df: DataFrame, path: str, order_by: Sequence[Column] = ()) -> None:
-    """Header CSV, full overwrite (K1, K8)."""
+def write_csv(df: DataFrame, path: str, order_by: Sequence[Column] = (), partition_by: Sequence[str] = ()) -> None:
+    """Header CSV, full overwrite (K1, K8); with ``partition_by`` a folder for each value."""
     out = df.orderBy(*order_by) if order_by else df
-    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy(*partition_by).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -30,7 +30,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 def write_metric_extracts(fact: DataFrame, path: str, metric_col: str = "metric") -> None:
     """All per-metric extracts in one pass: ``{path}/metric=<m>/`` (K7)."""
-    fact.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy(metric_col).csv(path)
+    write_csv(fact, path, partition_by=[metric_col])
 
 
 def write_json_document(df: DataFrame, path: str) -> None:

@@ -168,3 +168,19 @@ def test_snapshot_run_end_to_end(spark, workdir):
             "oil", (f"{workdir}/src2/oil.csv",), "oil_production")], f"{workdir}/out2")
     assert any(f.endswith(".csv") for f in os.listdir(
         f"{workdir}/out2/results/data_quality_report"))
+
+
+def test_extrema_start_no_job(spark, workdir):
+    """The score's extrema are a subquery of the mart's plan."""
+    from snapmart.operators.marts import ACTIVITY_MART, add_score
+
+    wide = spark.createDataFrame([(float(i), float(i * 2), float(i % 7)) for i in range(1, 50)], ", ".join(
+        f"{m.value_column} double" for m in ACTIVITY_MART.metrics))
+    sc = spark.sparkContext
+    sc.setJobGroup("extrema", "")
+    try:
+        scored = add_score(wide, ACTIVITY_MART)
+        assert not sc.statusTracker().getJobIdsForGroup("extrema")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert scored.where(f"{ACTIVITY_MART.score_col} between 0 and 100").count() == 49

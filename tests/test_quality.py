@@ -134,3 +134,9 @@ def test_totals_are_not_rounded_unless_asked(spark):
     df = spark.createDataFrame([(1.005,), (0.004,), (0.004,)], "v double")
     assert abs(df.agg(exact_sum("v", None)).first()[0] - 1.013) < 1e-12
     assert df.agg(exact_sum("v", 6)).first()[0] == 1.013
+
+
+def test_a_named_dataset_without_rows_stays_in_the_report(spark):
+    df = spark.createDataFrame([("oil", "a")], "dataset string, k string")
+    report = q.quality_report(df, [q.column_not_null("k")], ["oil", "gas"])
+    assert sorted((r.dataset, r.status) for r in report.collect()) == [("gas", "PASS"), ("oil", "PASS")]

@@ -99,3 +99,30 @@ def test_dense_rank_and_mart_on_empty_input(spark):
     mart = build_mart(rows, ACTIVITY_MART)
     assert mart.count() == 0
     assert mart.columns == ACTIVITY_MART.output_columns()
+
+
+def test_dense_rank_of_odd_types_and_values(spark):
+    """Texts (no sketch), dates, decimals, NaN and infinities, groups of nulls alone, hot nulls."""
+    rnd = random.Random(17)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, float("nan"), float("inf"), -float("inf"), -0.0, *map(float, range(9))]), i) for i in range(900)]
+    rows += [("only-null", None, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, v double, id int").select(
+        "*", F.col("v").cast("string").alias("text"), F.expr("date_add(date'2024-01-01', id % 40)").alias("day"),
+        F.expr("cast(id % 70 as decimal(20,3))").alias("money"))
+    for column in ("v", "text", "day", "money"):
+        for down in (True, False):
+            got = dense_rank_by(df, ["g"], column, descending=down, num_partitions=6)
+            key = lambda r: (r["id"], r["g"] or "", r["rank"])
+            want = sorted(map(key, _brute(df, ["g"], column, descending=down).collect()))
+            assert sorted(map(key, got.collect())) == want, (column, down)
+
+
+def test_rank_writes_no_rows(spark, monkeypatch):
+    from snapmart.sources import sinks
+
+    written = []
+    real = sinks.stage_table
+    monkeypatch.setattr(sinks, "stage_table", lambda df, label, *a, **k: written.append((label, df.columns)) or real(df, label, *a, **k))
+    df = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    assert dense_rank_by(df, ["g"], "v").count() == 100
+    assert written == [("rank-bounds", ["__b0", "__bounds", "__null_ranges"])]

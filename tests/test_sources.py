@@ -36,8 +36,9 @@ def test_discovery_of_missing_or_empty_directory(spark, workdir):
     assert files.discover_files(spark, f"{workdir}/absent") == []
     os.makedirs(f"{workdir}/empty")
     assert files.discover_files(spark, f"{workdir}/empty") == []
+    assert files.list_files(spark, f"{workdir}/absent").count() == 0
     with pytest.raises(FileNotFoundError, match="nothing to read"):
-        files.require_files([], "source")
+        files.read_raw_csv(spark, [], label="source")
 
 
 def test_missing_columns_are_listed_sorted(spark, workdir):
@@ -237,3 +238,43 @@ def test_a_changed_type_rewrites_every_partition(spark, workdir):
     table.upsert(spark.createDataFrame([("a", 1, 5), ("b", 1, 6)], "p string, k int, v int"), ["p", "k"])
     table.upsert(spark.createDataFrame([("a", 1, 5.75)], "p string, k int, v double"), ["p", "k"])
     assert _rows(table.read()) == [("a", 1, 5.75), ("b", 1, 6.0)]
+
+
+def test_the_listing_is_a_table(spark, workdir):
+    _write(f"{workdir}/b b.csv", ["x", "1"])
+    _write(f"{workdir}/nested/a+%.csv", ["x", "22"])
+    rows = files.list_files(spark, workdir).orderBy("length").collect()
+    assert [os.path.basename(r.path) for r in rows] == ["b b.csv", "a+%.csv"] and [r.length for r in rows] == [4, 5]
+    raw = files.read_raw_csv(spark, [workdir], required=["x"])
+    assert {r.source_path for r in raw.collect()} == {r.path for r in rows}
+
+
+def test_files_of_one_name_are_ordered_by_their_folder(spark, workdir):
+    from snapmart.operators.standardize import standardize
+
+    for folder, value in (("a", "1"), ("b", "2")):
+        _write(f"{workdir}/{folder}/part-0.csv", [HEADER, _row("X", value=value)])
+    raw = files.read_raw_csv(spark, [workdir])
+    silver = standardize(files.stamp_lineage(raw)).collect()
+    assert [(r.value, r.source_file) for r in silver] == [(2.0, "part-0.csv")]
+
+
+def test_staged_bronze_parses_every_file_once(spark, workdir):
+    """One job for each header, one that parses and writes; the check of the metric reads nothing again."""
+    sources = []
+    for name in ("oil", "gas"):
+        _write(f"{workdir}/{name}.csv", [HEADER, _row("A"), _row("B")])
+        sources.append(files.SnapshotSource(name, (f"{workdir}/{name}.csv",), "oil_production"))
+    sc = spark.sparkContext
+    sc.setJobGroup("stage-bronze", "")
+    try:
+        bronze = files.stage_bronze(spark, sources, f"{workdir}/bronze")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("stage-bronze")) == 3
+    assert bronze.groupBy("dataset").count().count() == 2 and "FileScan csv" not in bronze._jdf.queryExecution().toString()
+    _write(f"{workdir}/bad.csv", [HEADER, _row("A"), _row("B", metric="well_count")])
+    _write(f"{workdir}/none.csv", [HEADER])
+    for name in ("bad", "none"):
+        with pytest.raises(files.MetricDomainError, match="holds values other than"):
+            files.stage_bronze(spark, [*sources, files.SnapshotSource(name, (f"{workdir}/{name}.csv",), "oil_production")], f"{workdir}/again-{name}")
