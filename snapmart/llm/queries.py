@@ -87,35 +87,28 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dated list over the pages' own hosts, domains, directories and URLs.
+    """A dated list over the pages' own hosts, domains, directories of every depth and URLs.
 
     The given tables hold no list, so days and actions come from a hash of the
     pattern and the number of the entry; about one URL in eight is listed by itself.
     """
     url = F.col("url")
-    pages = _table(spark, sf_dir, "pages").select("url").where(url_filter.host_of(url) != "")
-
-    def dated(kind: str, patterns: DataFrame, entries: int) -> DataFrame:
-        digest = F.md5(F.concat_ws(":", F.lit(kind), F.col("pattern"), F.col("entry").cast("string")))
-        number = lambda at, size: F.conv(F.substring(digest, at, size), 16, 10).cast("int")
-        return patterns.distinct().select("pattern", F.explode(F.sequence(F.lit(1), F.lit(entries))).alias("entry")).select(
-            F.lit(kind).alias("kind"), "pattern",
-            F.element_at(F.array(*map(F.lit, ("block", "block", "allow", "remove"))), number(5, 2) % 4 + 1).alias("action"),
-            F.date_add(F.lit("2024-01-01").cast("date"), number(1, 4) % 365).alias("listed_at"))
-
-    host = url_filter.host_of(url)
-    keys = pages.select(url_filter.url_key(url).alias("pattern"))
-    lists = (
-        ("domain", pages.select(F.array_join(F.slice(F.split(host, r"\."), -2, 2), ".").alias("pattern")).where("pattern like '%.%'"), 2),
-        ("host", pages.select(host.alias("pattern")), 4),
-        ("prefix", pages.select(url_filter.prefixes_of(url).alias("p")).where("size(p) > 0").select(F.col("p")[0].alias("pattern")), 2),
-        ("url", keys.where(F.substring(F.md5("pattern"), 1, 1).isin("0", "1")), 3),
-    )
-    out = None
-    for kind, patterns, entries in lists:
-        part = dated(kind, patterns, entries)
-        out = part if out is None else out.unionByName(part)
-    return out
+    host, key = url_filter.host_of(url), url_filter.url_key(url)
+
+    def named(kind: str, patterns: Column, entries: int) -> Column:
+        return F.transform(patterns, lambda p: F.struct(F.lit(kind).alias("kind"), p.alias("pattern"), F.lit(entries).alias("entries")))
+
+    patterns = _table(spark, sf_dir, "pages").where(host != "").select(F.explode(F.concat(
+        named("domain", F.slice(F.reverse(url_filter.domains_of(host)), 1, 1), 2), named("host", F.array(host), 4),
+        named("prefix", url_filter.prefixes_of(url), 2),
+        named("url", F.filter(F.array(key), lambda k: F.substring(F.md5(k), 1, 1).isin("0", "1")), 3),
+    )).alias("p")).select("p.*").distinct()
+    digest = F.md5(F.concat_ws(":", F.col("kind"), F.col("pattern"), F.col("entry").cast("string")))
+    number = lambda at, size: F.conv(F.substring(digest, at, size), 16, 10).cast("int")
+    return patterns.select("kind", "pattern", F.explode(F.sequence(F.lit(1), F.col("entries"))).alias("entry")).select(
+        "kind", "pattern",
+        F.element_at(F.array(*map(F.lit, ("block", "block", "allow", "remove"))), number(5, 2) % 4 + 1).alias("action"),
+        F.date_add(F.lit("2024-01-01").cast("date"), number(1, 4) % 365).alias("listed_at"))
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +240,8 @@ ORACLE: dict[str, str] = {
 WITH entries AS ({" UNION ALL ".join((
         _dated("domain", f"SELECT array_to_string((string_split({_HOST}, '.'))[-2:], '.') AS pattern FROM pages WHERE {_HOST} LIKE '%.%'", 2),
         _dated("host", f"SELECT {_HOST} AS pattern FROM pages WHERE {_HOST} <> ''", 4),
-        _dated("prefix", f"SELECT {_HOST} || '/' || ({_DIRS})[1] || '/' AS pattern FROM pages WHERE {_HOST} <> '' AND len({_DIRS}) > 0", 2),
+        _dated("prefix", f"SELECT {_HOST} || '/' || array_to_string(({_DIRS})[:i], '/') || '/' AS pattern "
+               f"FROM (SELECT url, unnest(range(1, len({_DIRS}) + 1)) AS i FROM pages WHERE {_HOST} <> '')", 2),
         _dated("url", f"SELECT pattern FROM (SELECT {_KEY} AS pattern FROM pages WHERE {_HOST} <> '') WHERE substr(md5(pattern), 1, 1) IN ('0', '1')", 3),
     ))}),
 daily AS (
@@ -262,9 +256,9 @@ named AS (
   SELECT page_id, 'url' AS kind, key AS pattern FROM captures WHERE host <> ''
   UNION ALL SELECT page_id, 'host', host FROM captures WHERE host <> ''
   UNION ALL SELECT page_id, 'prefix', host || '/' || array_to_string(dirs[:i], '/') || '/'
-    FROM captures, (SELECT unnest([1, 2, 3]) AS i) WHERE host <> '' AND i <= len(dirs)
+    FROM (SELECT *, unnest(range(1, len(dirs) + 1)) AS i FROM captures WHERE host <> '')
   UNION ALL SELECT page_id, 'domain', array_to_string(string_split(host, '.')[i:], '.')
-    FROM captures, (SELECT unnest(range(1, 12)) AS i) WHERE i < len(string_split(host, '.'))),
+    FROM (SELECT *, unnest(range(1, len(string_split(host, '.')))) AS i FROM captures)),
 met AS (
   SELECT c.page_id, n.kind, n.pattern, v.rank, v.valid_from, row_number() OVER (
       PARTITION BY c.page_id ORDER BY CASE n.kind WHEN 'url' THEN 3 WHEN 'prefix' THEN 2 WHEN 'host' THEN 1 ELSE 0 END DESC,

@@ -5,25 +5,26 @@ allowed, or no longer listed. Entries become validity intervals, and every captu
 is judged by the entries in force on the day it was fetched. Patterns name a URL,
 a directory, a host, or a domain with all below it; the narrowest one in force decides.
 
-The as-of join is an equi-join on pattern and period: an interval is repeated for
-each period that it touches, so that a capture meets the few intervals of its own
-period and not a pattern's whole history, and a busy host is dealt out by period
-and by a salt.
+The as-of join is an equi-join on the pattern, whose history is one row however old
+it is: its entries in order of their days, among which a capture finds the one in force
+by halving. Captures below a busy host or domain are dealt out by a salt, for which
+only the entries below such names are repeated.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: Kinds of pattern, from wide to narrow.
 KINDS = ("domain", "host", "prefix", "url")
 #: Of entries for one pattern on one day the first of these counts.
 ACTIONS = ("block", "allow", "remove")
-#: Days in a period, and copies of the list that a hot host is dealt over.
-PERIOD_DAYS = 32
-SALTS = 8
+#: A host or domain with one in so many of the captures is hot; copies of the entries below it, over which its captures are dealt.
+HOT_SHARE = 256
+SALTS = 32
+#: Halving steps; 2 ** 22 days are more than dates can hold.
+_STEPS = [1 << k for k in reversed(range(22))]
 
 _AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]*)"
 _PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)"
@@ -84,27 +85,34 @@ def _rank(value: Column, order: tuple[str, ...]) -> Column:
     return out
 
 
-def validity(entries: DataFrame) -> DataFrame:
-    """(kind, pattern, action, valid_from, valid_to): days from, and up to but without, the next entry.
+def histories(entries: DataFrame) -> DataFrame:
+    """(kind, pattern, history): a row for each pattern, its entries array<struct<day, rank>> in order of their days.
 
-    ``valid_to`` is null for the last one. Entries are first reduced to one for
-    each pattern and day, so the window holds at most as many rows of a pattern
-    as the list has days, however many entries name it. Entries with a null, an
-    unknown kind or an unknown action are ignored.
+    An entry holds up to the next one's day. Entries are first reduced to one for each
+    pattern and day, so a history has at most as many entries as the list has days,
+    however many rows name the pattern. Entries with a null, an unknown kind or an
+    unknown action are ignored.
     """
     known = entries.select(
         F.col("kind"), F.col("pattern"), F.to_date("listed_at").alias("day"), _rank(F.col("action"), ACTIONS).alias("rank"),
     ).where(F.col("kind").isin(*KINDS) & F.col("pattern").isNotNull() & F.col("day").isNotNull() & F.col("rank").isNotNull())
     daily = known.groupBy("kind", "pattern", "day").agg(F.min("rank").alias("rank"))
-    following = F.lead("day").over(Window.partitionBy("kind", "pattern").orderBy("day"))
-    return daily.select(
-        "kind", "pattern", F.element_at(F.array(*map(F.lit, ACTIONS)), F.col("rank") + 1).alias("action"),
-        F.col("day").alias("valid_from"), following.alias("valid_to"),
-    )
+    return daily.groupBy("kind", "pattern").agg(F.sort_array(F.collect_list(F.struct("day", "rank"))).alias("history"))
 
 
-def _period(day: Column) -> Column:
-    return F.floor(F.unix_date(day) / PERIOD_DAYS).cast("int")
+def _in_force(history: Column, day: Column) -> Column:
+    """The last entry of ``history`` up to ``day``, found by halving; null if there is none."""
+    last = F.aggregate(F.array(*map(F.lit, _STEPS)), F.lit(0), lambda at, step: F.when(
+        F.get(history, at + step - 1)["day"] <= day, at + step).otherwise(at))
+    return F.get(history, last - 1)
+
+
+def hot_names(urls: DataFrame, url_col: str = "url") -> list[str]:
+    """Hosts and domains with at least one in HOT_SHARE of the rows; at most HOT_SHARE times the labels of a host."""
+    hosts = urls.groupBy(host_of(F.col(url_col)).alias("host")).agg(F.count("*").alias("n"))
+    names = hosts.select("n", F.explode(F.array_union(F.array("host"), domains_of(F.col("host")))).alias("name"))
+    counted = names.groupBy("name").agg(F.sum("n").alias("n"))
+    return [r["name"] for r in counted.where(F.col("n") * HOT_SHARE >= urls.select(F.count("*")).scalar()).collect()]
 
 
 def judge(
@@ -120,34 +128,30 @@ def judge(
     A null URL, one without host, and a null time match nothing. Repeated rows
     keep a row each. Other columns of either table are ignored. An empty list
     blocks nothing. Directories are looked up as far down as the list goes, which
-    takes one small job at once, as does the last day.
+    takes one small job at once, as do the hot names.
     """
     rows = captures.select(
         F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.to_date(F.col(time_col)).alias("fetched_on"))
     distinct = rows.groupBy("id", "url", "fetched_on").agg(F.count("*").alias("copies"))
-    last = distinct.agg(F.max("fetched_on")).first()[0]
-    period = F.explode(F.sequence(_period(F.col("valid_from")), F.greatest(
-        _period(F.col("valid_from")), _period(F.least(F.date_sub(F.col("valid_to"), 1), F.lit(last).cast("date"))))))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    in_force = (
-        validity(entries).where(F.col("action") != "remove")
-        .select("*", period.alias("period")).select("*", salts.alias("salt"))
-    )
+    hot = F.substring_index("pattern", "/", 1).isin(hot_names(rows))
+    salts = F.explode(F.sequence(F.lit(0), F.when(hot, F.lit(SALTS - 1)).otherwise(F.lit(0))))
+    listed = histories(entries).select("*", salts.alias("salt"))
     named = distinct.select(
-        "id", "url", "fetched_on", _period(F.col("fetched_on")).alias("period"),
-        F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int").alias("salt"), F.explode(_patterns(F.col("url"), _deepest(entries))).alias("p"),
-    ).select("id", "url", "fetched_on", "period", "salt", "p.kind", "p.pattern")
-    met = named.join(in_force, ["kind", "pattern", "period", "salt"]).where(
-        (F.col("fetched_on") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("fetched_on") < F.col("valid_to"))))
-    deciding = met.groupBy("id", "url", "fetched_on").agg(F.max(F.struct(
+        "id", "url", "fetched_on", F.explode(_patterns(F.col("url"), _deepest(entries))).alias("p"),
+    ).select("id", "url", "fetched_on", "p.kind", "p.pattern").withColumn(
+        "salt", F.when(hot, F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
+    met = named.join(listed, ["kind", "pattern", "salt"]).select(
+        "id", "url", "fetched_on", "kind", "pattern", _in_force(F.col("history"), F.col("fetched_on")).alias("entry"))
+    removed = ACTIONS.index("remove")
+    deciding = met.groupBy("id", "url", "fetched_on").agg(F.max(F.when(F.col("entry.rank") != removed, F.struct(
         _rank(F.col("kind"), KINDS).alias("narrow"), F.length("pattern").alias("chars"),
-        F.col("action"), F.col("kind"), F.col("pattern"), F.col("valid_from"),
-    )).alias("d"))
+        F.col("entry.rank").alias("rank"), F.col("kind"), F.col("pattern"), F.col("entry.day").alias("listed_on"),
+    ))).alias("d"))
     # a capture with a null in its key meets nothing above, so plain equality serves here
     judged = distinct.join(deciding, ["id", "url", "fetched_on"], "left")
     return judged.select(
         F.col("id").alias(id_col), F.col("url").alias(url_col), "fetched_on",
-        F.coalesce(F.col("d.action") == "block", F.lit(False)).alias("blocked"),
-        F.col("d.kind").alias("kind"), F.col("d.pattern").alias("pattern"), F.col("d.valid_from").alias("listed_on"),
+        F.coalesce(F.col("d.rank") == ACTIONS.index("block"), F.lit(False)).alias("blocked"),
+        F.col("d.kind").alias("kind"), F.col("d.pattern").alias("pattern"), F.col("d.listed_on").alias("listed_on"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
     ).drop("copy")

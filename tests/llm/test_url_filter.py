@@ -76,6 +76,32 @@ def test_a_hot_host_and_a_long_history(spark):
     assert all(got[i] == bool((i % 700) // 3 * 3 % 2) for i in got) and len(got) == 2000
 
 
+def test_an_old_list_is_one_row_a_pattern(spark):
+    entries = [("host", "old.org", "block", dt.date(1990, 1, 1)), ("host", "h.org", "block", dt.date(1, 1, 1)),
+               *(("host", "h.org", ("block", "allow", "remove")[d % 3], dt.date(2003, 1, 1) + dt.timedelta(days=d)) for d in range(0, 8000, 2))]
+    frame = spark.createDataFrame(entries, ENTRIES)
+    assert url_filter.histories(frame).count() == 2
+    captures = [(1, "http://old.org/", 700), (2, "http://h.org/", -40_000), (3, "http://h.org/", 400)]
+    at = (day(400) - dt.date(2003, 1, 1)).days // 2 * 2 % 3
+    assert judge(spark, captures, entries) == [
+        (1, True, "host", "old.org"), (2, True, "host", "h.org"), (3, at == 0, *(("host", "h.org") if at < 2 else (None, None)))]
+
+
+def test_only_names_with_many_captures_are_salted(spark):
+    urls = [f"http://a{i}.x.org/p/q" for i in range(400)] + ["http://hot.net/p/q?r"] * 300 + [None, "no url", "http://single/x"]
+    assert sorted(url_filter.hot_names(spark.createDataFrame([(u,) for u in urls], "url string"))) == ["hot.net", "x.org"]
+    entries = [("prefix", "hot.net/p/", "block", day(3)), ("url", "hot.net/p/q?r", "allow", day(6)), ("domain", "x.org", "block", day(5)), ("host", "a7.x.org", "allow", day(9))]
+    captures = [(i, u, i % 10) for i, u in enumerate(urls)]
+    got = {i: (blocked, kind) for i, blocked, kind, _ in judge(spark, captures, entries)}
+    for i, u, d in captures:
+        want = (False, None)
+        if u and "hot.net" in u and d >= 3:
+            want = (False, "url") if d >= 6 else (True, "prefix")
+        if u and "x.org" in u and d >= 5:
+            want = (False, "host") if "//a7." in u and d >= 9 else (True, "domain")
+        assert got[i] == want
+
+
 def test_query(spark):
     frame = op7_url_filter(spark, SF_SMALL)
     assert compare(frame, ORACLE["op7_url_filter"], SF_SMALL) == []
