@@ -30,6 +30,9 @@ MAX_NODES = 1_500_000
 MAX_KEPT = 100_000_000
 #: Longer pre-tokens are scored beside the trie: their prefixes are hardly shared.
 MAX_SHARED = 64
+#: Pieces are found by their last so many bytes; shorter ones are tried at every place.
+_TAIL = 3
+_SHORT = tuple(range(_TAIL - 1, 0, -1))
 #: Bytes that a kept count takes beside its pre-token, about.
 _ENTRY = 150
 
@@ -55,6 +58,12 @@ class PrefixTrie:
     def __init__(self, scores: dict[bytes, float], max_nodes: int = MAX_NODES, max_kept: int = MAX_KEPT) -> None:
         self._scores, self._max_nodes, self._max_kept = scores, max_nodes, max_kept
         self._longest = max(map(len, scores))
+        lengths: dict[bytes, set[int]] = {}
+        for piece in scores:
+            if len(piece) >= _TAIL:
+                lengths.setdefault(piece[-_TAIL:], set()).add(len(piece))
+        #: Lengths, longest first, of the pieces that end in these bytes; no other length is tried.
+        self._lengths = {tail: (*sorted(found, reverse=True), *_SHORT) for tail, found in lengths.items()}
         self._terminal: dict[str, int] = {}
         self._kept = 0
         self._reset()
@@ -81,22 +90,25 @@ class PrefixTrie:
         return counts
 
     def _walk(self, raw: bytes) -> int:
-        node, path = 0, [0]
+        node, best, pieces = 0, [0.0], [0]
         for at, byte in enumerate(raw):
             step = node << 8 | byte
-            child = self._next.get(step)
-            if child is None:
-                child = self._next[step] = len(self._best)
-                best, pieces = self._forward(raw, at + 1, [self._best[n] for n in path], [self._pieces[n] for n in path], 0)
-                self._best.append(best)
-                self._pieces.append(pieces)
-            node = child
-            path.append(node)
-        return self._pieces[node]
+            node = self._next.get(step)
+            if node is None:
+                node = self._next[step] = len(self._best)
+                top, count = self._forward(raw, at + 1, best, pieces, 0)
+                self._best.append(top)
+                self._pieces.append(count)
+            best.append(self._best[node])
+            pieces.append(self._pieces[node])
+        return pieces[-1]
 
     def _forward(self, raw: bytes, end: int, best: list[float], pieces: list[int], base: int) -> tuple[float, int]:
         top, count = -math.inf, 0
-        for begin in range(max(base, end - self._longest), end):
+        for length in self._lengths.get(raw[max(base, end - _TAIL):end], _SHORT):
+            begin = end - length
+            if begin < base:
+                continue
             score = self._scores.get(raw[begin:end])
             if score is not None and best[begin - base] + score > top:
                 top, count = best[begin - base] + score, pieces[begin - base] + 1

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import functools
 import math
+import random
+import time
 
 import public_tokenizers
 import regex
@@ -74,6 +76,17 @@ def test_one_slice_may_fill_the_trie_many_times(monkeypatch):
     assert list(zip(got["n_tokens"], got["n_pretokens"])) == [expected(t)[:2] for t in texts]
 
 
+def test_a_long_unbroken_run_tries_only_lengths_that_occur():
+    rng = random.Random(5)
+    text = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(333_000))  # 1 MB
+    trie = token_counts.PrefixTrie(SCORES)
+    begun = time.process_time()
+    trie.counts([text])
+    assert time.process_time() - begun < 20
+    for run in (text[:3000], " " * 500, "abc" * 200 + text[:50], "a", "ab", "é"):
+        assert trie.counts([run]) == best_segmentation(run)
+
+
 def test_matches_the_unigram_model_of_a_library():
     """The best total score, found by another implementation over single characters."""
     from tokenizers import Tokenizer
