@@ -248,9 +248,13 @@ def _top1(value_col: str) -> str:
             f"LIMIT 1)")
 
 
-def _exact_avg(c: str) -> str:
-    return (f"CASE WHEN count({c}) > 0 THEN CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE) "
-            f"/ count({c}) END")
+def _order_free_avg(c: str) -> str:
+    """Mean over whole parts and two parts of 40 bits below the point, each summed in whole numbers."""
+    part = "CAST(1099511627776 AS DOUBLE)"
+    below = f"(({c} - trunc({c})) * {part})"
+    second = f"trunc(({below} - trunc({below})) * {part})"
+    whole, one, two = (f"CAST(sum(CAST({x} AS HUGEINT)) AS DOUBLE)" for x in (f"trunc({c})", f"trunc({below})", second))
+    return f"CASE WHEN count({c}) > 0 THEN ({whole} + ({one} / {part} + {two} / ({part} * {part}))) / count({c}) END"
 
 
 def _check(dataset: str, table: str, name: str, failed: str) -> str:
@@ -379,8 +383,8 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT metric, year, count(*) AS source_records,
        count(DISTINCT entity_key) AS entities,
        CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE) AS snapshot_total,
-       {_exact_avg('yoy_change_pct')} AS average_yoy_change_pct,
-       {_exact_avg('five_year_change_pct')} AS average_five_year_change_pct
+       {_order_free_avg('yoy_change_pct')} AS average_yoy_change_pct,
+       {_order_free_avg('five_year_change_pct')} AS average_five_year_change_pct
 FROM stg GROUP BY metric, year""",
             SILVER_CTE, FACT_CTE, STG_CTE,
         ),

@@ -1,6 +1,6 @@
 """DataFrame operators: dedupe, quality, upsert, aggregates, rankings, marts."""
 
-from snapmart.operators.aggregates import exact_avg, exact_sum, metric_summary, rows_per_group
+from snapmart.operators.aggregates import exact_sum, metric_summary, order_free_avg, order_free_sum, rows_per_group
 from snapmart.operators.dedupe import duplicate_rows, keep_any, keep_first, keep_last
 from snapmart.operators.marts import (
     ACTIVITY_MART,
@@ -27,7 +27,6 @@ __all__ = [
     "dense_rank_by",
     "duplicate_rows",
     "enforce_gate",
-    "exact_avg",
     "exact_sum",
     "keep_any",
     "keep_first",
@@ -35,6 +34,8 @@ __all__ = [
     "key_bucket",
     "lake_silver",
     "metric_summary",
+    "order_free_avg",
+    "order_free_sum",
     "quality_report",
     "rows_per_group",
     "snapshot_rules",

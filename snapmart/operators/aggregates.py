@@ -3,8 +3,9 @@
 Floating-point sums depend on the order in which partitions are merged, so
 two runs on different cluster layouts can differ in the last bit. Where the
 inputs carry a fixed number of decimals, ``decimal_scale`` sums them exactly
-in DECIMAL(38, scale) and converts once at the end, which makes the results
-reproducible across layouts (and equal to any other exact engine).
+in DECIMAL(38, scale). Rates have no such number: ``order_free_sum`` cuts each
+double into whole numbers of falling weight, sums those, and puts the sums
+together once at the end, so no value is rounded to a scale and no order shows.
 """
 
 from __future__ import annotations
@@ -17,6 +18,32 @@ from pyspark.sql import functions as F
 from snapmart.functions.util import as_col
 
 
+#: Doubles below this size are summed in whole numbers; a part of a double has so many bits.
+_LARGE = 2.0**62
+_PART = 2.0**40
+
+
+def order_free_sum(value: Column | str) -> Column:
+    """``sum`` of doubles that is the same for every order and partition layout; null over no values.
+
+    A value is its whole part and two parts of 40 bits below the point, each an integer and
+    summed as one, so values down to 2**-27 in size enter with all their bits and smaller ones
+    down to 2**-80. Values from 2**62 on, infinities and NaN are summed as doubles beside them.
+    """
+    x = as_col(value).cast("double")
+    near = F.when(F.abs(x) < _LARGE, x)
+    whole = near.cast("long")
+    below = (near - whole.cast("double")) * _PART
+    first = below.cast("long")
+    second = ((below - first.cast("double")) * _PART).cast("long")
+
+    def total(part: Column, digits: int) -> Column:
+        return F.coalesce(F.sum(part.cast(f"decimal({digits},0)")).cast("double"), F.lit(0.0))
+
+    far = F.coalesce(F.sum(F.when(~(F.abs(x) < _LARGE), x)), F.lit(0.0))
+    return F.when(F.count(x) > 0, total(whole, 19) + (total(first, 13) / _PART + total(second, 13) / _PART**2) + far)
+
+
 def exact_sum(value: Column | str, decimal_scale: int | None) -> Column:
     """``sum`` as double; exact in DECIMAL(38, scale) when a scale is given."""
     v = as_col(value)
@@ -25,13 +52,9 @@ def exact_sum(value: Column | str, decimal_scale: int | None) -> Column:
     return F.sum(v.cast(f"decimal(38,{decimal_scale})")).cast("double")
 
 
-def exact_avg(value: Column | str, decimal_scale: int | None) -> Column:
-    """``avg`` ignoring nulls; the sum is exact when a scale is given."""
-    v = as_col(value)
-    if decimal_scale is None:
-        return F.avg(v.cast("double"))
-    n = F.count(v)
-    return F.when(n > 0, exact_sum(v, decimal_scale) / n)
+def order_free_avg(value: Column | str) -> Column:
+    """``avg`` ignoring nulls, of ``order_free_sum``."""
+    return order_free_sum(value) / F.nullif(F.count(as_col(value)), F.lit(0))
 
 
 def metric_summary(
@@ -45,6 +68,8 @@ def metric_summary(
 ) -> DataFrame:
     """Per (metric, year): rows, distinct entities, total, mean growth rates.
 
+    ``decimal_scale`` is that of the total; the means are taken over plain doubles.
+
     ``count(DISTINCT key)`` is planned by Spark as a two-level aggregation
     (group+key first), so no single task sees all keys of a big group.
     """
@@ -52,8 +77,8 @@ def metric_summary(
         F.count(F.lit(1)).alias("source_records"),
         F.countDistinct(key_col).alias("entities"),
         exact_sum(value_col, decimal_scale).alias("snapshot_total"),
-        exact_avg(yoy_col, decimal_scale).alias("average_yoy_change_pct"),
-        exact_avg(five_year_col, decimal_scale).alias("average_five_year_change_pct"),
+        order_free_avg(yoy_col).alias("average_yoy_change_pct"),
+        order_free_avg(five_year_col).alias("average_five_year_change_pct"),
     )
 
 

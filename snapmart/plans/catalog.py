@@ -37,7 +37,7 @@ from snapmart.streaming.ingest import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 SPEC = ACTIVITY_MART
-# Totals are summed exactly in this many decimals, more than any given value has.
+# Totals of values are summed exactly in this many decimals; money has two, quantities and counts none.
 TOTAL_SCALE = 6
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
