@@ -36,6 +36,24 @@ def test_keep_last_full_tie_break_is_partition_independent(spark):
     assert a == sorted((k, s, v) for k, (s, v) in best.items())
 
 
+def test_a_hot_key_is_cut_before_the_shuffle(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500).alias("k"), (F.col("id") * 7919 % 30_011).alias("seq"),
+        F.col("id").cast("string").alias("v")).repartition(6)
+    for kept, pick in ((keep_last(rows, ["k"], ["seq"]), F.max), (keep_first(rows, ["k"], ["seq"]), F.min)):
+        want = rows.groupBy("k").agg(pick("seq").alias("seq"))
+        assert {(r["k"], r["seq"]) for r in kept.collect()} == {(r["k"], r["seq"]) for r in want.collect()}
+        plan = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        limits = plan.split("WindowGroupLimit")
+        assert "SortAggregate" not in plan and len(limits) == 3 and "Exchange hashpartitioning(k" in limits[1]
+
+
+def test_keep_last_orders_nulls_lowest_and_nan_highest(spark):
+    df = spark.createDataFrame([(1, None, "n"), (1, 2.0, "b"), (2, None, "n"), (3, float("nan"), "x"), (3, 5.0, "y")], "k int, seq double, v string")
+    assert sorted((r["k"], r["v"]) for r in keep_last(df, ["k"], ["seq"]).collect()) == [(1, "b"), (2, "n"), (3, "x")]
+    assert sorted((r["k"], r["v"]) for r in keep_first(df, ["k"], ["seq"]).collect()) == [(1, "n"), (2, "n"), (3, "y")]
+
+
 def test_keep_any_and_duplicate_count(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "x"), (None, "y")],
                                "k int, v string")

@@ -28,8 +28,8 @@ def plans(spark):
 
 def test_dedupe_combines_before_the_shuffle(plans):
     p = plans["dedup_keep_last"]
-    assert "partial_max" in p
-    assert p.index("Exchange hashpartitioning") < p.index("partial_max")  # partial is below
+    assert "SortAggregate" not in p
+    assert p.index("Exchange hashpartitioning") < p.rindex("WindowGroupLimit")  # the partial one is below
 
 
 def test_top_k_limits_before_the_shuffle(plans):
