@@ -47,14 +47,14 @@ TABLES = (
 
 # -- medallion layers of the activity snapshot ------------------------------
 
-def _silver(spark: SparkSession, sf_dir: str, staged: bool = True) -> DataFrame:
-    """Silver; ``staged`` writes it once as a Parquet layer, for several readers."""
+def _silver(spark: SparkSession, sf_dir: str, staged: bool = True, key: str | None = None) -> DataFrame:
+    """Silver; ``staged`` writes it once as a Parquet layer, for several readers, bucketed by ``key`` where they join on it."""
     silver = medallion.activity_silver(medallion.activity_bronze(spark, sf_dir))
-    return medallion.stage_silver(silver) if staged else silver
+    return medallion.stage_silver(silver, key=key) if staged else silver
 
 
 def _mart(spark: SparkSession, sf_dir: str, strategy: str = "join") -> DataFrame:
-    return build_mart(_silver(spark, sf_dir), SPEC, strategy=strategy)
+    return build_mart(_silver(spark, sf_dir, key=SPEC.key_col), SPEC, strategy=strategy)
 
 
 def _fact(spark: SparkSession, sf_dir: str, staged: bool = False) -> DataFrame:
@@ -401,7 +401,7 @@ def q_ordered_outputs(spark, sf_dir):
     """Silver, dimension, fact and mart written in order as CSV, read
     back, and the position of every line in the files returned."""
     root = scratch_path(spark, "ordered")
-    silver = _silver(spark, sf_dir)
+    silver = _silver(spark, sf_dir, key=SPEC.key_col)
     rows = reference_rows(silver, SPEC)
     tables = {
         "silver": (silver.drop("source_file"), silver_order(SPEC)),
@@ -475,7 +475,7 @@ def q_metric_extract(spark, sf_dir):
 def q_snapshot_metrics(spark, sf_dir):
     """The one-row metrics document."""
     bronze = stage_table(medallion.activity_bronze(spark, sf_dir), "bronze")
-    silver = medallion.stage_silver(medallion.activity_silver(bronze))
+    silver = medallion.stage_silver(medallion.activity_silver(bronze), key=SPEC.key_col)
     fact = medallion.build_fact(silver, SPEC)
     mart = build_mart(silver, SPEC)
     report = medallion.activity_quality(bronze)
@@ -594,7 +594,7 @@ def q_run_manifest(spark, sf_dir):
     bronze = stage_table(medallion.activity_bronze(spark, sf_dir), "bronze", f"{root}/bronze")
     report = medallion.activity_quality(bronze)
     q.enforce_gate(report)
-    silver = medallion.stage_silver(medallion.activity_silver(bronze), f"{root}/silver")
+    silver = medallion.stage_silver(medallion.activity_silver(bronze), f"{root}/silver", key=SPEC.key_col)
     gold = medallion.build_gold(silver, SPEC)
     manifest = outputs.write_outputs(spark, gold, report, root, SPEC)
     # flat columns (text lists, one count per table) for engine-neutral comparison

@@ -20,7 +20,7 @@ from snapmart.operators.standardize import lake_silver, standardize
 from snapmart.plans.activity import ACTIVITY_SOURCES, SNAPSHOT_COLUMNS, activity_long
 from snapmart.sources.files import stamp_lineage
 from snapmart.sources.lake import VersionedTable
-from snapmart.sources.sinks import stage_table, write_csv
+from snapmart.sources.sinks import stage_bucketed, stage_table, write_csv
 
 ENTITY_KEY = ("entity", "year", "metric")
 
@@ -59,10 +59,13 @@ def activity_silver(bronze: DataFrame) -> DataFrame:
     return standardize(bronze, name_col="entity", key_col="entity_key")
 
 
-def stage_silver(silver: DataFrame, path: str | None = None) -> DataFrame:
+def stage_silver(silver: DataFrame, path: str | None = None, key: str | None = None) -> DataFrame:
     """Write silver partitioned by metric, year-sorted inside each file: the
     mart's reference-year filter prunes folders and skips row groups, and a
-    per-metric extract reads one folder."""
+    per-metric extract reads one folder. With ``key`` it is bucketed by it too,
+    so that the dimension and the mart's joins (C3, C4) exchange nothing."""
+    if key:
+        return stage_bucketed(silver, "silver", key, path=path, partition_by=["metric"], sort_within=["year"])
     return stage_table(silver, "silver", path, partition_by=["metric"], sort_within=["year"])
 
 
@@ -102,7 +105,7 @@ def gated_run(
     if report_path:
         write_csv(report, report_path)
     q.enforce_gate(report, report_path or "the data-quality report")
-    silver = stage_silver(activity_silver(bronze), silver_path)
+    silver = stage_silver(activity_silver(bronze), silver_path, key=ACTIVITY_MART.key_col)
     return build_gold(silver, strategy=strategy)
 
 
@@ -169,9 +172,9 @@ def run_snapshot(
     report_path = f"{root}/results/data_quality_report"
     write_csv(report, report_path)
     q.enforce_gate(report, report_path)
-    silver = stage_table(standardize(bronze, name_col=spec.name_col, key_col=spec.key_col),
-                         "silver", f"{root}/lakehouse/silver", partition_by=["dataset"],
-                         sort_within=[spec.name_col, "year"])
+    silver = stage_bucketed(standardize(bronze, name_col=spec.name_col, key_col=spec.key_col),
+                            "silver", spec.key_col, path=f"{root}/lakehouse/silver", partition_by=["dataset"],
+                            sort_within=[spec.name_col, "year"])
     gold = build_gold(silver, spec)
     return write_outputs(spark, gold, report, f"{root}/warehouse", spec, names)
 

@@ -12,13 +12,14 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-#: Scratch folders made and not yet removed.
+#: Scratch folders made and not yet removed, and the catalog tables over them.
 _SCRATCH: list[tuple[SparkSession, str]] = []
+_TABLES: list[tuple[SparkSession, str, str]] = []
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -120,10 +121,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def scratch_table(spark: SparkSession, label: str, path: str) -> str:
+    """A fresh name for a catalog table over ``path``, which is dropped when that scratch folder goes, or the driver."""
+    name = f"{label}_{uuid.uuid4().hex}".replace("-", "_")
+    if not _SCRATCH and not _TABLES:
+        atexit.register(clear_scratch)
+    _TABLES.append((spark, name, path))
+    return name
+
+
+def _drop_tables(gone: Callable[[str], bool]) -> None:
+    for entry in [t for t in _TABLES if gone(t[2])]:
+        _TABLES.remove(entry)
+        try:
+            entry[0].sql(f"DROP TABLE IF EXISTS {entry[1]}")
+        except Exception:  # noqa: BLE001 - the session may be stopped already
+            continue
+
+
 def clear_scratch(keep: int = 0) -> None:
-    """Delete all scratch folders but the ``keep`` oldest; frames that read them end with them."""
+    """Delete all scratch folders but the ``keep`` oldest; frames that read them end with them.
+
+    Tables over them are dropped; with ``keep`` 0 also those over folders of a caller's, whose files stay.
+    """
+    if not keep:
+        _drop_tables(lambda path: True)
     while len(_SCRATCH) > keep:
         spark, path = _SCRATCH.pop()
+        _drop_tables(lambda over: over == path)  # noqa: B023 - used at once
         try:
             folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

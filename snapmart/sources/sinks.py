@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from snapmart.session import scratch_path
+from snapmart.session import scratch_path, scratch_table
 from snapmart.sources.files import CSV_OPTIONS
 
 
@@ -86,3 +86,37 @@ def stage_table(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
     return spark.read.schema(df.schema).parquet(target).select(*df.columns)
+
+
+def stage_bucketed(
+    df: DataFrame,
+    label: str,
+    key: str,
+    buckets: int | None = None,
+    path: str | None = None,
+    partition_by: Sequence[str] = (),
+    sort_within: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`stage_table` for a layer whose readers group and join on ``key``.
+
+    The files are dealt into ``buckets`` by the hash of ``key`` (default: the session's
+    ``spark.sql.shuffle.partitions``, which tracks the data's size), so aggregations
+    and joins on ``key`` over this layer exchange nothing: the rows travel once, at
+    this write, however many readers follow. Partition folders and the order by
+    ``sort_within`` inside a file keep their pruning. The deal is a rebalance: Spark
+    splits the write of a bucket that a hot key makes large (it then has several
+    files) and merges the writes of small ones.
+
+    Spark knows buckets through the catalog only, so the folder is registered as an
+    external table of a fresh name, dropped with the scratch folder or at the driver's
+    end; dropping it leaves the files of a caller's ``path``.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = path or scratch_path(spark, label)
+    name = scratch_table(spark, label, target)
+    writer = df.hint("rebalance", count, key).write.mode("overwrite").format("parquet").option("path", target)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.bucketBy(count, key).sortBy(*sort_within, key).saveAsTable(name)
+    return spark.table(name).select(*df.columns)

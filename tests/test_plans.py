@@ -67,6 +67,23 @@ def test_rank_never_deals_rows_out_by_value(spark):
     assert not re.search(r"hashpartitioning\([^)]*\bv#", p)
 
 
+def test_mart_joins_exchange_nothing_above_the_bucketed_layer(spark):
+    from snapmart.operators.marts import ACTIVITY_MART, reference_rows, wide_by_join
+
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, -1)
+    try:
+        silver = catalog._silver(spark, SF_SMALL, key=ACTIVITY_MART.key_col)
+        p = _plan(wide_by_join(reference_rows(silver, ACTIVITY_MART), ACTIVITY_MART))
+    finally:
+        spark.conf.set(conf, before)
+    assert p.count("SortMergeJoin") == 3
+    assert "Exchange" not in p
+    assert "Bucketed: true" in p
+    assert re.search(r"PushedFilters: \[.*EqualTo\(year,", p)
+
+
 def test_staged_silver_is_pruned(plans):
     p = plans["staged_extract"]
     assert re.search(r"PartitionFilters: \[.*metric.*= billed", p)

@@ -278,3 +278,34 @@ def test_staged_bronze_parses_every_file_once(spark, workdir):
     for name in ("bad", "none"):
         with pytest.raises(files.MetricDomainError, match="holds values other than"):
             files.stage_bronze(spark, [*sources, files.SnapshotSource(name, (f"{workdir}/{name}.csv",), "oil_production")], f"{workdir}/again-{name}")
+
+
+def test_stage_bucketed_keeps_rows_and_splits_a_hot_key(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from snapmart.sources.sinks import stage_bucketed
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"),
+        (F.col("id") % 2).alias("part"), F.col("id").alias("v"))
+    for _ in range(2):  # a second run into the same folder replaces the first
+        out = stage_bucketed(df, "bucket-test", "k", buckets=5, path=f"{workdir}/t", partition_by=["part"], sort_within=["v"])
+    assert out.columns == df.columns
+    assert sorted(out.collect(), key=lambda r: r["v"]) == sorted(df.collect(), key=lambda r: r["v"])
+    assert spark.read.parquet(f"{workdir}/t").count() == 3000
+    empty = stage_bucketed(df.limit(0), "bucket-empty", "k", buckets=5, partition_by=["part"])
+    assert empty.count() == 0 and empty.columns == df.columns
+
+
+def test_tables_over_scratch_folders_are_dropped(spark, workdir):
+    from snapmart import session
+    from snapmart.sources.sinks import stage_bucketed
+
+    df = spark.range(10).withColumnRenamed("id", "k")
+    kept = stage_bucketed(df, "own", "k", buckets=2, path=f"{workdir}/own")
+    before = {t.name for t in spark.catalog.listTables()}
+    with session.scratch_run():
+        assert stage_bucketed(df, "gone", "k", buckets=2).count() == 10
+        assert len({t.name for t in spark.catalog.listTables()} - before) == 1
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert kept.count() == 10
