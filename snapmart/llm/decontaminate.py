@@ -30,8 +30,6 @@ from snapmart.llm.common import text_slices
 
 #: Pieces have at least so many characters; the error budget of an item follows from it.
 PIECE_CHARS = 16
-#: Items with fewer characters, and no budget, must stand as whole words.
-WHOLE_WORD_CHARS = 32
 #: Items compiled into one machine, and sent to the executors at once.
 BLOCK_ITEMS = 20_000
 
@@ -115,7 +113,7 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], piece_chars: int = PIECE_CHARS) -> None:
         self._items = dict(items)
         self._budget = {key: error_budget(len(text), piece_chars) for key, text in items}
-        self._whole = {key for key, text in items if not self._budget[key] and len(text) < WHOLE_WORD_CHARS}
+        self._whole = {key for key, text in items if not self._budget[key]}
         where: dict[str, list[tuple[int, int]]] = {}
         for key, text in items:
             for place, piece in pieces(text, self._budget[key]):

@@ -99,3 +99,11 @@ def test_query(spark):
     }
     got = op4_decontamination(spark, SF_SMALL).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got if r["distance"] == 0} == exact
+
+
+def test_items_without_a_budget_are_whole_words_at_any_piece_length():
+    item = decontaminate.normalise(ITEM)
+    for chars in (decontaminate.PIECE_CHARS, len(item)):
+        matcher = decontaminate.Matcher([(1, item)], chars)
+        assert matcher.find(f"a {item} b")
+        assert bool(matcher.find(f"a{item}b")) == (decontaminate.error_budget(len(item), chars) > 0)
