@@ -12,6 +12,7 @@ from snapmart.llm import (
     binary_records, centroid_clusters, decontaminate, divergence_rules, line_crf, packing, reply_trees, secret_scan, simhash,
     spelling, token_counts, toxicity, url_filter,
 )
+from snapmart.llm.common import stage
 
 #: File names of the public vocabularies.
 COUNT_VOCABULARY, PACK_TOKENIZER, RECORD_TOKENIZER = "byte_bpe_50k.tiktoken", "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -139,7 +140,7 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation as the best branch of its tree, formatted; the digests are read back from the output."""
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], given.schema)
-    formatted = reply_trees.format_trees(reply_trees.chains(given.unionByName(extra)))
+    formatted = reply_trees.format_trees(stage(reply_trees.chains(given.unionByName(extra)), "turns"))
     back = F.pandas_udf(_read_back, "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string")
     return formatted.select(
         F.col("tree").alias("conv_id"), F.length("formatted").cast("long").alias("formatted_chars"),

@@ -71,15 +71,16 @@ def jumps(messages: DataFrame) -> Iterator[DataFrame]:
         yield reach
         if reach.where(F.col("up").isNotNull()).isEmpty():
             return
+        # a message that has arrived meets itself, so every row meets one row and the table is read twice, not three times
         above = reach.select(
-            F.col("tree"), F.col("node").alias("up"), F.col("up").alias("next"),
+            F.col("tree"), F.col("node").alias("at"), F.col("up").alias("next"),
             F.col("score").alias("more"), F.col("steps").alias("further"))
-        moving = reach.where(F.col("up").isNotNull()).join(above, ["tree", "up"])
-        done = reach.where(F.col("up").isNull())
-        reach = stage(moving.select(
-            "tree", "node", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"),
-            (F.col("steps") + F.col("further")).alias("steps"),
-        ).unionByName(done), "jump")
+        moves = F.col("up").isNotNull()
+        met = reach.withColumn("at", F.coalesce("up", "node")).join(above, ["tree", "at"])
+        reach = stage(met.select(
+            "tree", "node", F.col("next").alias("up"), (F.col("score") + F.when(moves, F.col("more")).otherwise(0.0)).alias("score"),
+            (F.col("steps") + F.when(moves, F.col("further")).otherwise(0)).alias("steps"),
+        ), "jump")
     yield reach.where(F.col("up").isNull())
 
 
@@ -113,8 +114,8 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     marked = stage(best.select("tree", "leaf", "rank", F.col("leaf").alias("node")), "marked")
     for table in tables[:-1]:  # messages that reach a cycle aren't on a marked path
         step = table.where(F.col("up").isNotNull()).select("tree", "node", "up")
-        higher = marked.join(step, ["tree", "node"]).select("tree", "leaf", "rank", F.col("up").alias("node"))
-        marked = stage(marked.unionByName(higher), "marked")
+        both = F.array_compact(F.array("node", "up"))
+        marked = stage(marked.join(step, ["tree", "node"], "left").select("tree", "leaf", "rank", F.explode(both).alias("node")), "marked")
     depth = tables[-1].select("tree", "node", F.col("steps").alias("position"))
     return marked.join(depth, ["tree", "node"])
 
@@ -130,27 +131,18 @@ def format_paths(
     """
     role, text = F.coalesce(F.col("role"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
     turns = paths.join(messages.select("tree", "node", "role", "text"), ["tree", "node"]).select(
-        "tree", "rank", F.struct(
-            F.col("position"), F.col("node"), _escape_role(role).alias("role"), escape(text).alias("text"),
-            role.isin(*trained_roles).alias("trained"),
-        ).alias("turn"))
-    listed = turns.groupBy("tree", "rank").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
-    head = lambda t: F.concat(F.lit(OPEN), t["role"], F.lit("\n"))
-    formatted = F.array_join(F.transform("turns", lambda t: F.concat(head(t), t["text"], F.lit(f"{CLOSE}\n"))), "")
-    span = "array<struct<start:bigint,stop:bigint>>"
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(span).alias("spans"))
-
-    def place(acc: Column, t: Column) -> Column:
-        start = acc["at"] + F.length(head(t))
-        stop = start + F.length(t["text"])
-        here = F.array(F.struct(start.alias("start"), stop.alias("stop")))
-        return F.struct(
-            (stop + len(CLOSE) + 1).alias("at"),
-            F.when(t["trained"], F.concat(acc["spans"], here)).otherwise(acc["spans"]).alias("spans"))
-
+        "tree", "rank", "position", F.concat(F.lit(OPEN), _escape_role(role), F.lit("\n")).alias("head"),
+        escape(text).alias("body"), role.isin(*trained_roles).alias("trained"))
+    # a turn's place is a running sum over the rows, so work is linear in the turns; the grouping below uses the same exchange
+    end = F.length("head") + F.length("body") + len(CLOSE) + 1
+    before = Window.partitionBy("tree", "rank").orderBy("position").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = turns.withColumn("stop", F.sum(end).over(before) - (len(CLOSE) + 1))
+    listed = placed.groupBy("tree", "rank").agg(F.sort_array(F.collect_list(F.struct(
+        "position", F.concat("head", "body", F.lit(f"{CLOSE}\n")).alias("turn"), "trained",
+        F.struct((F.col("stop") - F.length("body")).alias("start"), "stop").alias("span")))).alias("turns"))
     return listed.select(
-        "tree", "rank", F.size("turns").cast("long").alias("n_turns"), formatted.alias("formatted"),
-        F.aggregate("turns", begin, place, lambda acc: acc["spans"]).alias("loss_spans"))
+        "tree", "rank", F.size("turns").cast("long").alias("n_turns"), F.array_join("turns.turn", "").alias("formatted"),
+        F.transform(F.filter("turns", lambda t: t["trained"]), lambda t: t["span"]).alias("loss_spans"))
 
 
 def chains(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn") -> DataFrame:
@@ -176,6 +168,8 @@ def format_trees(
     ``messages`` has tree, node, parent, score, role and text. A message
     whose parent is missing is a root; a tree may have several, each with its own
     branches. Messages of a null tree or node are ignored.
+
+    ``messages`` is read three times, its texts once: pass a table, or a frame that is staged.
     """
     sound = messages.where(F.col("tree").isNotNull() & F.col("node").isNotNull())
     return format_paths(sound, chosen_paths(sound, branches), trained_roles)

@@ -89,3 +89,12 @@ def test_ties_and_repeated_rows(spark):
 
 def test_query(spark):
     assert compare(op10_reply_trees(spark, SF_SMALL), ORACLE["op10_reply_trees"], SF_SMALL) == []
+
+
+def test_long_conversation(spark):
+    rows = [(1, i, ("user", "assistant")[i % 2], f"t{i}<|") for i in range(20_000)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = reply_trees.format_trees(reply_trees.chains(frame)).first()
+    assert reply_trees.parse(made["formatted"]) == [(r[2], r[3]) for r in rows]
+    cut = [reply_trees.unescape(made["formatted"][s["start"] : s["stop"]]) for s in made["loss_spans"]]
+    assert cut == [r[3] for r in rows if r[2] == "assistant"]
