@@ -57,31 +57,30 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def jumps(messages: DataFrame) -> Iterator[DataFrame]:
-    """(tree, node, up, score, steps) tables: the ancestor 1, 2, 4, ... steps up.
+def jumps(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Tables (tree, node, up) of the ancestor 1, 2, 4, ... steps up, and (tree, node, score, steps) up to the root.
 
-    ``score`` and ``steps`` cover the messages from ``node`` up to but without
-    ``up``, or up to the root where ``up`` is null. The last table has no ``up`` left.
-    Messages whose parents form a cycle, and those below them, never get there; they
-    are left out of the last table.
+    A table holds the messages that have such an ancestor. ``score`` and ``steps``
+    cover the messages from ``node`` to its root. Only messages that haven't
+    arrived are joined and written again. Messages whose parents form a
+    cycle, and those below them, never arrive; they are left out of the second table.
     """
     reach = stage(messages.select("tree", "node", F.col("parent").alias("up"), "score", F.lit(1).cast("long").alias("steps")), "jump")
     rounds = reach.count().bit_length() + 1  # a path has no more steps than there are messages
+    levels, arrived = [], reach.where(F.col("up").isNull())
     for _ in range(rounds):
-        yield reach
-        if reach.where(F.col("up").isNotNull()).isEmpty():
-            return
-        # a message that has arrived meets itself, so every row meets one row and the table is read twice, not three times
-        above = reach.select(
-            F.col("tree"), F.col("node").alias("at"), F.col("up").alias("next"),
+        moving = reach.where(F.col("up").isNotNull())
+        if moving.isEmpty():
+            break
+        levels.append(moving.select("tree", "node", "up"))
+        above = moving.unionByName(arrived).select(
+            F.col("tree"), F.col("node").alias("up"), F.col("up").alias("next"),
             F.col("score").alias("more"), F.col("steps").alias("further"))
-        moves = F.col("up").isNotNull()
-        met = reach.withColumn("at", F.coalesce("up", "node")).join(above, ["tree", "at"])
-        reach = stage(met.select(
-            "tree", "node", F.col("next").alias("up"), (F.col("score") + F.when(moves, F.col("more")).otherwise(0.0)).alias("score"),
-            (F.col("steps") + F.when(moves, F.col("further")).otherwise(0)).alias("steps"),
-        ), "jump")
-    yield reach.where(F.col("up").isNull())
+        reach = stage(moving.join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"),
+            (F.col("steps") + F.col("further")).alias("steps")), "jump")
+        arrived = arrived.unionByName(reach.where(F.col("up").isNull()))
+    return levels, arrived.drop("up")
 
 
 def rooted(messages: DataFrame) -> DataFrame:
@@ -101,9 +100,9 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     first. Messages on a cycle of parents, or below one, are on no branch.
     """
     plain = stage(rooted(messages).select("tree", "node", "parent", F.coalesce(F.col("score"), F.lit(0.0)).cast("double").alias("score")), "messages")
-    tables = list(jumps(plain))
+    levels, arrived = jumps(plain)
     inner = plain.where(F.col("parent").isNotNull()).select("tree", F.col("parent").alias("node")).distinct()
-    leaves = tables[-1].join(inner, ["tree", "node"], "left_anti")
+    leaves = arrived.join(inner, ["tree", "node"], "left_anti")
     # the best leaf is a plain aggregate; only for more branches are leaves ranked in a window, which keeps the first ones
     if branches == 1:
         best = leaves.groupBy("tree").agg(F.min(F.struct((-F.col("score")).alias("s"), "node")).alias("b")).select(
@@ -112,11 +111,11 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         order = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
         best = leaves.select("tree", F.col("node").alias("leaf"), F.row_number().over(order).alias("rank")).where(F.col("rank") <= branches)
     marked = stage(best.select("tree", "leaf", "rank", F.col("leaf").alias("node")), "marked")
-    for table in tables[:-1]:  # messages that reach a cycle aren't on a marked path
-        step = table.where(F.col("up").isNotNull()).select("tree", "node", "up")
-        both = F.array_compact(F.array("node", "up"))
-        marked = stage(marked.join(step, ["tree", "node"], "left").select("tree", "leaf", "rank", F.explode(both).alias("node")), "marked")
-    depth = tables[-1].select("tree", "node", F.col("steps").alias("position"))
+    # longest jumps first, so that few rows are marked before the last ones; an ancestor's distance is one sum of jumps
+    for level in reversed(levels):  # messages that reach a cycle aren't on a marked path
+        higher = marked.join(level, ["tree", "node"]).select("tree", "leaf", "rank", F.col("up").alias("node"))
+        marked = marked.unionByName(stage(higher, "marked"))
+    depth = arrived.select("tree", "node", F.col("steps").alias("position"))
     return marked.join(depth, ["tree", "node"])
 
 
