@@ -156,16 +156,37 @@ def dense_rank_by(
 
 
 def with_position(
-    df: DataFrame, order_by: Sequence[Column], position_col: str = "position", num_partitions: int | None = None
+    df: DataFrame, order_by: Sequence[Column], position_col: str = "position", num_partitions: int | None = None,
+    runs: Sequence[str] = (),
 ) -> DataFrame:
     """Add the 1-based position of every row in a total order.
 
     ``order_by`` should end in a full tie-break; rows that agree in all of it get
     neighbouring positions in no stated order. One range shuffle and a written
     table; the offsets have one row per range.
+
+    ``runs`` are for rows that lie in runs already, as the lines of a file's blocks do: the
+    columns of ``order_by`` (ascending, nulls first), the last of them a number that counts the rows of a run without a gap.
+    Such rows are neither sorted nor dealt out: they are written once, and the offsets have one row per run.
+    If a run has a gap, all rows are numbered by ranges.
     """
     from snapmart.sources.sinks import stage_table
 
+    if runs:
+        *names, number = runs
+        written = stage_table(df, "positions")
+        opened = [F.col(c).alias(f"__r{i}") for i, c in enumerate(names)]
+        own = [f"__r{i}" for i in range(len(names))]
+        sizes = stage_table(written.groupBy(*opened).agg(
+            F.min(number).alias("__low"), F.max(number).alias("__high"), F.count(F.lit(1)).alias("__n"), F.count(number).alias("__numbered")), "position-runs")
+        gapless = (F.col("__numbered") == F.col("__n")) & (F.col("__high") - F.col("__low") + 1 == F.col("__n"))
+        if sizes.where(~gapless | gapless.isNull()).limit(1).count():
+            return with_position(written, order_by, position_col, num_partitions)
+        before = Window.partitionBy(F.lit(0)).orderBy(*own).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select(*own, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__low") + 1).alias("__off"))
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(r)) for c, r in zip(names, own)])
+        return written.join(offsets, same).select(*df.columns, (F.col(number) + F.col("__off")).cast("long").alias(position_col))
+
     parts = _partitions(df, num_partitions)
     ordered = stage_table(
         df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by)

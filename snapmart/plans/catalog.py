@@ -409,15 +409,17 @@ def q_ordered_outputs(spark, sf_dir):
         "fact": (medallion.build_fact(silver, SPEC), fact_order(SPEC)),
         "mart": (build_mart(silver, SPEC), mart_order(SPEC)),
     }
+    place = ["source_path", "source_block", "source_row"]
     out = None
     for name, (df, order) in tables.items():
         write_csv(df, f"{root}/{name}", order)
         lines = files.read_raw_csv(spark, [f"{root}/{name}"], required=[SPEC.key_col], label=name)
-        placed = with_position(lines, [F.col(c).asc() for c in ("source_path", "source_block", "source_row")])
-        has = set(df.columns)
+        # the cells returned and a line's place are kept: a block's lines are in order as they are read
+        cells = [c for c in (SPEC.key_col, "metric", "year") if c in df.columns]
+        placed = with_position(lines.select(*cells, *place), [F.col(c).asc() for c in place], runs=place)
         part = placed.select(
             F.lit(name).alias("table_name"), "position", SPEC.key_col,
-            *[(F.col(c) if c in has else F.lit(None).cast("string")).alias(c) for c in ("metric", "year")])
+            *[(F.col(c) if c in cells else F.lit(None).cast("string")).alias(c) for c in ("metric", "year")])
         out = part if out is None else out.unionByName(part)
     return out
 

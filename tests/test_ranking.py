@@ -70,6 +70,52 @@ def test_position_is_the_row_number(spark):
     assert with_position(df.filter("false"), order).count() == 0
 
 
+def test_lines_read_back_are_numbered_without_a_shuffle(spark, workdir, monkeypatch):
+    from snapmart.sources.files import CSV_OPTIONS, read_raw_csv
+
+    rows = spark.range(4000).select("id", (F.col("id") * 7919 % 4001).cast("string").alias("text"))
+    rows.repartition(5).write.options(**CSV_OPTIONS).csv(f"{workdir}/lines")
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # several blocks a file
+    try:
+        place = ["source_path", "source_block", "source_row"]
+        lines = read_raw_csv(spark, [f"{workdir}/lines"], required=["id"])
+        order = [F.col(c).asc() for c in place]
+        want = lines.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("long"))
+        want = {r["id"]: r["position"] for r in want.collect()}
+        # with a gap in a run: numbered by ranges
+        gap = lines.where("id % 7 <> 0")
+        left = {key: i for i, key in enumerate(sorted((k for k in want if int(k) % 7), key=want.get), 1)}
+        assert {r["id"]: r["position"] for r in with_position(gap, order, runs=place).collect()} == left
+
+        def never(*args, **kwargs):
+            raise AssertionError("rows are dealt out")
+
+        monkeypatch.setattr(type(lines), "repartitionByRange", never)
+        got = with_position(lines, order, runs=place)
+        assert got.columns == [*lines.columns, "position"] and lines.select("source_block").distinct().count() > 1
+        assert {r["id"]: r["position"] for r in got.collect()} == want
+        assert with_position(lines.where("false"), order, runs=place).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+
+
+def test_ordered_outputs_deals_out_no_lines(spark, monkeypatch):
+    from snapmart.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    def never(*args, **kwargs):
+        raise AssertionError("rows are dealt out")
+
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", never)
+    rows = catalog.QUERIES["ordered_outputs"](spark, SF_SMALL).collect()
+    for table in ("silver", "dimension", "fact", "mart"):
+        places = sorted(r["position"] for r in rows if r["table_name"] == table)
+        assert places and places == list(range(1, len(places) + 1))
+    fact = sorted((r for r in rows if r["table_name"] == "fact"), key=lambda r: r["position"])
+    assert [r["metric"] for r in fact] == sorted(r["metric"] for r in fact)
+
+
 def test_top_k_ties_fewer_and_empty(spark):
     df = spark.createDataFrame([("a", 3.0, "x"), ("a", 3.0, "y"), ("a", 1.0, "z"), ("b", 5.0, "w")],
                                "g string, v double, n string")
