@@ -19,7 +19,7 @@ from snapmart.operators.marts import reference_rows
 from snapmart.operators.standardize import lake_silver, standardize
 from snapmart.plans.activity import ACTIVITY_SOURCES, SNAPSHOT_COLUMNS, activity_long
 from snapmart.sources.files import stamp_lineage
-from snapmart.sources.lake import VersionedTable
+from snapmart.sources.lake import CODEC, VersionedTable
 from snapmart.sources.sinks import stage_bucketed, stage_table, write_csv
 
 ENTITY_KEY = ("entity", "year", "metric")
@@ -116,7 +116,8 @@ def lake_run(spark: SparkSession, sf_dir: str, root: str) -> dict[str, object]:
     Row counts are observed while the versions are written (A10), so the
     source plan is not run again to count it.
     """
-    bronze = stage_table(activity_bronze(spark, sf_dir).withColumn("lake_key", lake_key("entity")), "lake-bronze", f"{root}/landed")
+    bronze = stage_table(activity_bronze(spark, sf_dir).withColumn("lake_key", lake_key("entity")), "lake-bronze", f"{root}/landed",
+                         compression=CODEC)
     keys = ["lake_key", "year", "metric"]
     bronze_table = VersionedTable(spark, f"{root}/bronze", partition_by=["metric"])
     # two loads: an earlier snapshot with half the years and other values, then
@@ -131,7 +132,7 @@ def lake_run(spark: SparkSession, sf_dir: str, root: str) -> dict[str, object]:
     silver_table.upsert(silver, keys)
     silver_rows = silver_table.last_rows_written
     export = f"{root}/silver_export"
-    silver_table.read().write.mode("overwrite").parquet(export)
+    silver_table.read().write.mode("overwrite").parquet(export, compression=CODEC)
     return {
         "bronze": bronze_table,
         "silver": silver_table,

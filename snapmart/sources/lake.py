@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -28,11 +28,13 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapmart.operators.upsert import assert_unique_keys, upsert
+from snapmart.operators.upsert import assert_unique_keys, keys_may_repeat, upsert
 from snapmart.sources.files import is_missing_path
 
 _POINTER_SCHEMA = "version long, folder string, schema string, partitions string, batch string"
 _FOLDER = "table_version"
+#: Codec of the lake's files: keys and fingerprints are hex texts, which zstd halves and snappy does not.
+CODEC = "zstd"
 
 
 def literal_path(path: str) -> str:
@@ -130,17 +132,23 @@ class VersionedTable:
         """Commit ``df`` as the next version, replacing the whole table (K4)."""
         return self._write(df, df.schema, None, batch)
 
-    def _write(self, df: DataFrame, schema: T.StructType, partitions: list | None, batch: str | None) -> int:
+    def _write(
+        self, df: DataFrame, schema: T.StructType, partitions: list | None, batch: str | None,
+        check: Callable[[DataFrame], None] | None = None,
+    ) -> int:
+        """``check`` sees the written rows before they become a version; if it raises, they don't."""
         if _FOLDER in df.columns:
             raise ValueError(f"a column can't be called {_FOLDER!r}")
         version = (self.current_version() or 0) + 1
         folder = f"{_FOLDER}={version:08d}-{uuid.uuid4().hex[:8]}"
         # count the rows as they are written instead of scanning again
         observation = Observation()
-        writer = df.observe(observation, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+        writer = df.observe(observation, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").option("compression", CODEC)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(f"{self.root}/{folder}")
+        if check:
+            check(self.spark.read.schema(schema).parquet(literal_path(f"{self.root}/{folder}")))
         self.last_rows_written = observation.get["rows"]
         pointer = self.spark.range(1).select(
             F.lit(version).cast("long").alias("version"), F.lit(folder).alias("folder"), F.lit(schema.json()).alias("schema"),
@@ -152,8 +160,9 @@ class VersionedTable:
     def upsert(self, source: DataFrame, keys: Sequence[str], check_duplicates: bool = True, batch: str | None = None) -> int:
         """Merge ``source`` on ``keys`` into a new version.
 
-        The first load writes the source as version 1 after the same duplicate
-        key check a merge applies. With partition columns that belong to ``keys``
+        The first load writes the source as version 1; the duplicate key check that a merge
+        applies to its source reads the written keys before they become the version, so the source's
+        plan runs once. With partition columns that belong to ``keys``
         only the partitions touched by ``source`` are read and written; the driver sees their
         values. A column whose type changes makes the whole table be rewritten, since
         old files hold the old type. ``last_rows_written`` counts the rows written.
@@ -165,8 +174,14 @@ class VersionedTable:
             return known
         record = self._record()
         if record is None:
-            empty = self.spark.createDataFrame([], source.schema)
-            return self.write(upsert(empty, source, keys, check_duplicates), batch)
+            loaded = upsert(source.limit(0), source, keys, False)
+
+            def check(written: DataFrame) -> None:
+                # an empty text is read back from a partition's name as null
+                if keys_may_repeat(written, keys, nulls_match=self.partition_by):
+                    assert_unique_keys(source, keys)
+
+            return self._write(loaded, loaded.schema, None, batch, check if check_duplicates else None)
         current = self.read()
         if not self.partition_by or not set(self.partition_by) <= set(keys) or not set(self.partition_by) <= set(source.columns):
             return self.write(upsert(current, source, keys, check_duplicates), batch)
@@ -180,5 +195,7 @@ class VersionedTable:
         touched = sorted([list(r) for r in source.select(*texts).distinct().collect()], key=str)
         if not touched:
             return self._write(merged.limit(0), after, [], batch)
-        part = upsert(current.where(_any_of(self.partition_by, touched)), source, keys, False)
+        target = current.where(_any_of(self.partition_by, touched))
+        own = set(target.columns) - set(source.columns)
+        part = upsert(target, source, keys, False, unique_target=not own and not keys_may_repeat(target, keys))
         return self._write(part, after, touched, batch)

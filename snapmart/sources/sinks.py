@@ -63,6 +63,7 @@ def stage_table(
     path: str | None = None,
     partition_by: Sequence[str] = (),
     sort_within: Sequence[str] = (),
+    compression: str | None = None,
 ) -> DataFrame:
     """Write ``df`` once as Parquet (default: a fresh folder under the shared
     checkpoint location) and return a scan of it with the same schema.
@@ -74,7 +75,7 @@ def stage_table(
     ``partition_by`` turns filters on those columns into folder pruning;
     ``sort_within`` orders rows inside each file so row-group statistics can
     skip on that column too (the partitioned writer sorts anyway, so this adds
-    no shuffle).
+    no shuffle). ``compression`` is the files' codec (default: the session's).
     """
     spark = df.sparkSession
     target = path or scratch_path(spark, label)
@@ -84,7 +85,7 @@ def stage_table(
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
+    writer.parquet(target, compression=compression)
     return spark.read.schema(df.schema).parquet(target).select(*df.columns)
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmart.operators.dedupe import duplicate_rows, keep_any, keep_first, keep_last
-from snapmart.operators.upsert import DuplicateSourceKeyError, upsert
+from snapmart.operators.upsert import DuplicateSourceKeyError, keys_may_repeat, upsert
 
 
 def test_keep_last_two_and_three_duplicates(spark):
@@ -109,3 +109,24 @@ def test_upsert_multi_column_key(spark):
     source = spark.createDataFrame([("a", 2025, 5.0)], "m string, y int, v double")
     got = _rows(upsert(target, source, ["m", "y"]).orderBy(F.col("y")))
     assert got == [("a", 2024, 1.0), ("a", 2025, 5.0)]
+
+
+def test_a_unique_target_is_merged_without_shuffling_the_source(spark):
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (None, "t", 3), (4, None, 4)], "k int, v string, w int")
+    source = spark.createDataFrame([("B", 2, "new", 2.5), ("c", 3, None, 3.0), ("s", None, "n", 1.0)], "v string, k int, x string, w double")
+    out = upsert(target, source, ["k"], unique_target=True)
+    want = upsert(target, source, ["k"])
+    assert out.dtypes == want.dtypes and _rows(out) == _rows(want) and len(_rows(out)) == 6
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "FullOuter" not in plan
+    # a column of the target's own is kept on update: both sides are joined whole
+    wider = target.withColumn("own", F.lit("o"))
+    assert _rows(upsert(wider, source, ["k"], unique_target=True)) == _rows(upsert(wider, source, ["k"]))
+
+
+def test_repeated_keys_are_found_by_hash(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (None, "a"), (None, "a"), (3, None), (3, None)], "k int, p string")
+    assert not keys_may_repeat(df, ["k", "p"])
+    assert keys_may_repeat(df, ["k", "p"], nulls_match=["p"]) and keys_may_repeat(df, ["p"])
+    assert not keys_may_repeat(df.where("p is not null"), ["k", "p"], nulls_match=["p"])
+    assert not keys_may_repeat(df.limit(0), ["k"])

@@ -233,6 +233,40 @@ def test_partition_scoped_versions(spark, workdir):
     assert got == sorted(map(str, [null.read().first().__class__(p=p, k=1, v=v) for p, v in ((None, "x"), (None, "y"), ("a", "z"))]))
 
 
+def test_a_first_load_runs_its_source_once(spark, workdir):
+    """Rows are drawn anew whenever the source's plan runs: the count of those drawn tells how often it did."""
+    drawn = spark.sparkContext.accumulator(0)
+
+    def draw(i):
+        drawn.add(1)
+        return (i, "a" if i % 2 else "b")
+
+    source = spark.createDataFrame(spark.sparkContext.range(0, 300, numSlices=3).map(draw), "k int, p string")
+    table = VersionedTable(spark, f"{workdir}/once", partition_by=["p"])
+    table.upsert(source, ["p", "k"])
+    assert drawn.value == 300 and table.last_rows_written == 300 and table.read().count() == 300
+
+
+def test_a_first_load_rejects_keys_that_partition_names_hide(spark, workdir):
+    from snapmart.operators.upsert import DuplicateSourceKeyError
+
+    table = VersionedTable(spark, f"{workdir}/t", partition_by=["p"])
+    schema = "p string, k int"
+    with pytest.raises(DuplicateSourceKeyError):
+        table.upsert(spark.createDataFrame([("", 1), ("", 1)], schema), ["p", "k"])
+    assert not table.exists()
+    table.upsert(spark.createDataFrame([(None, 1), (None, 1), ("a", 1)], schema), ["p", "k"])
+    assert table.read().count() == 3
+
+
+def test_keys_that_a_table_repeats_are_all_updated(spark, workdir):
+    table = VersionedTable(spark, f"{workdir}/t", partition_by=["p"])
+    schema = "p string, k int, v string"
+    table.write(spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 2, "z"), ("b", 1, "w")], schema))
+    table.upsert(spark.createDataFrame([("a", 1, "new"), ("a", 3, "n")], schema), ["p", "k"])
+    assert _rows(table.read()) == [("a", 1, "new"), ("a", 1, "new"), ("a", 2, "z"), ("a", 3, "n"), ("b", 1, "w")]
+
+
 def test_a_changed_type_rewrites_every_partition(spark, workdir):
     table = VersionedTable(spark, f"{workdir}/t", partition_by=["p"])
     table.upsert(spark.createDataFrame([("a", 1, 5), ("b", 1, 6)], "p string, k int, v int"), ["p", "k"])
