@@ -594,7 +594,7 @@ def q_run_manifest(spark, sf_dir):
     manifest of what was written is returned."""
     root = scratch_path(spark, "run")
     bronze = stage_table(medallion.activity_bronze(spark, sf_dir), "bronze", f"{root}/bronze")
-    report = medallion.activity_quality(bronze)
+    report = stage_table(medallion.activity_quality(bronze), "report", f"{root}/gate/data_quality_report")
     q.enforce_gate(report)
     silver = medallion.stage_silver(medallion.activity_silver(bronze), f"{root}/silver", key=SPEC.key_col)
     gold = medallion.build_gold(silver, SPEC)

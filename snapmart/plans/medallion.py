@@ -168,8 +168,9 @@ def run_snapshot(
     spec = spec or ENERGY_MART
     root = root.rstrip("/")
     bronze = stage_bronze(spark, sources, f"{root}/lakehouse/bronze")
-    report = q.quality_report(
-        bronze, rules or q.snapshot_rules(REQUIRED_COLUMNS), list(dict.fromkeys(source.dataset for source in sources)))
+    # three readers: the CSV, the gate and the outputs
+    report = stage_table(q.quality_report(
+        bronze, rules or q.snapshot_rules(REQUIRED_COLUMNS), list(dict.fromkeys(source.dataset for source in sources))), "report")
     report_path = f"{root}/results/data_quality_report"
     write_csv(report, report_path)
     q.enforce_gate(report, report_path)

@@ -73,7 +73,8 @@ def write_outputs(
 
     manifest = run_manifest(spark, root, staged, report, spec)
     write_json_document(manifest, f"{root}/results/run_manifest")
-    return manifest
+    # as written: the outputs are read back and digested once
+    return spark.read.schema(manifest.schema).json(literal_path(f"{root}/results/run_manifest"))
 
 
 #: CSV outputs that the manifest reads back: the report in two places, the top lists, the fact's extracts.

@@ -47,3 +47,28 @@ def test_one_row_combines_without_joins(spark):
     assert tuple(row.first()) == (3, None, 1.5)
     plan = row._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "CartesianProduct" not in plan
+
+
+def test_the_manifest_is_read_as_written_and_the_report_is_made_once(spark, monkeypatch):
+    from snapmart.plans import catalog, medallion
+    from tests.conftest import SF_SMALL
+
+    checked = spark.sparkContext.accumulator(0)
+    made = medallion.activity_quality
+
+    def counted(bronze):
+        def count(batches):
+            for batch in batches:
+                checked.add(batch.num_rows)
+                yield batch
+
+        report = made(bronze)
+        return report.mapInArrow(count, report.schema)
+
+    monkeypatch.setattr(medallion, "activity_quality", counted)
+    manifest = catalog.QUERIES["run_manifest"](spark, SF_SMALL)
+    row = manifest.collect()[0]
+    assert checked.value == row["quality_checks"] == row["report_rows"] == 18 and row["quality_failures"] == 0
+    assert row["report_digest"] == row["report_copy_digest"] and row["fact_extracts_rows"] == row["fct_activity_rows"] > 0
+    plan = manifest._jdf.queryExecution().optimizedPlan().toString()
+    assert "csv" not in plan and "run_manifest" in str(manifest.inputFiles())
