@@ -343,3 +343,27 @@ def test_tables_over_scratch_folders_are_dropped(spark, workdir):
         assert len({t.name for t in spark.catalog.listTables()} - before) == 1
     assert {t.name for t in spark.catalog.listTables()} == before
     assert kept.count() == 10
+
+
+def test_lake_layers_are_deduplicated_once_and_written_in_zstd(spark, workdir, monkeypatch):
+    from snapmart.plans import medallion
+    from tests.conftest import SF_SMALL
+
+    passed = spark.sparkContext.accumulator(0)
+    made = medallion.lake_silver
+
+    def counted(stored, keys):
+        def count(batches):
+            for batch in batches:
+                passed.add(batch.num_rows)
+                yield batch
+
+        silver = made(stored, keys)
+        return silver.mapInArrow(count, silver.schema)
+
+    monkeypatch.setattr(medallion, "lake_silver", counted)
+    result = medallion.lake_run(spark, SF_SMALL, f"{workdir}/lake")
+    assert passed.value == result["silver_rows"] == spark.read.parquet(result["export"]).count() > 0
+    for layer in ("landed", "bronze", "silver", "silver_export"):
+        names = [f for _, _, files in os.walk(f"{workdir}/lake/{layer}") for f in files if f.endswith(".parquet")]
+        assert names and all(f.endswith(".zstd.parquet") for f in names)
